@@ -1,4 +1,9 @@
-"""Risk score and risk band as column expressions (operators C1, C2, J5)."""
+"""Risk score and risk band (operators C1, C2, J5).
+
+``score = round(min(base * crit * level, 100), 1)`` with half-even rounding;
+unknown keys take the catalogue defaults. Available as SQL text (for
+``selectExpr``) and as Columns.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
+from grantscope.functions.sqltext import case_lookup
 
 
 def literal_map(mapping: dict) -> Column:
@@ -20,31 +26,32 @@ def lookup(mapping: dict, key: Column, default) -> Column:
     return F.coalesce(F.try_element_at(literal_map(mapping), key), F.lit(default))
 
 
-def severity_base(severity: Column) -> Column:
-    return lookup({k: float(v) for k, v in cat.SEVERITY_BASE.items()}, severity, float(cat.DEFAULT_SEVERITY_BASE))
+def score_sql(severity: str, criticality: str, level: str) -> str:
+    base = case_lookup(severity, {k: float(v) for k, v in cat.SEVERITY_BASE.items()}, float(cat.DEFAULT_SEVERITY_BASE))
+    crit = case_lookup(criticality, cat.CRITICALITY_MULTIPLIER, cat.DEFAULT_CRITICALITY_MULTIPLIER)
+    lvl = case_lookup(level, cat.ACCESS_LEVEL_MULTIPLIER, cat.DEFAULT_ACCESS_LEVEL_MULTIPLIER)
+    return f"bround(least({base} * {crit} * {lvl}, 100.0D), 1)"
 
 
-def criticality_multiplier(criticality: Column) -> Column:
-    return lookup(cat.CRITICALITY_MULTIPLIER, criticality, cat.DEFAULT_CRITICALITY_MULTIPLIER)
+def band_sql(score: str) -> str:
+    whens = " ".join(f"WHEN {score} >= {t} THEN '{b}'" for t, b in cat.BAND_THRESHOLDS)
+    return f"(CASE {whens} ELSE 'LOW' END)"
 
 
-def access_level_multiplier(level: Column) -> Column:
-    return lookup(cat.ACCESS_LEVEL_MULTIPLIER, level, cat.DEFAULT_ACCESS_LEVEL_MULTIPLIER)
+def band_rank_sql(band: str) -> str:
+    return case_lookup(band, {b: i for i, b in enumerate(cat.BAND_ORDER)}, len(cat.BAND_ORDER))
 
 
-def risk_score(severity: Column, criticality: Column, level: Column) -> Column:
-    """``round(min(base * crit * level, 100), 1)`` with half-even rounding."""
-    raw = severity_base(severity) * criticality_multiplier(criticality) * access_level_multiplier(level)
-    return F.bround(F.least(raw, F.lit(100.0)), 1)
+def risk_score(severity: str = "severity", criticality: str = "system_criticality",
+               level: str = "access_level") -> Column:
+    """Column form; arguments are SQL expressions (usually column names)."""
+    return F.expr(score_sql(severity, criticality, level))
 
 
-def risk_band(score: Column) -> Column:
-    expr = None
-    for threshold, band in cat.BAND_THRESHOLDS:
-        expr = F.when(score >= threshold, F.lit(band)) if expr is None else expr.when(score >= threshold, F.lit(band))
-    return expr.otherwise(F.lit("LOW"))
+def risk_band(score: str = "risk_score") -> Column:
+    return F.expr(band_sql(score))
 
 
-def band_rank(band: Column) -> Column:
+def band_rank(band: str) -> Column:
     """Position of a band in CRITICAL, HIGH, MEDIUM, LOW order (unknown last)."""
-    return lookup({b: i for i, b in enumerate(cat.BAND_ORDER)}, band, len(cat.BAND_ORDER))
+    return F.expr(band_rank_sql(band))

@@ -7,79 +7,81 @@ from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
 from grantscope import schemas
+from grantscope.functions import sqltext as sql
 from grantscope.functions import text
-from grantscope.functions.dates import as_of_ts, plus_hours
-from grantscope.functions.scoring import risk_band, risk_score
+from grantscope.functions.scoring import band_sql, score_sql
 from grantscope.operators import rules as R
 from grantscope.session import AS_OF_DEFAULT
 
 
-def _rule_meta(params: cat.RuleParams) -> Column:
-    """rule_id → struct(name, type, severity, sla_hours, frameworks) as a map literal (no join)."""
-    kv = []
-    for r in params.rules:
-        kv += [F.lit(r["id"]), F.struct(
-            F.lit(r["name"]).alias("name"), F.lit(r["type"]).alias("type"),
-            F.lit(r["severity"]).alias("severity"), F.lit(int(r["sla_hours"])).alias("sla_hours"),
-            F.array(*[F.lit(f) for f in r.get("frameworks", [])]).cast("array<string>").alias("frameworks"))]
-    return F.create_map(*kv)
+def _rule_case(rules, field: str) -> str:
+    """rule_id → one catalogue field, as a CASE over the (small, fixed) catalogue."""
+    whens = []
+    for r in rules:
+        v = r.get(field)
+        if field == "frameworks":
+            v_sql = "array(" + ", ".join(sql.lit(x) for x in (v or [])) + ")"
+            v_sql = f"CAST({v_sql} AS ARRAY<STRING>)"
+        else:
+            v_sql = sql.lit(v)
+        whens.append(f"WHEN {sql.lit(r['id'])} THEN {v_sql}")
+    return f"(CASE rule_id {' '.join(whens)} END)"
 
 
-def finding_id(rule_id: Column, access_id: Column, employee_id: Column, role_a: Column, role_b: Column) -> Column:
+def finding_id_sql() -> str:
     """Deterministic id: ``FND-`` + 16 upper hex digits of md5(rule|access|employee|role_a|role_b)."""
+    key = ", ".join(f"coalesce({c}, '')" for c in ("rule_id", "access_id", "employee_id", "role_a", "role_b"))
+    return f"concat('FND-', upper(substring(md5(concat_ws('|', {key})), 1, 16)))"
+
+
+def finding_id(rule_id: Column, access_id: Column, employee_id: Column, role_a: Column, role_b: Column) -> Column:
     key = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (rule_id, access_id, employee_id, role_a, role_b)])
     return F.concat(F.lit("FND-"), F.upper(F.substring(F.md5(key), 1, 16)))
 
 
-def _detail(params: cat.RuleParams) -> Column:
-    fields = {
-        "term_days": F.coalesce(F.col("term_days").cast("string"), F.lit("?")),
-        "days_unused": F.col("days_unused"),
-        "last_used_date": F.col("last_used_date").cast("string"),
-        "system_name": F.col("system_name"),
-        "full_name": F.col("full_name"),
-        "department": F.col("department"),
-        "level_upper": F.upper(F.col("access_level")),
-        "role_a": F.col("role_a"),
-        "role_b": F.col("role_b"),
-        "access_id": F.col("access_id"),
-    }
-    expr = None
-    for r in params.rules:
-        rule_id = r["id"]
-        template = r.get("detail") or cat.DETAIL_TEMPLATES.get(rule_id)
-        if template is None:
-            continue
-        cond = F.col("rule_id") == rule_id
-        value = text.render(template, fields)
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return expr
+DETAIL_FIELDS = {
+    "term_days": "coalesce(cast(term_days AS STRING), '?')",
+    "days_unused": "days_unused",
+    "last_used_date": "last_used_date",
+    "system_name": "system_name",
+    "full_name": "full_name",
+    "department": "department",
+    "level_upper": "upper(access_level)",
+    "role_a": "role_a",
+    "role_b": "role_b",
+    "access_id": "access_id",
+}
+
+
+def _detail_sql(rules) -> str:
+    whens = []
+    for r in rules:
+        text_ = r.get("detail") or cat.DETAIL_TEMPLATES.get(r["id"])
+        if text_ is not None:
+            whens.append(f"WHEN {sql.lit(r['id'])} THEN {sql.template(text_, DETAIL_FIELDS)}")
+    return f"(CASE rule_id {' '.join(whens)} END)"
 
 
 def to_findings(hits: DataFrame, as_of: str = AS_OF_DEFAULT, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
-    meta = F.element_at(_rule_meta(params), F.col("rule_id"))
-    detected = as_of_ts(as_of)
-    h = hits.withColumn("_m", meta)
-    score = risk_score(F.col("_m.severity"), F.col("system_criticality"), F.col("access_level"))
-    out = h.select(
-        finding_id(F.col("rule_id"), F.col("access_id"), F.col("employee_id"), F.col("role_a"), F.col("role_b"))
-        .alias("finding_id"),
-        "rule_id",
-        F.col("_m.name").alias("rule_name"),
-        F.col("_m.type").alias("finding_type"),
-        F.col("_m.severity").alias("severity"),
-        score.alias("risk_score"),
-        risk_band(score).alias("risk_band"),
-        "employee_id",
-        F.col("full_name").alias("employee_name"),
-        "department", "system_id", "system_name", "system_criticality", "access_level", "access_id",
-        _detail(params).alias("detail"),
-        F.lit("OPEN").alias("status"),
-        detected.alias("detected_at"),
-        plus_hours(detected, F.col("_m.sla_hours")).alias("sla_deadline"),
-        F.col("_m.frameworks").alias("frameworks"),
+    """Hits (``rules.HIT_COLUMNS``) → findings with the full ``schemas.FINDINGS`` layout."""
+    rules = params.rules
+    detected = f"CAST({sql.lit(as_of)} AS TIMESTAMP_NTZ)"
+    meta = hits.selectExpr(
+        "*",
+        f"{_rule_case(rules, 'name')} AS rule_name",
+        f"{_rule_case(rules, 'type')} AS finding_type",
+        f"{_rule_case(rules, 'severity')} AS severity",
+        f"{_rule_case(rules, 'sla_hours')} AS sla_hours",
+        f"{_rule_case(rules, 'frameworks')} AS frameworks",
+    )
+    scored = meta.selectExpr("*", f"{score_sql('severity', 'system_criticality', 'access_level')} AS risk_score")
+    return scored.selectExpr(
+        f"{finding_id_sql()} AS finding_id", "rule_id", "rule_name", "finding_type", "severity", "risk_score",
+        f"{band_sql('risk_score')} AS risk_band", "employee_id", "full_name AS employee_name", "department",
+        "system_id", "system_name", "system_criticality", "access_level", "access_id",
+        f"{_detail_sql(rules)} AS detail", "'OPEN' AS status", f"{detected} AS detected_at",
+        f"timestampadd(HOUR, sla_hours, {detected}) AS sla_deadline", "frameworks",
     )
-    return out
 
 
 def build_findings(employees: DataFrame, access: DataFrame, as_of: str = AS_OF_DEFAULT,

@@ -19,11 +19,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
-from grantscope.functions.dates import days_since
+from grantscope.functions import sqltext as sql
 from grantscope.session import AS_OF_DEFAULT
 
 PER_GRANT_RULES = ("RULE-001", "RULE-002", "RULE-003", "RULE-006", "RULE-007")
@@ -39,8 +39,23 @@ HIT_COLUMNS = [
 ]
 
 
-def _active(access: DataFrame) -> Column:
-    return F.col("is_active") == F.lit(True)
+ACTIVE = "is_active = true"
+
+
+def _days_since(as_of: str, d: str) -> str:
+    return f"datediff(to_date(CAST({sql.lit(as_of)} AS TIMESTAMP_NTZ)), {d})"
+
+
+def grant_predicates(as_of: str, params: cat.RuleParams) -> dict[str, str]:
+    """Per-grant rule predicates over an active grant joined with its owner (SQL text)."""
+    priv = f"access_level IN {sql.in_list(params.privileged_levels)}"
+    return {
+        "RULE-001": "status = 'terminated'",
+        "RULE-002": f"status = 'active' AND {_days_since(as_of, 'last_used_date')} >= {int(params.dormancy_days)}",
+        "RULE-003": f"status = 'active' AND department IN {sql.in_list(params.standard_departments)} AND {priv}",
+        "RULE-006": "status = 'terminated' AND business_justification IS NULL",
+        "RULE-007": "status = 'active' AND system_criticality = 'critical' AND business_justification IS NULL",
+    }
 
 
 def per_grant_hits(employees: DataFrame, access: DataFrame, rules=PER_GRANT_RULES,
@@ -52,49 +67,40 @@ def per_grant_hits(employees: DataFrame, access: DataFrame, rules=PER_GRANT_RULE
 
     emp = employees.where(F.col("status").isin(statuses)).select(
         "employee_id", "full_name", "department", "status", "termination_date")
-    grants = access.where(_active(access)).select(
-        "employee_id", *GRANT_FIELDS, "last_used_date", "business_justification")
+    grants = access.where(ACTIVE).select("employee_id", *GRANT_FIELDS, "last_used_date", "business_justification")
     m = grants.join(emp, "employee_id")
 
-    term = F.col("status") == "terminated"
-    act = F.col("status") == "active"
-    no_just = F.col("business_justification").isNull()
-    days_unused = days_since(as_of, F.col("last_used_date"))
-    predicate = {
-        "RULE-001": term,
-        "RULE-002": act & (days_unused >= F.lit(params.dormancy_days)),
-        "RULE-003": act & F.col("department").isin(list(params.standard_departments))
-        & F.col("access_level").isin(list(params.privileged_levels)),
-        "RULE-006": term & no_just,
-        "RULE-007": act & (F.col("system_criticality") == "critical") & no_just,
-    }
-    hit_any = reduce(lambda a, b: a | b, [predicate[r] for r in rules])
-    rule_ids = F.array_compact(F.array(*[F.when(predicate[r], F.lit(r)) for r in rules]))
-    return m.where(hit_any).select(
-        F.explode(rule_ids).alias("rule_id"),
-        "employee_id", "full_name", "department", *GRANT_FIELDS,
-        days_since(as_of, F.col("termination_date")).alias("term_days"),
-        days_unused.alias("days_unused"),
-        "last_used_date",
-        F.lit(None).cast("string").alias("role_a"),
-        F.lit(None).cast("string").alias("role_b"),
+    pred = grant_predicates(as_of, params)
+    hit_any = " OR ".join(f"({pred[r]})" for r in rules)
+    rule_ids = "array_compact(array(" + ", ".join(f"CASE WHEN {pred[r]} THEN '{r}' END" for r in rules) + "))"
+    return m.where(hit_any).selectExpr(
+        f"explode({rule_ids}) AS rule_id", "employee_id", "full_name", "department", *GRANT_FIELDS,
+        f"{_days_since(as_of, 'termination_date')} AS term_days",
+        f"{_days_since(as_of, 'last_used_date')} AS days_unused",
+        "last_used_date", "CAST(NULL AS STRING) AS role_a", "CAST(NULL AS STRING) AS role_b",
     )
 
 
-def _pairs_literal(pairs) -> Column:
+def _role_bit_sql(roles) -> str:
+    whens = " ".join(f"WHEN {sql.lit(r)} THEN {1 << i}" for i, r in enumerate(roles))
+    return f"(CASE sod_role {whens} ELSE 0 END)"
+
+
+def _pairs_sql(pairs) -> str:
     roles = cat.SOD_ROLES
-    items = []
-    for a, b in pairs:
-        mask = (1 << roles.index(a)) | (1 << roles.index(b)) if a in roles and b in roles else -1
-        items.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(mask).alias("mask")))
-    return F.array(*items)
+    items = [f"named_struct('a', {sql.lit(a)}, 'b', {sql.lit(b)}, 'mask', "
+             f"{(1 << roles.index(a)) | (1 << roles.index(b))})" for a, b in pairs]
+    return "array(" + ", ".join(items) + ")"
+
 
+ITEM_TYPE = ("array<struct<rule_id:string,system_id:string,system_name:string,system_criticality:string,"
+             "access_level:string,access_id:string,role_a:string,role_b:string>>")
 
-def _role_bit(role: Column, roles) -> Column:
-    expr = F.lit(0)
-    for i, r in enumerate(roles):
-        expr = F.when(role == r, F.lit(1 << i)).otherwise(expr)
-    return expr
+
+def _item_sql(rule_id: str, g: str, a: str, b: str) -> str:
+    fields = ", ".join(f"'{f}', {g}.{f}" for f in GRANT_FIELDS)
+    return (f"named_struct('rule_id', '{rule_id}', {fields}, 'role_a', CAST({a} AS STRING), "
+            f"'role_b', CAST({b} AS STRING))")
 
 
 def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYEE_RULES,
@@ -104,47 +110,38 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
     want_mfa = "RULE-005" in rules
     pairs = [p for p in params.sod_pairs if p[0] in cat.SOD_ROLES and p[1] in cat.SOD_ROLES]
 
-    priv = F.col("access_level").isin(list(params.privileged_levels))
-    has_sod = F.col("sod_role").isNotNull()
-    relevant = (priv if want_mfa else F.lit(False)) | (has_sod if want_sod else F.lit(False))
-    grant = F.struct(*GRANT_FIELDS)
+    priv = f"access_level IN {sql.in_list(params.privileged_levels)}"
+    has_sod = "sod_role IS NOT NULL"
+    relevant = " OR ".join(([priv] if want_mfa else []) + ([has_sod] if want_sod else []))
+    grant = "struct(" + ", ".join(GRANT_FIELDS) + ")"
 
     aggs = []
     if want_mfa:
-        aggs.append(F.min_by(grant, F.when(priv, F.col("access_id"))).alias("first_priv"))
+        aggs.append(F.expr(f"min_by({grant}, CASE WHEN {priv} THEN access_id END)").alias("first_priv"))
     if want_sod:
-        aggs.append(F.min_by(grant, F.when(has_sod, F.col("access_id"))).alias("first_sod"))
-        aggs.append(F.bit_or(_role_bit(F.col("sod_role"), cat.SOD_ROLES)).alias("role_mask"))
-    per_emp = access.where(_active(access) & relevant).groupBy("employee_id").agg(*aggs)
+        aggs.append(F.expr(f"min_by({grant}, CASE WHEN {has_sod} THEN access_id END)").alias("first_sod"))
+        aggs.append(F.expr(f"bit_or({_role_bit_sql(cat.SOD_ROLES)})").alias("role_mask"))
+    # Partial aggregation on the map side: a hot employee is reduced per task before the shuffle.
+    per_emp = access.where(f"{ACTIVE} AND ({relevant})").groupBy("employee_id").agg(*aggs)
 
     emp = employees.where(F.col("status") == "active").select("employee_id", "full_name", "department", "mfa_enabled")
     j = per_emp.join(emp, "employee_id")
 
-    def item(rule_id: str, g: Column, a: Column, b: Column) -> Column:
-        return F.struct(F.lit(rule_id).alias("rule_id"), *[g[f].alias(f) for f in GRANT_FIELDS],
-                        a.cast("string").alias("role_a"), b.cast("string").alias("role_b"))
-
-    empty = F.array().cast(
-        "array<struct<rule_id:string,system_id:string,system_name:string,system_criticality:string,"
-        "access_level:string,access_id:string,role_a:string,role_b:string>>")
     parts = []
     if want_mfa:
-        parts.append(F.when((F.col("mfa_enabled") == F.lit(False)) & F.col("first_priv").isNotNull(),
-                            F.array(item("RULE-005", F.col("first_priv"), F.lit(None), F.lit(None))))
-                     .otherwise(empty))
+        parts.append(f"CASE WHEN mfa_enabled = false AND first_priv IS NOT NULL "
+                     f"THEN array({_item_sql('RULE-005', 'first_priv', 'NULL', 'NULL')}) "
+                     f"ELSE CAST(array() AS {ITEM_TYPE}) END")
     if want_sod and pairs:
-        held = F.filter(_pairs_literal(pairs), lambda p: (F.col("role_mask").bitwiseAND(p["mask"])) == p["mask"])
-        parts.append(F.transform(held, lambda p: item("RULE-004", F.col("first_sod"), p["a"], p["b"])))
-    items = parts[0] if len(parts) == 1 else F.concat(*parts)
-
-    x = j.select("employee_id", "full_name", "department", F.explode(items).alias("h"))
-    return x.select(
-        F.col("h.rule_id").alias("rule_id"), "employee_id", "full_name", "department",
-        *[F.col(f"h.{f}").alias(f) for f in GRANT_FIELDS],
-        F.lit(None).cast("int").alias("term_days"),
-        F.lit(None).cast("int").alias("days_unused"),
-        F.lit(None).cast("date").alias("last_used_date"),
-        F.col("h.role_a").alias("role_a"), F.col("h.role_b").alias("role_b"),
+        parts.append(f"transform(filter({_pairs_sql(pairs)}, p -> (role_mask & p.mask) = p.mask), "
+                     f"p -> {_item_sql('RULE-004', 'first_sod', 'p.a', 'p.b')})")
+    items = parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
+
+    x = j.selectExpr("employee_id", "full_name", "department", f"explode({items}) AS h")
+    return x.selectExpr(
+        "h.rule_id AS rule_id", "employee_id", "full_name", "department", *[f"h.{f} AS {f}" for f in GRANT_FIELDS],
+        "CAST(NULL AS INT) AS term_days", "CAST(NULL AS INT) AS days_unused", "CAST(NULL AS DATE) AS last_used_date",
+        "h.role_a AS role_a", "h.role_b AS role_b",
     )
 
 

@@ -73,7 +73,7 @@ def top_counts(df: DataFrame, key: str, k: int, name: str = "findings") -> DataF
 def severity_share(findings: DataFrame) -> DataFrame:
     """Counts per severity in band order, with percent of all findings."""
     c = with_share(value_counts(findings, "severity"), "findings")
-    return c.withColumn("band_order", band_rank(F.col("severity")).cast("bigint"))
+    return c.withColumn("band_order", band_rank("severity").cast("bigint"))
 
 
 def type_breakdown(findings: DataFrame) -> DataFrame:

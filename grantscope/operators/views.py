@@ -97,7 +97,7 @@ def filter_options(findings: DataFrame) -> DataFrame:
     window only sees one row per value.
     """
     sev = findings.select(F.lit("severity").alias("kind"), F.col("severity").alias("value")).distinct() \
-        .withColumn("_k", band_rank(F.col("value")))
+        .withColumn("_k", band_rank("value"))
     dept = findings.select(F.lit("department").alias("kind"), F.col("department").alias("value")).distinct() \
         .withColumn("_k", F.lit(0))
     typ = findings.select(F.lit("finding_type").alias("kind"), F.col("finding_type").alias("value")).distinct() \

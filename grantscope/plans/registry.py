@@ -40,8 +40,15 @@ CUSTOM_PREDICATE = "status = 'active' AND access_level = 'admin' AND system_crit
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLE_PLANS: dict = {}
+
+
 def _tables(spark, sf):
-    return derived.load(spark, sf)
+    """Table plans (not data) of one test folder, built once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TABLE_PLANS:
+        _TABLE_PLANS[key] = derived.load(spark, sf)
+    return _TABLE_PLANS[key]
 
 
 def _findings(spark, sf, rules=None, params=cat.RuleParams()):
@@ -198,18 +205,18 @@ def _on_inventory(fn, **kw):
 
 RAW: dict[str, Query] = {
     # sources
-    "src_employees": lambda spark, sf: derived.employees(spark, sf),
-    "src_access": lambda spark, sf: derived.access_rights(spark, sf),
-    "src_systems": lambda spark, sf: derived.systems(spark, sf),
-    "access_enriched": lambda spark, sf: derived.access_rights(spark, sf),
+    "src_employees": lambda spark, sf: _tables(spark, sf)["employees"],
+    "src_access": lambda spark, sf: _tables(spark, sf)["access_rights"],
+    "src_systems": lambda spark, sf: _tables(spark, sf)["systems"],
+    "access_enriched": lambda spark, sf: _tables(spark, sf)["access_rights"],
     "rule_catalogue": rule_catalogue,
     "scoring_weights": scoring_weights,
     "control_frameworks": control_frameworks,
     # sinks
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_json_roundtrip": sink_json_roundtrip,
-    "evidence_access_snapshot": lambda spark, sf: E.access_snapshot(derived.access_rights(spark, sf)),
-    "evidence_employee_snapshot": lambda spark, sf: E.employee_snapshot(derived.employees(spark, sf)),
+    "evidence_access_snapshot": lambda spark, sf: E.access_snapshot(_tables(spark, sf)["access_rights"]),
+    "evidence_employee_snapshot": lambda spark, sf: E.employee_snapshot(_tables(spark, sf)["employees"]),
     "evidence_summary_meta": evidence_summary_meta,
     "evidence_package_index": evidence_package_index,
     # rules
@@ -238,7 +245,7 @@ RAW: dict[str, Query] = {
     "risk_scatter_feed": _on_findings(S.scatter_feed),
     "findings_metrics": _on_findings(lambda f: S.findings_metrics(V.filter_findings(f, severity="HIGH"))),
     "exec_header": exec_header,
-    "active_ratio": lambda spark, sf: S.active_ratio(derived.employees(spark, sf)),
+    "active_ratio": lambda spark, sf: S.active_ratio(_tables(spark, sf)["employees"]),
     "access_level_mix": _on_inventory(lambda inv: S.with_share(S.value_counts(inv, "access_level", "grants"), "grants")),
     "dept_access_levels": _on_inventory(
         lambda inv: inv.where(F.col("department").isNotNull()).groupBy("department", "access_level")
@@ -260,22 +267,22 @@ RAW: dict[str, Query] = {
     "access_table_view": _on_inventory(V.access_table_view, level="admin"),
     "critical_no_justification": _on_inventory(V.critical_without_justification),
     "admin_grants": _on_inventory(V.admin_grants),
-    "manager_flag": lambda spark, sf: V.manager_flag(derived.employees(spark, sf)),
-    "manager_assignment": lambda spark, sf: J.assign_managers(derived.employees(spark, sf)),
+    "manager_flag": lambda spark, sf: V.manager_flag(_tables(spark, sf)["employees"]),
+    "manager_assignment": lambda spark, sf: J.assign_managers(_tables(spark, sf)["employees"]),
     "access_of_terminated": lambda spark, sf: J.access_of_employees_with_status(
-        derived.access_rights(spark, sf), derived.employees(spark, sf), "terminated"),
+        _tables(spark, sf)["access_rights"], _tables(spark, sf)["employees"], "terminated"),
     "access_append": access_append,
     "access_append_sod": access_sod_findings_after_append,
-    "domain_violations": lambda spark, sf: V.domain_violations(derived.employees(spark, sf),
-                                                               derived.access_rights(spark, sf)),
+    "domain_violations": lambda spark, sf: V.domain_violations(_tables(spark, sf)["employees"],
+                                                               _tables(spark, sf)["access_rights"]),
     # extensions
     "custom_predicate_rule": custom_predicate_rule,
     "framework_coverage": _on_findings(X.framework_coverage),
     "sla_status": _on_findings(lambda f: X.sla_status(f, SLA_EVAL_TIME)),
     "notification_queue": _on_findings(X.notification_queue),
     "evidence_retention": _on_findings(X.evidence_retention),
-    "unowned_grants": lambda spark, sf: J.unowned_grants(derived.access_rights(spark, sf),
-                                                         derived.employees(spark, sf)),
+    "unowned_grants": lambda spark, sf: J.unowned_grants(_tables(spark, sf)["access_rights"],
+                                                         _tables(spark, sf)["employees"]),
     "last_used_from_log": last_used_from_log,
     "stream_terminated_access": stream_terminated_access,
 }

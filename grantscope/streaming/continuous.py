@@ -23,10 +23,16 @@ from grantscope.sources import derived
 STREAM_RULES = ("RULE-001", "RULE-003", "RULE-006", "RULE-007")
 
 
-def grant_stream(spark: SparkSession, orders_path: str, max_files: int = 1) -> DataFrame:
-    """Grants derived from a stream of order files (same derivation as the batch tables)."""
-    schema = spark.read.parquet(orders_path).schema
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(orders_path)
+def grant_stream(spark: SparkSession, source_dir: str, file_glob: str = "orders*.parquet",
+                 max_files: int = 1) -> DataFrame:
+    """Grants derived from a stream of order files landing in ``source_dir``.
+
+    Same derivation as the batch tables; the schema is declared from an
+    existing file (streams never infer it).
+    """
+    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{file_glob}").schema
+    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+           .option("pathGlobFilter", file_glob).parquet(source_dir))
     return schemas.validate(raw.select(*[F.expr(e).alias(n) for n, e in derived.ACCESS_BASE_EXPRS]),
                             schemas.ACCESS_BASE, "access_base stream")
 
@@ -47,7 +53,7 @@ def streaming_findings(grants: DataFrame, employees: DataFrame, systems: DataFra
 def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = AS_OF_DEFAULT,
                       rules=STREAM_RULES) -> DataFrame:
     """Process every grant file available now, then stop; return the sink as a batch frame."""
-    grants = grant_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    grants = grant_stream(spark, sf_dir)
     f = streaming_findings(grants, derived.employees(spark, sf_dir), derived.systems(spark, sf_dir), as_of, rules)
     q = (f.writeStream.format("parquet")
          .option("path", f"{out_dir}/findings")
