@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from grantscope import catalogue as cat
 from grantscope import schemas
 from grantscope.operators import summary as S
-from grantscope.operators.findings import export_view, sort_by_risk
+from grantscope.operators.findings import export_view, sorted_findings
 from grantscope.session import AS_OF_DEFAULT
 from grantscope.sources import sinks
 
@@ -92,7 +92,7 @@ def write_evidence_package(spark: SparkSession, findings: DataFrame, employees:
     pkg = f"{out_dir.rstrip('/')}/evidence_package_{package_stamp(as_of)}"
     stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet")
     files = {
-        "findings.csv": sinks.write_csv(export_view(sort_by_risk(stored)), f"{pkg}/findings.csv"),
+        "findings.csv": sinks.write_csv(export_view(sorted_findings(stored)), f"{pkg}/findings.csv"),
         "findings.json": sinks.write_json(export_view(stored), f"{pkg}/findings.json"),
         "access_snapshot.csv": sinks.write_csv(access_snapshot(access), f"{pkg}/access_snapshot.csv"),
         "employee_snapshot.csv": sinks.write_csv(employee_snapshot(employees), f"{pkg}/employee_snapshot.csv"),
