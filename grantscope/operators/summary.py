@@ -21,38 +21,46 @@ def mean_1dp(score: Column, n: Column | None = None) -> Column:
     return F.bround(F.try_divide(total, (n if n is not None else F.count(score)).cast("double")), 1)
 
 
+def fold_rows(*parts: DataFrame) -> DataFrame:
+    """Put several one-row aggregates side by side without a join.
+
+    Each part is a one-row frame with its own columns; they are unioned (the
+    other parts' columns NULL) and folded with ``max`` into one row. Only the
+    already aggregated rows travel, never the inputs.
+    """
+    cols = [(c, t) for p in parts for c, t in p.dtypes]
+    aligned = [p.select(*[F.col(c) if c in p.columns else F.lit(None).cast(t).alias(c) for c, t in cols])
+               for p in parts]
+    u = aligned[0]
+    for a in aligned[1:]:
+        u = u.unionByName(a)
+    return u.agg(*[F.max(c).alias(c) for c, _ in cols])
+
+
 def kpis(findings: DataFrame, employees: DataFrame, access: DataFrame) -> DataFrame:
     """A1 + A6: the one-row KPI table.
 
-    The three inputs are tagged and unioned and reduced by a single global
-    aggregate, so no join is needed to put counts of different tables in one row.
+    Each input is reduced by its own global aggregate (partial per task,
+    merged once); distinct counts run over findings only. The three one-row
+    results are folded together, so no join and no expansion of the inputs.
     """
-    f = findings.select(F.lit("f").alias("_t"), "severity", "risk_score", "employee_id", "system_name",
-                        F.lit(None).cast("string").alias("_status"), F.lit(None).cast("boolean").alias("_active"))
-    e = employees.select(F.lit("e").alias("_t"), F.lit(None).cast("string").alias("severity"),
-                         F.lit(None).cast("double").alias("risk_score"), F.lit(None).cast("string").alias("employee_id"),
-                         F.lit(None).cast("string").alias("system_name"), F.col("status").alias("_status"),
-                         F.lit(None).cast("boolean").alias("_active"))
-    a = access.select(F.lit("a").alias("_t"), F.lit(None).cast("string").alias("severity"),
-                      F.lit(None).cast("double").alias("risk_score"), F.lit(None).cast("string").alias("employee_id"),
-                      F.lit(None).cast("string").alias("system_name"), F.lit(None).cast("string").alias("_status"),
-                      F.col("is_active").alias("_active"))
-    u = f.unionByName(e).unionByName(a)
-    is_f = F.col("_t") == "f"
-    agg = u.agg(
-        F.count_if(is_f).alias("total_findings"),
-        *[F.count_if(is_f & (F.col("severity") == s)).alias(f"{s.lower()}_findings") for s in cat.BAND_ORDER],
+    f = findings.agg(
+        F.count(F.lit(1)).alias("total_findings"),
+        *[F.count_if(F.col("severity") == s).alias(f"{s.lower()}_findings") for s in cat.BAND_ORDER],
         mean_1dp(F.col("risk_score")).alias("avg_risk_score"),
         F.max("risk_score").alias("max_risk_score"),
-        F.count_if((F.col("_t") == "e") & (F.col("_status") == "active")).alias("active_employees"),
-        F.count_if((F.col("_t") == "a") & (F.col("_active") == F.lit(True))).alias("total_access_records"),
         F.count_distinct(F.col("employee_id")).alias("affected_employees"),
         F.count_distinct(F.col("system_name")).alias("affected_systems"),
     )
+    e = employees.agg(F.count_if(F.col("status") == "active").alias("active_employees"))
+    a = access.agg(F.count_if(F.col("is_active") == F.lit(True)).alias("total_access_records"))
+    k = fold_rows(f, e, a)
     rate = F.bround(
         (F.lit(1.0) - F.col("total_findings").cast("double")
          / F.greatest(F.col("total_access_records"), F.lit(1)).cast("double")) * F.lit(100.0), 1)
-    return agg.withColumn("compliance_rate", rate)
+    return k.select("total_findings", *[f"{s.lower()}_findings" for s in cat.BAND_ORDER], "avg_risk_score",
+                    "max_risk_score", "active_employees", "total_access_records", "affected_employees",
+                    "affected_systems", rate.alias("compliance_rate"))
 
 
 def value_counts(df: DataFrame, key: str, name: str = "findings") -> DataFrame:
@@ -135,16 +143,11 @@ def inventory_stats(inv: DataFrame) -> DataFrame:
 
 
 def exec_header(findings: DataFrame, employees: DataFrame, access: DataFrame) -> DataFrame:
-    """Employees, active grants, systems with findings (one row, one tagged aggregate)."""
-    u = (findings.select(F.lit("f").alias("_t"), F.col("system_name").alias("_v"), F.lit(None).cast("boolean").alias("_b"))
-         .unionByName(employees.select(F.lit("e").alias("_t"), F.lit(None).cast("string").alias("_v"),
-                                       F.lit(None).cast("boolean").alias("_b")))
-         .unionByName(access.select(F.lit("a").alias("_t"), F.lit(None).cast("string").alias("_v"),
-                                    F.col("is_active").alias("_b"))))
-    return u.agg(
-        F.count_if(F.col("_t") == "e").alias("employees"),
-        F.count_if((F.col("_t") == "a") & (F.col("_b") == F.lit(True))).alias("active_grants"),
-        F.count_distinct("_v").alias("systems_with_findings"),
+    """Employees, active grants, systems with findings (one row)."""
+    return fold_rows(
+        employees.agg(F.count(F.lit(1)).alias("employees")),
+        access.agg(F.count_if(F.col("is_active") == F.lit(True)).alias("active_grants")),
+        findings.agg(F.count_distinct("system_name").alias("systems_with_findings")),
     )
 
 
