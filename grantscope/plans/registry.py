@@ -114,6 +114,14 @@ def sink_json_roundtrip(spark, sf):
     return sinks.read_json(spark, path, schema)
 
 
+def findings_from_stored(spark, sf):
+    """The tables stored as Parquet, read back with their schema, then all rules."""
+    from grantscope.sources import tables as TB
+    base = TB.write_tables(_tables(spark, sf), shared_dir(spark, "tables"))
+    t = TB.read_tables(spark, base)
+    return run_all_rules(t["employees"], t["access_rights"], AS_OF)
+
+
 def stream_terminated_access(spark, sf):
     return continuous.run_available_now(spark, sf, shared_dir(spark, "stream"), AS_OF)
 
@@ -209,6 +217,7 @@ RAW: dict[str, Query] = {
     "src_access": lambda spark, sf: _tables(spark, sf)["access_rights"],
     "src_systems": lambda spark, sf: _tables(spark, sf)["systems"],
     "access_enriched": lambda spark, sf: _tables(spark, sf)["access_rights"],
+    "findings_from_stored": findings_from_stored,
     "rule_catalogue": rule_catalogue,
     "scoring_weights": scoring_weights,
     "control_frameworks": control_frameworks,
