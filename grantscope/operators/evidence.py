@@ -113,3 +113,22 @@ def write_evidence_package(spark: SparkSession, findings: DataFrame, employees:
              .select(F.lit(name).alias("file"), "rows", F.lit(path).alias("path"))
              for name, path in files.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def quick_exports(spark: SparkSession, findings: DataFrame, employees: DataFrame, access: DataFrame,
+                  out_dir: str) -> DataFrame:
+    """All findings, the full employee table and active grants as CSV; index (file, rows, path)."""
+    base = out_dir.rstrip("/")
+    files = {
+        "all_findings.csv": (sinks.write_csv(export_view(sorted_findings(findings)), f"{base}/all_findings.csv"),
+                             T.StructType([T.StructField(f.name, T.StringType() if f.name in (
+                                 "detected_at", "sla_deadline", "frameworks") else f.dataType)
+                                 for f in schemas.FINDINGS.fields])),
+        "employees.csv": (sinks.write_csv(employees, f"{base}/employees.csv"), schemas.EMPLOYEES),
+        "active_access.csv": (sinks.write_csv(access_snapshot(access), f"{base}/active_access.csv"),
+                              schemas.ACCESS_RIGHTS),
+    }
+    parts = [sinks.read_csv(spark, path, schema).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(name).alias("file"), "rows", F.lit(path).alias("path"))
+             for name, (path, schema) in files.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -154,3 +154,17 @@ def exec_header(findings: DataFrame, employees: DataFrame, access: DataFrame) ->
 def active_ratio(employees: DataFrame) -> DataFrame:
     """Share of employees whose status is active."""
     return employees.agg(F.avg((F.col("status") == "active").cast("double")).alias("active_ratio"))
+
+
+# Display tiers of the average-risk gauge (differ from the risk bands).
+GAUGE_TIERS = [(70, "red"), (45, "orange"), (25, "amber")]
+
+
+def risk_gauge(findings: DataFrame) -> DataFrame:
+    """X-m3: average risk (1 dp) and its gauge tier."""
+    avg = findings.agg(mean_1dp(F.col("risk_score")).alias("avg_risk_score"))
+    tier = None
+    for t, name in GAUGE_TIERS:
+        c = F.col("avg_risk_score") >= t
+        tier = F.when(c, F.lit(name)) if tier is None else tier.when(c, F.lit(name))
+    return avg.withColumn("gauge_tier", tier.otherwise(F.lit("green")))

@@ -433,6 +433,16 @@ ORACLE: dict[str, str] = {
                                 "max(ts) AS last_seen, count(*) AS log_events FROM access_log "
                                 "GROUP BY employee_id, system_id) l ON a.employee_id = l.employee_id "
                                 "AND a.system_id = l.system_id", log=True),
+    "quick_exports_index": with_(FINDINGS, """SELECT * FROM (VALUES
+        ('all_findings.csv', (SELECT count(*) FROM findings)),
+        ('employees.csv', (SELECT count(*) FROM employees)),
+        ('active_access.csv', (SELECT count(*) FROM access_rights WHERE is_active))) t(file, rows)"""),
+    "risk_gauge": with_(FINDINGS, f"SELECT avg_risk_score, CASE WHEN avg_risk_score >= 70 THEN 'red' "
+                        "WHEN avg_risk_score >= 45 THEN 'orange' WHEN avg_risk_score >= 25 THEN 'amber' "
+                        f"ELSE 'green' END AS gauge_tier FROM (SELECT {mean_sql()} AS avg_risk_score FROM findings)"),
+    "stream_last_used_from_log": with_([], f"SELECT employee_id, system_id, strftime(max(ts), {TS_FMT}) AS last_seen, "
+                                       "count(*) AS log_events FROM access_log GROUP BY employee_id, system_id",
+                                       log=True),
     "stream_terminated_access": with_(findings_ctes(rules=["RULE-001", "RULE-003", "RULE-006", "RULE-007"]),
                                       "SELECT * FROM findings"),
 }

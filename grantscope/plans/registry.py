@@ -122,6 +122,18 @@ def findings_from_stored(spark, sf):
     return run_all_rules(t["employees"], t["access_rights"], AS_OF)
 
 
+def quick_exports_index(spark, sf):
+    d = _tables(spark, sf)
+    f = build_findings(d["employees"], d["access_rights"], AS_OF)
+    idx = E.quick_exports(spark, f, d["employees"], d["access_rights"], shared_dir(spark, "exports"))
+    return idx.select("file", "rows")
+
+
+def stream_last_used_from_log(spark, sf):
+    from grantscope.streaming import usage
+    return usage.run_available_now(spark, sf, shared_dir(spark, "usage-stream"))
+
+
 def stream_terminated_access(spark, sf):
     return continuous.run_available_now(spark, sf, shared_dir(spark, "stream"), AS_OF)
 
@@ -228,6 +240,7 @@ RAW: dict[str, Query] = {
     "evidence_employee_snapshot": lambda spark, sf: E.employee_snapshot(_tables(spark, sf)["employees"]),
     "evidence_summary_meta": evidence_summary_meta,
     "evidence_package_index": evidence_package_index,
+    "quick_exports_index": quick_exports_index,
     # rules
     "rule_001_terminated": _rule("RULE-001"),
     "rule_002_dormant": _rule("RULE-002"),
@@ -294,6 +307,8 @@ RAW: dict[str, Query] = {
                                                          _tables(spark, sf)["employees"]),
     "last_used_from_log": last_used_from_log,
     "stream_terminated_access": stream_terminated_access,
+    "stream_last_used_from_log": stream_last_used_from_log,
+    "risk_gauge": _on_findings(S.risk_gauge),
 }
 
 
