@@ -58,3 +58,34 @@ def ensure_local_dir(path: str) -> None:
     p = local_path(path)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+# Settings for a large cluster (~100 TB of grants). SQL settings can be applied
+# to a running session with ``apply_sql_conf``; the rest belong on spark-submit.
+CLUSTER_SQL_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",  # upper bound; AQE coalesces small partitions
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+CLUSTER_SUBMIT_CONF = {
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.speculation": "true",
+}
+
+
+def apply_sql_conf(spark: SparkSession, conf: dict | None = None) -> SparkSession:
+    for k, v in (conf or CLUSTER_SQL_CONF).items():
+        spark.conf.set(k, v)
+    return spark
