@@ -7,7 +7,7 @@ Two branches replace seven separate passes:
   ``explode`` of the matching rule ids;
 * per employee (R4, R5): active grants are aggregated per employee *before*
   the join — the first privileged grant, the first grant with any SoD role
-  and a bitmask of the SoD roles held — so map-side partial aggregation
+  and the set of conflict-pair roles held — so map-side partial aggregation
   collapses even an employee that owns a third of all grants, and only one
   row per employee reaches the join.
 
@@ -81,15 +81,8 @@ def per_grant_hits(employees: DataFrame, access: DataFrame, rules=PER_GRANT_RULE
     )
 
 
-def _role_bit_sql(roles) -> str:
-    whens = " ".join(f"WHEN {sql.lit(r)} THEN {1 << i}" for i, r in enumerate(roles))
-    return f"(CASE sod_role {whens} ELSE 0 END)"
-
-
 def _pairs_sql(pairs) -> str:
-    roles = cat.SOD_ROLES
-    items = [f"named_struct('a', {sql.lit(a)}, 'b', {sql.lit(b)}, 'mask', "
-             f"{(1 << roles.index(a)) | (1 << roles.index(b))})" for a, b in pairs]
+    items = [f"named_struct('a', {sql.lit(a)}, 'b', {sql.lit(b)})" for a, b in pairs]
     return "array(" + ", ".join(items) + ")"
 
 
@@ -108,7 +101,7 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
     rules = [r for r in PER_EMPLOYEE_RULES if r in rules]
     want_sod = "RULE-004" in rules
     want_mfa = "RULE-005" in rules
-    pairs = [p for p in params.sod_pairs if p[0] in cat.SOD_ROLES and p[1] in cat.SOD_ROLES]
+    pairs = [tuple(p) for p in params.sod_pairs]
 
     priv = f"access_level IN {sql.in_list(params.privileged_levels)}"
     has_sod = "sod_role IS NOT NULL"
@@ -120,7 +113,12 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
         aggs.append(F.expr(f"min_by({grant}, CASE WHEN {priv} THEN access_id END)").alias("first_priv"))
     if want_sod:
         aggs.append(F.expr(f"min_by({grant}, CASE WHEN {has_sod} THEN access_id END)").alias("first_sod"))
-        aggs.append(F.expr(f"bit_or({_role_bit_sql(cat.SOD_ROLES)})").alias("role_mask"))
+        # Only roles that occur in a conflict pair are kept, so the set has at most that many
+        # entries per employee whatever the number of grants; being a typed aggregate it also
+        # lets the planner use a hash-based (ObjectHashAggregate) node instead of sorting.
+        known = sorted({r for p in pairs for r in p})
+        aggs.append(F.expr(f"collect_set(CASE WHEN sod_role IN {sql.in_list(known)} THEN sod_role END)")
+                    .alias("roles"))
     # Partial aggregation on the map side: a hot employee is reduced per task before the shuffle.
     per_emp = access.where(f"{ACTIVE} AND ({relevant})").groupBy("employee_id").agg(*aggs)
 
@@ -133,7 +131,8 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
                      f"THEN array({_item_sql('RULE-005', 'first_priv', 'NULL', 'NULL')}) "
                      f"ELSE CAST(array() AS {ITEM_TYPE}) END")
     if want_sod and pairs:
-        parts.append(f"transform(filter({_pairs_sql(pairs)}, p -> (role_mask & p.mask) = p.mask), "
+        parts.append(f"transform(filter({_pairs_sql(pairs)}, "
+                     f"p -> array_contains(roles, p.a) AND array_contains(roles, p.b)), "
                      f"p -> {_item_sql('RULE-004', 'first_sod', 'p.a', 'p.b')})")
     items = parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
 
