@@ -68,28 +68,34 @@ def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.expr(e).alias(name) for name, e in exprs])
 
 
-def fan_out_small(df: DataFrame) -> DataFrame:
+def fan_out_small(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread an under-split scan over the cluster's default parallelism.
 
     A file that is one Parquet row group is read by a single task whatever
     its size. When a scan yields fewer partitions than the default
-    parallelism, its rows are redistributed once so the CPU-heavy derivations
-    and joins run on every core. Large inputs already have more splits than
-    cores and are left untouched (no shuffle at scale).
+    parallelism, its rows are redistributed once (hashed on the table's key,
+    which is deterministic on retry and needs no local sort, unlike a
+    round-robin split) so the CPU-heavy derivations and joins run on every
+    core. Large inputs already have more splits than cores and are left
+    untouched: no shuffle at scale.
     """
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in SMALL_DIMENSIONS else fan_out_small(df)
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n)
 
 
+# Key column of each test table (used to spread under-split scans evenly).
+TABLE_KEYS = {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id"}
 # Dimension tables with a handful of rows: never worth redistributing.
 SMALL_DIMENSIONS = {"nation", "region"}
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in SMALL_DIMENSIONS else fan_out_small(df, TABLE_KEYS.get(name))
+
+
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.validate(_select(read_table(spark, sf_dir, "customer"), EMPLOYEE_EXPRS), schemas.EMPLOYEES, "employees")
 
