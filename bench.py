@@ -39,10 +39,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
-    # Warm-up pass on the smallest sibling scale factor: loads classes, fills the
+    # Warm-up pass on a smaller sibling scale factor: loads classes, fills the
     # code generation cache and lets the JIT compile the hot paths. No data or
     # result is reused by the timed pass (different input files).
-    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), os.environ.get("BENCH_WARM_SF", "sf0.01"))
     if not os.path.isdir(warm_dir):
         warm_dir = sf_dir
     for name in HEADLINE:

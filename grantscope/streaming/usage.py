@@ -25,10 +25,11 @@ def log_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.p
 
 def windowed_usage(log: DataFrame, window: str = "1 day", watermark: str = "2 days") -> DataFrame:
     """Per (day window, employee, system): last event time and number of events."""
+    # Watermarks need TIMESTAMP; the reported time stays the original (zone-free) value.
     t = log.withColumn("_ts", F.col("ts").cast("timestamp"))
     return (t.withWatermark("_ts", watermark)
             .groupBy(F.window("_ts", window).alias("w"), "employee_id", "system_id")
-            .agg(F.max("_ts").alias("last_seen"), F.count(F.lit(1)).alias("events")))
+            .agg(F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("events")))
 
 
 def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame:
@@ -54,5 +55,5 @@ def fold_updates(updates: DataFrame) -> DataFrame:
     latest = (updates.groupBy("window_start", "employee_id", "system_id")
               .agg(F.max("last_seen").alias("last_seen"), F.max("events").alias("events")))
     return (latest.groupBy("employee_id", "system_id")
-            .agg(F.max("last_seen").cast("timestamp_ntz").alias("last_seen"),
+            .agg(F.max("last_seen").alias("last_seen"),
                  F.sum("events").alias("log_events")))
