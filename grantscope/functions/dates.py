@@ -13,10 +13,6 @@ def as_of_ts(as_of: str = AS_OF_DEFAULT) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def days_since(as_of: str, d: Column) -> Column:
-    """Whole days from date ``d`` to the review time: ``(as_of - midnight(d)).days``."""
-    return F.datediff(F.to_date(as_of_ts(as_of)), d)
-
 
 def plus_hours(ts: Column, hours: Column) -> Column:
     return F.timestamp_add("HOUR", hours, ts)

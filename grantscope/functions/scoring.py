@@ -21,10 +21,6 @@ def literal_map(mapping: dict) -> Column:
     return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
 
 
-def lookup(mapping: dict, key: Column, default) -> Column:
-    """``mapping.get(key, default)`` — NULL or unknown keys fall back to ``default``."""
-    return F.coalesce(F.try_element_at(literal_map(mapping), key), F.lit(default))
-
 
 def score_sql(severity: str, criticality: str, level: str) -> str:
     base = case_lookup(severity, {k: float(v) for k, v in cat.SEVERITY_BASE.items()}, float(cat.DEFAULT_SEVERITY_BASE))

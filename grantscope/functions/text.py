@@ -10,22 +10,6 @@ from pyspark.sql import functions as F
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
-def render(template: str, fields: dict[str, Column]) -> Column:
-    """Fill ``{name}`` placeholders of ``template`` with columns.
-
-    NULL values render as ``None``, as a Python f-string would.
-    """
-    parts: list[Column] = []
-    pos = 0
-    for m in _PLACEHOLDER.finditer(template):
-        if m.start() > pos:
-            parts.append(F.lit(template[pos:m.start()]))
-        parts.append(F.coalesce(fields[m.group(1)].cast("string"), F.lit("None")))
-        pos = m.end()
-    if pos < len(template):
-        parts.append(F.lit(template[pos:]))
-    return F.concat(*parts)
-
 
 def title_words(c: Column) -> Column:
     """``x.replace('_', ' ').title()`` for the ASCII enum values in use."""

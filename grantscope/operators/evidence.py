@@ -132,3 +132,22 @@ def quick_exports(spark: SparkSession, findings: DataFrame, employees: DataFrame
              .select(F.lit(name).alias("file"), "rows", F.lit(path).alias("path"))
              for name, (path, schema) in files.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def view_exports(spark: SparkSession, filtered_findings: DataFrame, inventory: DataFrame, admin: DataFrame,
+                 out_dir: str) -> DataFrame:
+    """CSV of the current findings filter, of the filtered inventory and of its admin grants.
+
+    Returns an index (file, rows, path) read back from what was written.
+    """
+    base = out_dir.rstrip("/")
+    written = {
+        "findings_filtered.csv": sinks.write_csv(export_view(sorted_findings(filtered_findings)),
+                                                 f"{base}/findings_filtered.csv"),
+        "access_inventory.csv": sinks.write_csv(inventory, f"{base}/access_inventory.csv"),
+        "admin_grants.csv": sinks.write_csv(admin, f"{base}/admin_grants.csv"),
+    }
+    parts = [spark.read.options(**sinks.CSV_OPTIONS).csv(path).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(name).alias("file"), "rows", F.lit(path).alias("path"))
+             for name, path in written.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
-from grantscope import schemas
 from grantscope.functions import sqltext as sql
 from grantscope.functions import text
 from grantscope.functions.scoring import band_sql, score_sql
@@ -34,10 +33,6 @@ def finding_id_sql() -> str:
     return f"concat('FND-', upper(substring(md5(concat_ws('|', {key})), 1, 16)))"
 
 
-def finding_id(rule_id: Column, access_id: Column, employee_id: Column, role_a: Column, role_b: Column) -> Column:
-    key = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (rule_id, access_id, employee_id, role_a, role_b)])
-    return F.concat(F.lit("FND-"), F.upper(F.substring(F.md5(key), 1, 16)))
-
 
 DETAIL_FIELDS = {
     "term_days": "coalesce(cast(term_days AS STRING), '?')",
@@ -131,7 +126,3 @@ def export_view(findings: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(c))
     return findings.select(*cols)
-
-
-def empty_findings(spark) -> DataFrame:
-    return spark.createDataFrame([], schemas.FINDINGS)

@@ -437,6 +437,11 @@ ORACLE: dict[str, str] = {
         ('all_findings.csv', (SELECT count(*) FROM findings)),
         ('employees.csv', (SELECT count(*) FROM employees)),
         ('active_access.csv', (SELECT count(*) FROM access_rights WHERE is_active))) t(file, rows)"""),
+    "view_exports_index": with_(FINDINGS, """SELECT * FROM (VALUES
+        ('findings_filtered.csv', (SELECT count(*) FROM findings WHERE severity = 'CRITICAL')),
+        ('access_inventory.csv', (SELECT count(*) FROM access_rights WHERE is_active)),
+        ('admin_grants.csv', (SELECT count(*) FROM access_rights WHERE is_active AND access_level = 'admin'))
+        ) t(file, rows)"""),
     "risk_gauge": with_(FINDINGS, f"SELECT avg_risk_score, CASE WHEN avg_risk_score >= 70 THEN 'red' "
                         "WHEN avg_risk_score >= 45 THEN 'orange' WHEN avg_risk_score >= 25 THEN 'amber' "
                         f"ELSE 'green' END AS gauge_tier FROM (SELECT {mean_sql()} AS avg_risk_score FROM findings)"),

@@ -129,6 +129,15 @@ def quick_exports_index(spark, sf):
     return idx.select("file", "rows")
 
 
+def view_exports_index(spark, sf):
+    """S9–S11 with the dashboard defaults: CRITICAL findings, active inventory, its admin grants."""
+    d = _tables(spark, sf)
+    f = V.filter_findings(build_findings(d["employees"], d["access_rights"], AS_OF), severity="CRITICAL")
+    inv = V.access_inventory(d["access_rights"], d["employees"])
+    idx = E.view_exports(spark, f, inv, inv.where(F.col("access_level") == "admin"), shared_dir(spark, "views"))
+    return idx.select("file", "rows")
+
+
 def stream_last_used_from_log(spark, sf):
     from grantscope.streaming import usage
     return usage.run_available_now(spark, sf, shared_dir(spark, "usage-stream"))
@@ -241,6 +250,7 @@ RAW: dict[str, Query] = {
     "evidence_summary_meta": evidence_summary_meta,
     "evidence_package_index": evidence_package_index,
     "quick_exports_index": quick_exports_index,
+    "view_exports_index": view_exports_index,
     # rules
     "rule_001_terminated": _rule("RULE-001"),
     "rule_002_dormant": _rule("RULE-002"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,15 +48,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base}/grantscope/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only bookkeeping (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
 
 
 # Settings for a large cluster (~100 TB of grants). SQL settings can be applied
