@@ -312,6 +312,7 @@ ORACLE: dict[str, str] = {
     "finding_id_unique": with_(FINDINGS, "SELECT rule_id, count(*) AS findings, count(DISTINCT finding_id) "
                                "AS distinct_ids FROM findings GROUP BY rule_id"),
     "summary_kpis": with_(FINDINGS, KPI_SQL),
+    "review_kpis": with_(FINDINGS, KPI_SQL),
     "summary_by_severity": with_(FINDINGS, _vc("severity")),
     "summary_by_type": with_(FINDINGS, _vc("finding_type")),
     "summary_by_department": with_(FINDINGS, _vc("department")),

@@ -138,6 +138,13 @@ def view_exports_index(spark, sf):
     return idx.select("file", "rows")
 
 
+def review_kpis(spark, sf):
+    """A review run: findings written once to the shared folder, KPIs read from them."""
+    from grantscope.review import Review
+    d = _tables(spark, sf)
+    return Review(spark, d["employees"], d["access_rights"], AS_OF).kpis()
+
+
 def stream_last_used_from_log(spark, sf):
     from grantscope.streaming import usage
     return usage.run_available_now(spark, sf, shared_dir(spark, "usage-stream"))
@@ -265,6 +272,7 @@ RAW: dict[str, Query] = {
     "finding_id_unique": finding_id_unique,
     # summaries
     "summary_kpis": summary_kpis,
+    "review_kpis": review_kpis,
     "summary_by_severity": _on_findings(lambda f: S.value_counts(f, "severity")),
     "summary_by_type": _on_findings(lambda f: S.value_counts(f, "finding_type")),
     "summary_by_department": _on_findings(lambda f: S.value_counts(f, "department")),
