@@ -61,8 +61,12 @@ def critical_without_justification(inv: DataFrame) -> DataFrame:
 
 
 def admin_grants(inv: DataFrame) -> DataFrame:
-    """T5: admin grants, stalest first (NULL last-use first)."""
-    return (inv.where(F.col("access_level") == "admin")
+    """T5: admin grants, stalest first (NULL last-use first).
+
+    The hash exchange on the grant id lets the range sort sample shuffle
+    output instead of recomputing the inventory join.
+    """
+    return (inv.where(F.col("access_level") == "admin").repartition("access_id")
             .select(F.col("full_name").alias("Employee"), F.col("department").alias("Dept"),
                     F.col("system_name").alias("System"), F.col("system_criticality").alias("Criticality"),
                     F.col("granted_date").alias("Granted"), F.col("last_used_date").alias("Last Used"),
@@ -93,17 +97,17 @@ def access_table_view(inv: DataFrame) -> DataFrame:
 def filter_options(findings: DataFrame) -> DataFrame:
     """option lists — severities in band order, departments and types sorted.
 
-    Long form (kind, value, position); distinct values first, so the ranking
-    window only sees one row per value.
+    Long form (kind, value, position). One pass over the findings emits the
+    three (kind, value) pairs of each row; ``distinct`` (map-side combined)
+    leaves one row per value, so the ranking window only sees those.
     """
-    sev = findings.select(F.lit("severity").alias("kind"), F.col("severity").alias("value")).distinct() \
-        .withColumn("_k", band_rank("value"))
-    dept = findings.select(F.lit("department").alias("kind"), F.col("department").alias("value")).distinct() \
-        .withColumn("_k", F.lit(0))
-    typ = findings.select(F.lit("finding_type").alias("kind"), F.col("finding_type").alias("value")).distinct() \
-        .withColumn("_k", F.lit(0))
-    u = sev.unionByName(dept).unionByName(typ).where(F.col("value").isNotNull())
-    w = Window.partitionBy("kind").orderBy("_k", "value")
+    pairs = F.expr(
+        "explode(array(named_struct('kind', 'severity', 'value', severity), "
+        "named_struct('kind', 'department', 'value', department), "
+        "named_struct('kind', 'finding_type', 'value', finding_type)))")
+    u = findings.select(pairs.alias("o")).select("o.kind", "o.value").where(F.col("value").isNotNull()).distinct()
+    k = F.when(F.col("kind") == "severity", band_rank("value")).otherwise(F.lit(0))
+    w = Window.partitionBy("kind").orderBy(k, F.col("value"))
     return u.select("kind", "value", F.row_number().over(w).cast("bigint").alias("position"))
 
 
@@ -114,11 +118,9 @@ def manager_flag(employees: DataFrame) -> DataFrame:
                             F.coalesce(F.col("title").rlike(rx), F.lit(False)).alias("is_manager_title"))
 
 
-def finding_detail(findings: DataFrame, finding_id) -> DataFrame:
-    """F11 + F16: the detail card of one finding (first match)."""
-    fid = finding_id if not isinstance(finding_id, str) else F.lit(finding_id)
-    row = findings.where(F.col("finding_id") == fid).orderBy(*risk_order()).limit(1)
-    return row.select(
+def detail_card(findings: DataFrame) -> DataFrame:
+    """F16: detail-card fields of each given finding."""
+    return findings.select(
         "finding_id", "rule_id", "rule_name", "detail", F.array_join("frameworks", ", ").alias("frameworks"),
         F.col("employee_name").alias("Employee"), F.col("department").alias("Department"),
         F.col("system_name").alias("System"), F.upper("access_level").alias("Access"),
@@ -128,9 +130,10 @@ def finding_detail(findings: DataFrame, finding_id) -> DataFrame:
         F.coalesce(F.col("status"), F.lit("OPEN")).alias("Status"))
 
 
-def top_finding_id(findings: DataFrame) -> DataFrame:
-    """One-row frame with the id of the highest-risk finding."""
-    return sort_by_risk(findings).select("finding_id").limit(1)
+def finding_detail(findings: DataFrame, finding_id: str) -> DataFrame:
+    """F11 + F16: the detail card of one finding by id (first match)."""
+    return detail_card(findings.where(F.col("finding_id") == F.lit(finding_id)).orderBy(*risk_order()).limit(1))
+
 
 
 def findings_page(findings: DataFrame, page: int, per_page: int = 12) -> DataFrame:
@@ -187,15 +190,22 @@ def sod_complement_grants(access: DataFrame) -> DataFrame:
 def domain_violations(employees: DataFrame, access: DataFrame) -> DataFrame:
     """U4: values outside their allowed set, duplicate keys and grants without an owner.
 
-    Long form (table_name, column_name, value, n); every check is an aggregate.
+    Long form (table_name, column_name, value, n). All value checks of a
+    table run in one pass (each row emits its out-of-domain values, which
+    are then counted); duplicate keys and missing owners are one aggregate
+    and one anti join each.
     """
-    def outside(df, table, col, allowed, nullable=False):
-        bad = ~F.col(col).isin(allowed)
-        if not nullable:
-            bad = bad | F.col(col).isNull()
-        return (df.where(bad).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-                .select(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-                        F.coalesce(F.col("value"), F.lit("<null>")).alias("value"), "n"))
+    def outside(df, table, checks):
+        items = []
+        for col, allowed, nullable in checks:
+            bad = ~F.col(col).isin(allowed)
+            if not nullable:
+                bad = bad | F.col(col).isNull()
+            items.append(F.when(bad, F.struct(F.lit(col).alias("column_name"),
+                                              F.coalesce(F.col(col), F.lit("<null>")).alias("value"))))
+        x = df.select(F.explode(F.array_compact(F.array(*items))).alias("v"))
+        return (x.groupBy("v.column_name", "v.value").agg(F.count(F.lit(1)).alias("n"))
+                .select(F.lit(table).alias("table_name"), "column_name", "value", "n"))
 
     def dupes(df, table, col):
         return (df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -208,10 +218,10 @@ def domain_violations(employees: DataFrame, access: DataFrame) -> DataFrame:
                              F.lit("employee_id (no employee)").alias("column_name"),
                              F.lit("<missing>").alias("value"), "n"))
     parts = [
-        outside(employees, "employees", "status", cat.EMPLOYEE_STATUSES),
-        outside(access, "access_rights", "access_level", cat.ACCESS_LEVELS),
-        outside(access, "access_rights", "system_criticality", cat.CRITICALITIES),
-        outside(access, "access_rights", "sod_role", cat.SOD_ROLES, nullable=True),
+        outside(employees, "employees", [("status", cat.EMPLOYEE_STATUSES, False)]),
+        outside(access, "access_rights", [("access_level", cat.ACCESS_LEVELS, False),
+                                          ("system_criticality", cat.CRITICALITIES, False),
+                                          ("sod_role", cat.SOD_ROLES, True)]),
         dupes(employees, "employees", "employee_id"),
         dupes(access, "access_rights", "access_id"),
         missing_owner,

@@ -192,9 +192,9 @@ def control_frameworks(spark, sf):
 def risk_score_matrix(spark, sf):
     """Score and band of every (severity, criticality, level) seen in findings."""
     f = _findings(spark, sf)
-    return (f.groupBy("severity", "system_criticality", "access_level")
-            .agg(F.count(F.lit(1)).alias("findings"), F.max("risk_score").alias("risk_score"),
-                 F.max("risk_band").alias("risk_band")))
+    # score and band are functions of the three keys, so they join the grouping keys
+    return (f.groupBy("severity", "system_criticality", "access_level", "risk_score", "risk_band")
+            .agg(F.count(F.lit(1)).alias("findings")))
 
 
 def finding_id_unique(spark, sf):
@@ -205,9 +205,8 @@ def finding_id_unique(spark, sf):
 
 
 def finding_detail(spark, sf):
-    f = _findings(spark, sf)
-    top = V.top_finding_id(f)
-    return V.finding_detail(f.join(top, "finding_id", "left_semi"), F.col("finding_id"))
+    """F11 + F16: the detail card of the highest-risk finding (one top-1 pass, no second scan)."""
+    return V.detail_card(V.top_findings(_findings(spark, sf), 1))
 
 
 def access_append(spark, sf):
