@@ -58,16 +58,17 @@ def assign_managers(employees: DataFrame) -> DataFrame:
 
     "First" is the smallest ``employee_id`` among ``is_manager`` rows of the
     department (any status); that manager gets NULL, as does a department with
-    no manager. The per-department table has one row per department and is
-    joined back with a bounded broadcast, so no department is shuffled into a
-    single task.
+    no manager. The per-department table (one row per department, partial-
+    aggregated on the map side) is a shuffle stage whose real size AQE knows
+    before it plans the join back, so it is broadcast at runtime without a
+    second pass over the employees, and no department is shuffled into one task.
     """
     firsts = (
         employees.where(F.col("is_manager") & F.col("department").isNotNull())
         .groupBy("department")
         .agg(F.min("employee_id").alias("_dept_manager"))
     )
-    j = employees.join(bounded_broadcast(firsts), "department", "left")
+    j = employees.join(firsts, "department", "left")
     mgr = F.when(F.col("_dept_manager") != F.col("employee_id"), F.col("_dept_manager"))
     return j.select(*[mgr.alias("manager_id") if c == "manager_id" else F.col(c) for c in employees.columns])
 
