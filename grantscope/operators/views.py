@@ -144,6 +144,26 @@ def findings_page(findings: DataFrame, page: int, per_page: int = 12) -> DataFra
             .withColumn("page", F.lit(page).cast("bigint")))
 
 
+def findings_after(findings: DataFrame, last: dict | None, n: int = 12) -> DataFrame:
+    """Keyset page: the ``n`` findings that follow ``last`` in risk order (``None`` = first page).
+
+    ``last`` holds the sort key of the previous page's last row (risk_score,
+    severity, rule_id, access_id, employee_id, finding_id). Each task keeps
+    only ``n`` rows however deep the page, unlike an offset.
+    """
+    if last is None:
+        return top_findings(findings, n)
+    keys = [("risk_score", "desc"), ("severity", "asc"), ("rule_id", "asc"), ("access_id", "asc"),
+            ("employee_id", "asc"), ("finding_id", "asc")]
+    after = None
+    for i in range(len(keys) - 1, -1, -1):
+        col, direction = keys[i]
+        v = F.lit(last[col])
+        strictly = F.col(col) < v if direction == "desc" else F.col(col) > v
+        after = strictly if after is None else (strictly | ((F.col(col) == v) & after))
+    return top_findings(findings.where(after), n)
+
+
 def top_findings(findings: DataFrame, n: int) -> DataFrame:
     """The ``n`` highest-risk findings (a top-k, planned as TakeOrderedAndProject)."""
     return sort_by_risk(findings).limit(n)
