@@ -107,6 +107,28 @@ DETAIL_TEMPLATES = {
                 "justification. Approval documentation is required.",
 }
 
+# Identifiers and texts of the outputs.
+FINDING_ID_PREFIX = "FND-"
+PACKAGE_ID_PREFIX = "EVD-"
+PACKAGE_DIR_PREFIX = "evidence_package_"
+REVIEW_PERIOD_PREFIX = "Continuous — Snapshot as of "
+FINDING_STATUS_OPEN = "OPEN"
+EMPLOYEE_SNAPSHOT_COLUMNS = ["employee_id", "full_name", "department", "title", "status", "hire_date",
+                             "termination_date"]
+
+# Display settings: page size, top-N sizes, text truncation widths.
+FINDINGS_PER_PAGE = 12
+TOP_SYSTEMS = 10
+TOP_DEPARTMENTS = 8
+REPORT_DETAIL_WIDTH = 120
+CARD_DETAIL_WIDTH = 150
+
+# Display tiers of a score: console risk style (>= 70, >= 40) and average-risk gauge (>= 70, >= 45, >= 25).
+CONSOLE_RISK_STYLES = [(70, "bold red"), (40, "yellow")]
+CONSOLE_RISK_STYLE_DEFAULT = "green"
+GAUGE_TIERS = [(70, "red"), (45, "orange"), (25, "amber")]
+GAUGE_TIER_DEFAULT = "green"
+
 # ── end of fixed values ─────────────────────────────────────────────────────
 
 RULE_BY_ID = {r["id"]: r for r in RULES}

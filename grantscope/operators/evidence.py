@@ -22,8 +22,7 @@ from grantscope.operators.findings import export_view, sorted_findings
 from grantscope.session import AS_OF_DEFAULT
 from grantscope.sources import sinks
 
-EMPLOYEE_SNAPSHOT_COLUMNS = ["employee_id", "full_name", "department", "title", "status", "hire_date",
-                             "termination_date"]
+EMPLOYEE_SNAPSHOT_COLUMNS = cat.EMPLOYEE_SNAPSHOT_COLUMNS
 
 
 def access_snapshot(access: DataFrame) -> DataFrame:
@@ -46,7 +45,7 @@ def summary_long(findings: DataFrame) -> DataFrame:
 
     return reduce(lambda a, b: a.unionByName(b), [
         vc("by_severity", "severity"), vc("by_type", "finding_type"),
-        vc("by_department", "department"), vc("by_system", "system_name", 10)])
+        vc("by_department", "department"), vc("by_system", "system_name", cat.TOP_SYSTEMS)])
 
 
 def package_stamp(as_of: str) -> str:
@@ -64,12 +63,12 @@ def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, a
     kpi_cols = [c for c in k.columns]
     ts = datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S")
     meta = [
-        F.lit(f"EVD-{package_stamp(as_of)}").alias("package_id"),
+        F.lit(f"{cat.PACKAGE_ID_PREFIX}{package_stamp(as_of)}").alias("package_id"),
         F.lit(ts.isoformat()).alias("generated_at"),
         F.lit(cat.GENERATED_BY).alias("generated_by"),
         F.lit(cat.CONTROL["id"]).alias("control_id"),
         F.lit(cat.CONTROL["name"]).alias("control_name"),
-        F.lit("Continuous — Snapshot as of " + ts.strftime("%Y-%m-%d")).alias("review_period"),
+        F.lit(cat.REVIEW_PERIOD_PREFIX + ts.strftime("%Y-%m-%d")).alias("review_period"),
         F.lit(", ".join(cat.COMPLIANCE_FRAMEWORKS)).alias("frameworks"),
     ]
     if not with_maps:
@@ -89,7 +88,7 @@ def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, a
 def write_evidence_package(spark: SparkSession, findings: DataFrame, employees: DataFrame, access: DataFrame,
                            out_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
     """Write the package under ``out_dir`` and return its index (file, rows, path)."""
-    pkg = f"{out_dir.rstrip('/')}/evidence_package_{package_stamp(as_of)}"
+    pkg = f"{out_dir.rstrip('/')}/{cat.PACKAGE_DIR_PREFIX}{package_stamp(as_of)}"
     stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet")
     files = {
         "findings.csv": sinks.write_csv(export_view(sorted_findings(stored)), f"{pkg}/findings.csv"),

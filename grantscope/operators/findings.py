@@ -30,7 +30,7 @@ def _rule_case(rules, field: str) -> str:
 def finding_id_sql() -> str:
     """Deterministic id: ``FND-`` + 16 upper hex digits of md5(rule|access|employee|role_a|role_b)."""
     key = ", ".join(f"coalesce({c}, '')" for c in ("rule_id", "access_id", "employee_id", "role_a", "role_b"))
-    return f"concat('FND-', upper(substring(md5(concat_ws('|', {key})), 1, 16)))"
+    return f"concat({sql.lit(cat.FINDING_ID_PREFIX)}, upper(substring(md5(concat_ws('|', {key})), 1, 16)))"
 
 
 
@@ -74,7 +74,8 @@ def to_findings(hits: DataFrame, as_of: str = AS_OF_DEFAULT, params: cat.RulePar
         f"{finding_id_sql()} AS finding_id", "rule_id", "rule_name", "finding_type", "severity", "risk_score",
         f"{band_sql('risk_score')} AS risk_band", "employee_id", "full_name AS employee_name", "department",
         "system_id", "system_name", "system_criticality", "access_level", "access_id",
-        f"{_detail_sql(rules)} AS detail", "'OPEN' AS status", f"{detected} AS detected_at",
+        f"{_detail_sql(rules)} AS detail", f"{sql.lit(cat.FINDING_STATUS_OPEN)} AS status",
+        f"{detected} AS detected_at",
         f"timestampadd(HOUR, sla_hours, {detected}) AS sla_deadline", "frameworks",
     )
 

@@ -156,15 +156,16 @@ def active_ratio(employees: DataFrame) -> DataFrame:
     return employees.agg(F.avg((F.col("status") == "active").cast("double")).alias("active_ratio"))
 
 
-# Display tiers of the average-risk gauge (differ from the risk bands).
-GAUGE_TIERS = [(70, "red"), (45, "orange"), (25, "amber")]
+def tiers(value: Column, thresholds, default: str) -> Column:
+    """First tier whose threshold ``value`` reaches (thresholds in descending order)."""
+    expr = None
+    for t, name in thresholds:
+        c = value >= t
+        expr = F.when(c, F.lit(name)) if expr is None else expr.when(c, F.lit(name))
+    return expr.otherwise(F.lit(default))
 
 
 def risk_gauge(findings: DataFrame) -> DataFrame:
-    """X-m3: average risk (1 dp) and its gauge tier."""
+    """X-m3: average risk (1 dp) and its gauge tier (tiers differ from the risk bands)."""
     avg = findings.agg(mean_1dp(F.col("risk_score")).alias("avg_risk_score"))
-    tier = None
-    for t, name in GAUGE_TIERS:
-        c = F.col("avg_risk_score") >= t
-        tier = F.when(c, F.lit(name)) if tier is None else tier.when(c, F.lit(name))
-    return avg.withColumn("gauge_tier", tier.otherwise(F.lit("green")))
+    return avg.withColumn("gauge_tier", tiers(F.col("avg_risk_score"), cat.GAUGE_TIERS, cat.GAUGE_TIER_DEFAULT))

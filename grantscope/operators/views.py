@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
 from grantscope.functions import text
-from grantscope.functions.scoring import band_rank
+from grantscope.functions.scoring import band_rank, literal_map
 from grantscope.operators.findings import risk_order, sort_by_risk
 from grantscope.operators.joins import inventory
+from grantscope.operators.summary import tiers
 
 
 def filter_findings(findings: DataFrame, severity: str | None = None, department: str | None = None,
@@ -127,7 +128,7 @@ def detail_card(findings: DataFrame) -> DataFrame:
         F.upper("system_criticality").alias("Criticality"),
         F.concat(F.col("risk_score").cast("string"), F.lit(" / 100")).alias("Risk Score"),
         F.col("risk_band").alias("Risk Band"), text.minute_stamp(F.col("sla_deadline")).alias("SLA"),
-        F.coalesce(F.col("status"), F.lit("OPEN")).alias("Status"))
+        F.coalesce(F.col("status"), F.lit(cat.FINDING_STATUS_OPEN)).alias("Status"))
 
 
 def finding_detail(findings: DataFrame, finding_id: str) -> DataFrame:
@@ -136,7 +137,7 @@ def finding_detail(findings: DataFrame, finding_id: str) -> DataFrame:
 
 
 
-def findings_page(findings: DataFrame, page: int, per_page: int = 12) -> DataFrame:
+def findings_page(findings: DataFrame, page: int, per_page: int = cat.FINDINGS_PER_PAGE) -> DataFrame:
     """Page ``page`` (1-based) of the risk-sorted findings."""
     if page < 1:
         raise ValueError("page starts at 1")
@@ -144,7 +145,7 @@ def findings_page(findings: DataFrame, page: int, per_page: int = 12) -> DataFra
             .withColumn("page", F.lit(page).cast("bigint")))
 
 
-def findings_after(findings: DataFrame, last: dict | None, n: int = 12) -> DataFrame:
+def findings_after(findings: DataFrame, last: dict | None, n: int = cat.FINDINGS_PER_PAGE) -> DataFrame:
     """Keyset page: the ``n`` findings that follow ``last`` in risk order (``None`` = first page).
 
     ``last`` holds the sort key of the previous page's last row (risk_score,
@@ -169,7 +170,7 @@ def top_findings(findings: DataFrame, n: int) -> DataFrame:
     return sort_by_risk(findings).limit(n)
 
 
-def report_rows(findings: DataFrame, width: int = 120) -> DataFrame:
+def report_rows(findings: DataFrame, width: int = cat.REPORT_DETAIL_WIDTH) -> DataFrame:
     """X-s2, X-s5: rows of the executive report table."""
     return findings.select(
         "finding_id", "severity", text.spaced(F.col("finding_type")).alias("type"), "employee_name",
@@ -181,7 +182,7 @@ def display_rows(findings: DataFrame, n: int = 30) -> DataFrame:
     score = F.col("risk_score")
     return top_findings(findings, n).select(
         "finding_id", "severity", F.bround(score, 0).cast("bigint").alias("risk"),
-        F.when(score >= 70, "bold red").when(score >= 40, "yellow").otherwise("green").alias("risk_style"),
+        tiers(score, cat.CONSOLE_RISK_STYLES, cat.CONSOLE_RISK_STYLE_DEFAULT).alias("risk_style"),
         text.title_words(F.col("finding_type")).alias("type"), "employee_name", "department", "system_name",
         text.minute_stamp(F.col("sla_deadline")).alias("sla"))
 
@@ -197,7 +198,6 @@ def sod_complement_grants(access: DataFrame) -> DataFrame:
     """Grants completing a conflicting pair: for each active grant of a pair's first role,
     the same owner is given the second role on the same system (ids ``SOD…``)."""
     first_to_second = {a: b for a, b in cat.SOD_CONFLICT_PAIRS}
-    from grantscope.functions.scoring import literal_map
     other = F.try_element_at(literal_map(first_to_second), F.col("sod_role"))
     src = access.where((F.col("is_active") == F.lit(True)) & other.isNotNull())
     return src.select(*[

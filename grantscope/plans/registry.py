@@ -275,8 +275,8 @@ RAW: dict[str, Query] = {
     "summary_by_severity": _on_findings(lambda f: S.value_counts(f, "severity")),
     "summary_by_type": _on_findings(lambda f: S.value_counts(f, "finding_type")),
     "summary_by_department": _on_findings(lambda f: S.value_counts(f, "department")),
-    "summary_top_systems": _on_findings(lambda f: S.top_counts(f, "system_name", 10)),
-    "top_departments": _on_findings(lambda f: S.top_counts(f, "department", 8)),
+    "summary_top_systems": _on_findings(lambda f: S.top_counts(f, "system_name", cat.TOP_SYSTEMS)),
+    "top_departments": _on_findings(lambda f: S.top_counts(f, "department", cat.TOP_DEPARTMENTS)),
     "finding_type_breakdown": _on_findings(S.type_breakdown),
     "dept_type_pivot": _on_findings(S.dept_type_pivot),
     "risk_histogram": _on_findings(S.risk_histogram),
