@@ -64,6 +64,9 @@ CLUSTER_SQL_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # streaming dedup / window state kept off-heap and checkpointed incrementally
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 CLUSTER_SUBMIT_CONF = {
     "spark.task.maxFailures": "8",
