@@ -87,16 +87,22 @@ def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, a
 
 def write_evidence_package(spark: SparkSession, findings: DataFrame, employees: DataFrame, access: DataFrame,
                            out_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
-    """Write the package under ``out_dir`` and return its index (file, rows, path)."""
+    """Write the package under ``out_dir`` and return its index (file, rows, path).
+
+    The package folder is named after the review time, and every file in it
+    is written in overwrite mode: re-running a package that was interrupted
+    (lost driver or executors) redoes it in place instead of failing.
+    """
     pkg = f"{out_dir.rstrip('/')}/{cat.PACKAGE_DIR_PREFIX}{package_stamp(as_of)}"
-    stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet")
+    ow = "overwrite"
+    stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet", ow)
     files = {
-        "findings.csv": sinks.write_csv(export_view(sorted_findings(stored)), f"{pkg}/findings.csv"),
-        "findings.json": sinks.write_json(export_view(stored), f"{pkg}/findings.json"),
-        "access_snapshot.csv": sinks.write_csv(access_snapshot(access), f"{pkg}/access_snapshot.csv"),
-        "employee_snapshot.csv": sinks.write_csv(employee_snapshot(employees), f"{pkg}/employee_snapshot.csv"),
+        "findings.csv": sinks.write_csv(export_view(sorted_findings(stored)), f"{pkg}/findings.csv", ow),
+        "findings.json": sinks.write_json(export_view(stored), f"{pkg}/findings.json", ow),
+        "access_snapshot.csv": sinks.write_csv(access_snapshot(access), f"{pkg}/access_snapshot.csv", ow),
+        "employee_snapshot.csv": sinks.write_csv(employee_snapshot(employees), f"{pkg}/employee_snapshot.csv", ow),
         "summary.json": sinks.write_json(summary_meta(stored, employees, access, as_of, with_maps=True),
-                                         f"{pkg}/summary.json"),
+                                         f"{pkg}/summary.json", ow),
     }
     export_schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in (
         "detected_at", "sla_deadline", "frameworks") else f.dataType) for f in schemas.FINDINGS.fields])
