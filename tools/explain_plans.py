@@ -1,6 +1,6 @@
 """Write the final (adaptive) physical plans of key queries to a Markdown file.
 
-    python -m grantscope.plans.explain /root/testdata/sf0.01 docs/PLANS.md
+    python tools/explain_plans.py /root/testdata/sf0.01 docs/PLANS.md
 
 Each query's own result is materialised once (a documentation tool on a
 small scale factor: the plan shapes do not depend on it) so its adaptive
@@ -9,10 +9,13 @@ plan is final; lines are shortened to keep the operator tree readable.
 
 from __future__ import annotations
 
+import os
 import sys
 
-from grantscope.plans.registry import QUERIES
-from grantscope.session import build_session
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from grantscope.plans.registry import QUERIES  # noqa: E402
+from grantscope.session import build_session  # noqa: E402
 
 KEY_QUERIES = ["findings_all", "rule_004_sod", "rule_005_mfa", "summary_kpis", "filter_options",
                "manager_assignment", "admin_grants", "last_used_from_log", "top_findings_20"]
@@ -27,7 +30,7 @@ def final_plan(df, width: int = 150) -> str:
 
 def main(sf_dir: str, out: str) -> None:
     spark = build_session("local[8]")
-    parts = ["# Final physical plans\n", f"Generated by `python -m grantscope.plans.explain {sf_dir} {out}` "
+    parts = ["# Final physical plans\n", f"Generated by `python tools/explain_plans.py {sf_dir} {out}` "
              "(local[8], adaptive execution on; long expressions cut).\n"]
     for name in KEY_QUERIES:
         parts.append(f"## {name}\n\n```\n{final_plan(QUERIES[name](spark, sf_dir))}\n```\n")
