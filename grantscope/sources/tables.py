@@ -19,7 +19,18 @@ TABLE_SCHEMAS = {
     "systems": schemas.SYSTEMS,
 }
 
-FORMATS = ("parquet", "orc", "json", "csv")
+FORMATS = ("parquet", "orc", "json", "csv", "pandas_csv")
+
+# Datasets exported by the original tool: one ``<table>.csv`` per table, written
+# by pandas (header, no index, ``True``/``False`` booleans, NULL as an empty field,
+# dates as yyyy-MM-dd). Whitespace is kept so blank justifications stay blank.
+PANDAS_CSV_OPTIONS = {
+    "header": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "dateFormat": "yyyy-MM-dd",
+    "mode": "FAILFAST",
+}
 
 
 def _options(fmt: str) -> dict:
@@ -32,13 +43,18 @@ def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> dict[st
         raise ValueError(f"unsupported format {fmt!r}; one of {FORMATS}")
     out = {}
     for name, schema in TABLE_SCHEMAS.items():
-        df = spark.read.schema(schema).format(fmt).options(**_options(fmt)).load(f"{base.rstrip('/')}/{name}")
+        if fmt == "pandas_csv":
+            df = spark.read.schema(schema).options(**PANDAS_CSV_OPTIONS).csv(f"{base.rstrip('/')}/{name}.csv")
+        else:
+            df = spark.read.schema(schema).format(fmt).options(**_options(fmt)).load(f"{base.rstrip('/')}/{name}")
         out[name] = schemas.validate(df, schema, name)
     return out
 
 
 def write_tables(tables: dict[str, DataFrame], base: str, fmt: str = "parquet", mode: str = "errorifexists") -> str:
-    """Store the three tables under ``base`` (one folder each)."""
+    """Store the three tables under ``base`` (one folder each, any Spark format)."""
+    if fmt not in FORMATS or fmt == "pandas_csv":
+        raise ValueError(f"cannot write {fmt!r}")
     for name, schema in TABLE_SCHEMAS.items():
         df = schemas.validate(tables[name], schema, name)
         df.write.mode(mode).format(fmt).options(**_options(fmt)).save(f"{base.rstrip('/')}/{name}")
