@@ -45,7 +45,7 @@ _TABLE_PLANS: dict = {}
 
 def _tables(spark, sf):
     """Table plans (not data) of one test folder, built once per session."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (id(spark), spark.conf.get("spark.app.id", None), sf)
     if key not in _TABLE_PLANS:
         _TABLE_PLANS[key] = derived.load(spark, sf)
     return _TABLE_PLANS[key]

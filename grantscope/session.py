@@ -27,7 +27,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:
+        pass
     return spark
 
 
@@ -39,10 +42,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext (e.g. Spark Connect)
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="grantscope-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:
+            spark.conf.set("spark.checkpoint.dir", base)
     base = str(base).rstrip("/")
     leaf = "/".join(parts) if parts else "run"
     return f"{base}/grantscope/{leaf}-{uuid.uuid4().hex[:12]}"

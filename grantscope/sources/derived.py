@@ -79,8 +79,11 @@ def fan_out_small(df: DataFrame, key: str | None = None) -> DataFrame:
     core. Large inputs already have more splits than cores and are left
     untouched: no shuffle at scale.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n:
+            return df
+    except Exception:  # no SparkContext (e.g. Spark Connect): leave the scan as it is
         return df
     return df.repartition(n, key) if key else df.repartition(n)
 

@@ -51,7 +51,11 @@ def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFra
 
 
 def fold_updates(updates: DataFrame) -> DataFrame:
-    """Latest update per window (counts are cumulative within a window), then totals per key."""
+    """Latest update per window (counts are cumulative within a window), then totals per key.
+
+    Taking the maximum per window also makes the result exact when a failed
+    micro-batch is retried and its rows are appended a second time.
+    """
     latest = (updates.groupBy("window_start", "employee_id", "system_id")
               .agg(F.max("last_seen").alias("last_seen"), F.max("events").alias("events")))
     return (latest.groupBy("employee_id", "system_id")
