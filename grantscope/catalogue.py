@@ -144,6 +144,9 @@ class RuleParams:
     privileged_levels: tuple = tuple(PRIVILEGED_LEVELS)
     sod_pairs: tuple = tuple(SOD_CONFLICT_PAIRS)
     rules: tuple = field(default_factory=lambda: tuple(RULES))
+    # Route the grants of owners holding a large share of all grants through a
+    # broadcast join instead of the shuffle join (explicit skew split).
+    split_hot_owners: bool = False
 
     def rule(self, rule_id: str) -> dict:
         for r in self.rules:

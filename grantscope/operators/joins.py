@@ -77,3 +77,39 @@ def inventory(access: DataFrame, employees: DataFrame) -> DataFrame:
     """Every grant with owner name, department, status and title (NULL when no owner)."""
     emp = employees.select("employee_id", "full_name", "department", "status", "title")
     return access.join(emp, "employee_id", "left")
+
+
+def hot_keys(big: DataFrame, key: str, fraction: float = 0.01, min_share: float = 0.001,
+             max_keys: int = 64, seed: int = 17) -> list:
+    """Keys of ``big`` that hold at least ``min_share`` of its rows, estimated on a seeded sample.
+
+    The sample only picks which keys to route differently; no row is dropped.
+    At most ``max_keys`` keys are returned (a fixed bound), heaviest first.
+    """
+    s = big.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
+    sampled = s.count()
+    if sampled == 0:
+        return []
+    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # at least a few sampled rows, so small inputs do not promote noise to "hot"
+    heavy = counts.where(F.col("n") >= F.lit(max(10.0, sampled * min_share)))
+    return [r[0] for r in heavy.orderBy(F.col("n").desc(), F.col(key)).limit(max_keys).collect()]
+
+
+def split_hot_keys_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+                        keys: list | None = None, max_small_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Equi join that keeps hot keys of ``big`` off the shuffle.
+
+    Rows of ``big`` whose key is hot are joined with a broadcast of the
+    matching ``small`` rows (when their number is within ``max_small_rows``),
+    so a key holding a third of all rows never lands in one task; all other
+    rows take the ordinary shuffle join. The union is the exact join result.
+    """
+    keys = hot_keys(big, key) if keys is None else keys
+    if not keys:
+        return big.join(small, key, how)
+    is_hot = F.col(key).isin(keys)
+    hot_small = bounded_broadcast(small.where(is_hot), max_small_rows)
+    hot_part = big.where(is_hot).join(hot_small, key, how)
+    cold_part = big.where(~is_hot | F.col(key).isNull()).join(small.where(~is_hot), key, how)
+    return hot_part.unionByName(cold_part)

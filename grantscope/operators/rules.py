@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
 from grantscope.functions import sqltext as sql
+from grantscope.operators.joins import split_hot_keys_join
 from grantscope.session import AS_OF_DEFAULT
 
 PER_GRANT_RULES = ("RULE-001", "RULE-002", "RULE-003", "RULE-006", "RULE-007")
@@ -70,7 +71,10 @@ def per_grant_hits(employees: DataFrame, access: DataFrame, rules=PER_GRANT_RULE
     # Only whether a justification exists matters: ship a flag, not the text, through the join.
     grants = access.where(ACTIVE).select("employee_id", *GRANT_FIELDS, "last_used_date",
                                          F.col("business_justification").isNull().alias("no_justification"))
-    m = grants.join(emp, "employee_id")
+    if params.split_hot_owners:
+        m = split_hot_keys_join(grants, emp, "employee_id")
+    else:
+        m = grants.join(emp, "employee_id")
 
     pred = grant_predicates(as_of, params)
     hit_any = " OR ".join(f"({pred[r]})" for r in rules)

@@ -306,6 +306,7 @@ ORACLE: dict[str, str] = {
     "rule_007_unjustified": with_(FINDINGS, "SELECT * FROM findings WHERE rule_id = 'RULE-007'"),
     "findings_all": with_(FINDINGS, f"SELECT * FROM findings ORDER BY {ORDER}"),
     "findings_from_stored": with_(FINDINGS, "SELECT * FROM findings"),
+    "findings_split_hot_owners": with_(FINDINGS, "SELECT * FROM findings"),
     "risk_score_matrix": with_(FINDINGS, "SELECT severity, system_criticality, access_level, count(*) AS findings, "
                                "max(risk_score) AS risk_score, max(risk_band) AS risk_band FROM findings "
                                "GROUP BY severity, system_criticality, access_level"),

@@ -267,6 +267,7 @@ RAW: dict[str, Query] = {
     "rule_006_orphaned": _rule("RULE-006"),
     "rule_007_unjustified": _rule("RULE-007"),
     "findings_all": findings_all,
+    "findings_split_hot_owners": lambda spark, sf: _findings(spark, sf, params=cat.RuleParams(split_hot_owners=True)),
     "risk_score_matrix": risk_score_matrix,
     "finding_id_unique": finding_id_unique,
     # summaries
