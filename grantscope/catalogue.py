@@ -89,7 +89,6 @@ CONTROL = {
 }
 
 COMPLIANCE_FRAMEWORKS = ["SOC 2 Type II", "PCI DSS v4.0", "ISO 27001:2022"]
-GENERATED_BY = "GRC Control Automation Platform v1.0"
 
 # Finding detail texts, one per rule ({name} = a field of the hit).
 DETAIL_TEMPLATES = {
@@ -132,6 +131,9 @@ GAUGE_TIER_DEFAULT = "green"
 # ── end of fixed values ─────────────────────────────────────────────────────
 
 RULE_BY_ID = {r["id"]: r for r in RULES}
+
+# Name of this tool in the evidence metadata.
+GENERATED_BY = "grantscope"
 SOD_ROLES = [role for pair in SOD_CONFLICT_PAIRS for role in pair]
 
 
