@@ -73,9 +73,11 @@ def assign_managers(employees: DataFrame) -> DataFrame:
     return j.select(*[mgr.alias("manager_id") if c == "manager_id" else F.col(c) for c in employees.columns])
 
 
-def inventory(access: DataFrame, employees: DataFrame) -> DataFrame:
+def inventory(access: DataFrame, employees: DataFrame, split_hot_owners: bool = False) -> DataFrame:
     """Every grant with owner name, department, status and title (NULL when no owner)."""
     emp = employees.select("employee_id", "full_name", "department", "status", "title")
+    if split_hot_owners:
+        return split_hot_keys_join(access, emp, "employee_id", "left")
     return access.join(emp, "employee_id", "left")
 
 

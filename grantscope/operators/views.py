@@ -45,9 +45,10 @@ def search_findings(findings: DataFrame, pattern: str, literal: bool = False) ->
 
 
 def access_inventory(access: DataFrame, employees: DataFrame, active_only: bool = True, status: str | None = None,
-                     level: str | None = None, criticality: str | None = None) -> DataFrame:
+                     level: str | None = None, criticality: str | None = None,
+                     split_hot_owners: bool = False) -> DataFrame:
     """F10 + J2: grants left-joined with their owners, then optional filters."""
-    df = inventory(access, employees)
+    df = inventory(access, employees, split_hot_owners)
     if active_only:
         df = df.where(F.col("is_active") == F.lit(True))
     for col, value in (("status", status), ("access_level", level), ("system_criticality", criticality)):
