@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from grantscope import catalogue as cat
 from grantscope import schemas
+from grantscope.functions import sqltext as sql
 from grantscope.operators import summary as S
 from grantscope.operators.findings import export_view, sorted_findings
 from grantscope.session import AS_OF_DEFAULT
@@ -62,17 +63,18 @@ def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, a
     k = S.kpis(findings, employees, access)
     kpi_cols = [c for c in k.columns]
     ts = datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S")
-    meta = [
-        F.lit(f"{cat.PACKAGE_ID_PREFIX}{package_stamp(as_of)}").alias("package_id"),
-        F.lit(ts.isoformat()).alias("generated_at"),
-        F.lit(cat.GENERATED_BY).alias("generated_by"),
-        F.lit(cat.CONTROL["id"]).alias("control_id"),
-        F.lit(cat.CONTROL["name"]).alias("control_name"),
-        F.lit(cat.REVIEW_PERIOD_PREFIX + ts.strftime("%Y-%m-%d")).alias("review_period"),
-        F.lit(", ".join(cat.COMPLIANCE_FRAMEWORKS)).alias("frameworks"),
-    ]
+    meta_values = {
+        "package_id": f"{cat.PACKAGE_ID_PREFIX}{package_stamp(as_of)}",
+        "generated_at": ts.isoformat(),
+        "generated_by": cat.GENERATED_BY,
+        "control_id": cat.CONTROL["id"],
+        "control_name": cat.CONTROL["name"],
+        "review_period": cat.REVIEW_PERIOD_PREFIX + ts.strftime("%Y-%m-%d"),
+        "frameworks": ", ".join(cat.COMPLIANCE_FRAMEWORKS),
+    }
     if not with_maps:
-        return k.select(*meta, *kpi_cols)
+        return k.selectExpr(*[f"{sql.lit(v)} AS {n}" for n, v in meta_values.items()], *kpi_cols)
+    meta = [F.lit(v).alias(n) for n, v in meta_values.items()]
     long_k = k.select(F.struct(*kpi_cols).alias("kpi"), F.lit(None).cast("string").alias("metric"),
                       F.lit(None).cast("string").alias("key"), F.lit(None).cast("bigint").alias("value"))
     long_c = summary_long(findings).select(F.lit(None).cast(long_k.schema["kpi"].dataType).alias("kpi"),

@@ -66,11 +66,11 @@ def per_grant_hits(employees: DataFrame, access: DataFrame, rules=PER_GRANT_RULE
     needs_act = any(r in rules for r in ("RULE-002", "RULE-003", "RULE-007"))
     statuses = (["terminated"] if needs_term else []) + (["active"] if needs_act else [])
 
-    emp = employees.where(F.col("status").isin(statuses)).select(
+    emp = employees.where(f"status IN {sql.in_list(statuses)}").select(
         "employee_id", "full_name", "department", "status", "termination_date")
     # Only whether a justification exists matters: ship a flag, not the text, through the join.
-    grants = access.where(ACTIVE).select("employee_id", *GRANT_FIELDS, "last_used_date",
-                                         F.col("business_justification").isNull().alias("no_justification"))
+    grants = access.where(ACTIVE).selectExpr("employee_id", *GRANT_FIELDS, "last_used_date",
+                                             "business_justification IS NULL AS no_justification")
     if params.split_hot_owners:
         m = split_hot_keys_join(grants, emp, "employee_id")
     else:
@@ -128,7 +128,7 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
     # Partial aggregation on the map side: a hot employee is reduced per task before the shuffle.
     per_emp = access.where(f"{ACTIVE} AND ({relevant})").groupBy("employee_id").agg(*aggs)
 
-    emp = employees.where(F.col("status") == "active").select("employee_id", "full_name", "department", "mfa_enabled")
+    emp = employees.where("status = 'active'").select("employee_id", "full_name", "department", "mfa_enabled")
     j = per_emp.join(emp, "employee_id")
 
     parts = []

@@ -29,12 +29,16 @@ def fold_rows(*parts: DataFrame) -> DataFrame:
     already aggregated rows travel, never the inputs.
     """
     cols = [(c, t) for p in parts for c, t in p.dtypes]
-    aligned = [p.select(*[F.col(c) if c in p.columns else F.lit(None).cast(t).alias(c) for c, t in cols])
-               for p in parts]
-    u = aligned[0]
-    for a in aligned[1:]:
-        u = u.unionByName(a)
-    return u.agg(*[F.max(c).alias(c) for c, _ in cols])
+    u = None
+    for p in parts:
+        have = set(p.columns)
+        a = p.selectExpr(*[f"`{c}`" if c in have else f"CAST(NULL AS {t}) AS `{c}`" for c, t in cols])
+        u = a if u is None else u.unionByName(a)
+    return u.selectExpr(*[f"max(`{c}`) AS `{c}`" for c, _ in cols])
+
+
+MEAN_1DP_SQL = ("bround(try_divide(CAST(sum(CAST(risk_score AS DECIMAL(5,1))) AS DOUBLE), "
+                "CAST(count(risk_score) AS DOUBLE)), 1)")
 
 
 def kpis(findings: DataFrame, employees: DataFrame, access: DataFrame) -> DataFrame:
@@ -44,23 +48,18 @@ def kpis(findings: DataFrame, employees: DataFrame, access: DataFrame) -> DataFr
     merged once); distinct counts run over findings only. The three one-row
     results are folded together, so no join and no expansion of the inputs.
     """
-    f = findings.agg(
-        F.count(F.lit(1)).alias("total_findings"),
-        *[F.count_if(F.col("severity") == s).alias(f"{s.lower()}_findings") for s in cat.BAND_ORDER],
-        mean_1dp(F.col("risk_score")).alias("avg_risk_score"),
-        F.max("risk_score").alias("max_risk_score"),
-        F.count_distinct(F.col("employee_id")).alias("affected_employees"),
-        F.count_distinct(F.col("system_name")).alias("affected_systems"),
-    )
-    e = employees.agg(F.count_if(F.col("status") == "active").alias("active_employees"))
-    a = access.agg(F.count_if(F.col("is_active") == F.lit(True)).alias("total_access_records"))
-    k = fold_rows(f, e, a)
-    rate = F.bround(
-        (F.lit(1.0) - F.col("total_findings").cast("double")
-         / F.greatest(F.col("total_access_records"), F.lit(1)).cast("double")) * F.lit(100.0), 1)
-    return k.select("total_findings", *[f"{s.lower()}_findings" for s in cat.BAND_ORDER], "avg_risk_score",
-                    "max_risk_score", "active_employees", "total_access_records", "affected_employees",
-                    "affected_systems", rate.alias("compliance_rate"))
+    sev = [f"count_if(severity = '{s}') AS {s.lower()}_findings" for s in cat.BAND_ORDER]
+    f = findings.selectExpr(
+        "count(1) AS total_findings", *sev, f"{MEAN_1DP_SQL} AS avg_risk_score",
+        "max(risk_score) AS max_risk_score", "count(DISTINCT employee_id) AS affected_employees",
+        "count(DISTINCT system_name) AS affected_systems")
+    e = employees.selectExpr("count_if(status = 'active') AS active_employees")
+    a = access.selectExpr("count_if(is_active = true) AS total_access_records")
+    return fold_rows(f, e, a).selectExpr(
+        "total_findings", *[f"{s.lower()}_findings" for s in cat.BAND_ORDER], "avg_risk_score",
+        "max_risk_score", "active_employees", "total_access_records", "affected_employees", "affected_systems",
+        "bround((1.0D - CAST(total_findings AS DOUBLE) / CAST(greatest(total_access_records, 1) AS DOUBLE)) "
+        "* 100.0D, 1) AS compliance_rate")
 
 
 def value_counts(df: DataFrame, key: str, name: str = "findings") -> DataFrame:
@@ -145,9 +144,9 @@ def inventory_stats(inv: DataFrame) -> DataFrame:
 def exec_header(findings: DataFrame, employees: DataFrame, access: DataFrame) -> DataFrame:
     """Employees, active grants, systems with findings (one row)."""
     return fold_rows(
-        employees.agg(F.count(F.lit(1)).alias("employees")),
-        access.agg(F.count_if(F.col("is_active") == F.lit(True)).alias("active_grants")),
-        findings.agg(F.count_distinct("system_name").alias("systems_with_findings")),
+        employees.selectExpr("count(1) AS employees"),
+        access.selectExpr("count_if(is_active = true) AS active_grants"),
+        findings.selectExpr("count(DISTINCT system_name) AS systems_with_findings"),
     )
 
 

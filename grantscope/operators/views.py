@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
+from grantscope.functions import sqltext as sql
 from grantscope.functions import text
 from grantscope.functions.scoring import band_rank, literal_map
 from grantscope.operators.findings import risk_order, sort_by_risk
@@ -38,9 +39,9 @@ def search_findings(findings: DataFrame, pattern: str, literal: bool = False) ->
         return findings
     if literal:
         pattern = "\\Q" + pattern.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    rx = "(?i)" + pattern
-    hit = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"`{c}`").cast("string").rlike(rx), F.lit(False))
-                                      for c in findings.columns])
+    rx = sql.lit("(?i)" + pattern)
+    hit = " OR ".join(f"coalesce(CAST(`{c.replace('`', '``')}` AS STRING) RLIKE {rx}, false)"
+                      for c in findings.columns)
     return findings.where(hit)
 
 

@@ -2,30 +2,37 @@
 
 Dates become ``yyyy-MM-dd``, timestamps ``yyyy-MM-dd HH:mm:ss``, arrays a
 comma-joined string and small integers ``bigint`` — a stable, engine-neutral
-schema for exports and for comparison with SQL oracles.
+schema for exports and for comparison with SQL oracles. Built as one
+``selectExpr`` (one call, one analysis), and skipped when nothing changes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def record_format(df: DataFrame) -> DataFrame:
-    cols = []
+    exprs, changed = [], False
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
+        c, t = _quote(f.name), f.dataType
         if isinstance(t, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            e = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(t, (T.TimestampNTZType, T.TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            e = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
         elif isinstance(t, T.ArrayType):
-            c = F.array_join(c, ", ")
+            e = f"array_join({c}, ', ')"
         elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast("bigint")
+            e = f"CAST({c} AS BIGINT)"
         elif isinstance(t, T.DecimalType):
-            c = c.cast("double")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST({c} AS DOUBLE)"
+        else:
+            exprs.append(c)
+            continue
+        changed = True
+        exprs.append(f"{e} AS {c}")
+    return df.selectExpr(*exprs) if changed else df
