@@ -145,13 +145,22 @@ def review_kpis(spark, sf):
     return Review(spark, d["employees"], d["access_rights"], AS_OF).kpis()
 
 
+def _state_partitions(spark) -> int | None:
+    """State partitions for the test-data streams: the cluster's parallelism (small state)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return None
+
+
 def stream_last_used_from_log(spark, sf):
     from grantscope.streaming import usage
-    return usage.run_available_now(spark, sf, shared_dir(spark, "usage-stream"))
+    return usage.run_available_now(spark, sf, shared_dir(spark, "usage-stream"), _state_partitions(spark))
 
 
 def stream_terminated_access(spark, sf):
-    return continuous.run_available_now(spark, sf, shared_dir(spark, "stream"), AS_OF)
+    return continuous.run_available_now(spark, sf, shared_dir(spark, "stream"), AS_OF,
+                                        state_partitions=_state_partitions(spark))
 
 
 def rule_catalogue(spark, sf):

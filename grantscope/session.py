@@ -91,3 +91,20 @@ def apply_sql_conf(spark: SparkSession, conf: dict | None = None) -> SparkSessio
     for k, v in (conf or CLUSTER_SQL_CONF).items():
         spark.conf.set(k, v)
     return spark
+
+
+def start_stream(spark: SparkSession, writer, state_partitions: int | None = None):
+    """Start a streaming query, optionally with its own number of state/shuffle partitions.
+
+    A stream fixes its shuffle (state store) partition count in its checkpoint
+    when it first starts; it is taken from the session at ``start()``, so the
+    setting is applied only around that call and the session is restored.
+    """
+    if not state_partitions:
+        return writer.start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -17,7 +17,7 @@ from grantscope import schemas
 from grantscope.operators.findings import to_findings
 from grantscope.operators.joins import enrich_with_systems
 from grantscope.operators.rules import per_grant_hits
-from grantscope.session import AS_OF_DEFAULT
+from grantscope.session import AS_OF_DEFAULT, start_stream
 from grantscope.sources import derived
 
 STREAM_RULES = ("RULE-001", "RULE-003", "RULE-006", "RULE-007")
@@ -51,16 +51,20 @@ def streaming_findings(grants: DataFrame, employees: DataFrame, systems: DataFra
 
 
 def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = AS_OF_DEFAULT,
-                      rules=STREAM_RULES) -> DataFrame:
-    """Process every grant file available now, then stop; return the sink as a batch frame."""
+                      rules=STREAM_RULES, state_partitions: int | None = None) -> DataFrame:
+    """Process every grant file available now, then stop; return the sink as a batch frame.
+
+    ``state_partitions`` sets the dedup state's partition count when the
+    checkpoint is new (it cannot change later); by default the session's.
+    """
     grants = grant_stream(spark, sf_dir)
     f = streaming_findings(grants, derived.employees(spark, sf_dir), derived.systems(spark, sf_dir), as_of, rules)
-    q = (f.writeStream.format("parquet")
-         .option("path", f"{out_dir}/findings")
-         .option("checkpointLocation", f"{out_dir}/_checkpoint")
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
+    writer = (f.writeStream.format("parquet")
+              .option("path", f"{out_dir}/findings")
+              .option("checkpointLocation", f"{out_dir}/_checkpoint")
+              .outputMode("append")
+              .trigger(availableNow=True))
+    q = start_stream(spark, writer, state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

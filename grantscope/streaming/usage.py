@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantscope.session import start_stream
 from grantscope.sources import derived
 
 
@@ -32,7 +33,8 @@ def windowed_usage(log: DataFrame, window: str = "1 day", watermark: str = "2 da
             .agg(F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("events")))
 
 
-def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame:
+def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str,
+                      state_partitions: int | None = None) -> DataFrame:
     table = f"{out_dir}/window_updates"
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -40,10 +42,11 @@ def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFra
                       F.lit(epoch_id).alias("epoch"))
          .write.mode("append").parquet(table))
 
-    q = (windowed_usage(log_stream(spark, sf_dir)).writeStream.outputMode("update")
-         .foreachBatch(append_batch)
-         .option("checkpointLocation", f"{out_dir}/_checkpoint")
-         .trigger(availableNow=True).start())
+    writer = (windowed_usage(log_stream(spark, sf_dir)).writeStream.outputMode("update")
+              .foreachBatch(append_batch)
+              .option("checkpointLocation", f"{out_dir}/_checkpoint")
+              .trigger(availableNow=True))
+    q = start_stream(spark, writer, state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
