@@ -46,6 +46,10 @@ class Review:
     def kpis(self) -> DataFrame:
         return S.kpis(self.findings(), self.employees, self.access)
 
+    def summary(self) -> DataFrame:
+        """One row: the KPIs and the count maps by severity, type, department and top systems."""
+        return E.summary_meta(self.findings(), self.employees, self.access, self.as_of, with_maps=True)
+
     def by(self, column: str) -> DataFrame:
         return S.value_counts(self.findings(), column)
 
