@@ -255,10 +255,10 @@ def _pivot_sql() -> str:
 
 
 def _meta_cols() -> str:
-    return (f"'EVD-20010901_120000' AS package_id, '2001-09-01T12:00:00' AS generated_at, "
+    return (f"{q(cat.PACKAGE_ID_PREFIX + '20010901_120000')} AS package_id, '2001-09-01T12:00:00' AS generated_at, "
             f"{q(cat.GENERATED_BY)} AS generated_by, {q(cat.CONTROL['id'])} AS control_id, "
             f"{q(cat.CONTROL['name'])} AS control_name, "
-            f"{q('Continuous — Snapshot as of 2001-09-01')} AS review_period, "
+            f"{q(cat.REVIEW_PERIOD_PREFIX + '2001-09-01')} AS review_period, "
             f"{q(', '.join(cat.COMPLIANCE_FRAMEWORKS))} AS frameworks")
 
 
