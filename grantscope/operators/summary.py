@@ -17,7 +17,7 @@ from grantscope.functions.scoring import band_rank
 
 def mean_1dp(score: Column, n: Column | None = None) -> Column:
     """Average score rounded half-even to 1 decimal, summed exactly as decimal (order independent)."""
-    total = F.sum(score.cast("decimal(5,1)")).cast("double")
+    total = F.sum(score.cast("decimal(7,1)")).cast("double")
     return F.bround(F.try_divide(total, (n if n is not None else F.count(score)).cast("double")), 1)
 
 
@@ -37,7 +37,7 @@ def fold_rows(*parts: DataFrame) -> DataFrame:
     return u.selectExpr(*[f"max(`{c}`) AS `{c}`" for c, _ in cols])
 
 
-MEAN_1DP_SQL = ("bround(try_divide(CAST(sum(CAST(risk_score AS DECIMAL(5,1))) AS DOUBLE), "
+MEAN_1DP_SQL = ("bround(try_divide(CAST(sum(CAST(risk_score AS DECIMAL(7,1))) AS DOUBLE), "
                 "CAST(count(risk_score) AS DOUBLE)), 1)")
 
 
@@ -125,7 +125,7 @@ def findings_metrics(findings: DataFrame) -> DataFrame:
     return findings.agg(
         F.count(F.lit(1)).alias("findings"),
         F.count_if(F.col("severity") == "CRITICAL").alias("critical"),
-        F.bround(F.try_divide(F.sum(F.col("risk_score").cast("decimal(5,1)")).cast("double"),
+        F.bround(F.try_divide(F.sum(F.col("risk_score").cast("decimal(7,1)")).cast("double"),
                               F.count(F.lit(1)).cast("double")), 0).alias("avg_risk"),
         F.count_distinct("system_name").alias("systems_affected"),
     )

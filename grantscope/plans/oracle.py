@@ -141,7 +141,7 @@ def title_sql(x: str) -> str:
 
 
 def mean_sql(col: str = "risk_score", digits: int = 1) -> str:
-    return f"round_even(CAST(sum(CAST({col} AS DECIMAL(5,1))) AS DOUBLE) / CAST(count(*) AS DOUBLE), {digits})"
+    return f"round_even(CAST(sum(CAST({col} AS DECIMAL(7,1))) AS DOUBLE) / CAST(count(*) AS DOUBLE), {digits})"
 
 
 KPI_SQL = f"""SELECT
