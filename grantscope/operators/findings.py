@@ -28,9 +28,13 @@ def _rule_case(rules, field: str) -> str:
 
 
 def finding_id_sql() -> str:
-    """Deterministic id: ``FND-`` + 16 upper hex digits of md5(rule|access|employee|role_a|role_b)."""
+    """Deterministic id: ``FND-`` + the 32 upper hex digits of md5(rule|access|employee|role_a|role_b).
+
+    All 128 bits are kept: with ~1e11 findings a 64-bit id would already
+    expect collisions (birthday bound), a 128-bit one does not.
+    """
     key = ", ".join(f"coalesce({c}, '')" for c in ("rule_id", "access_id", "employee_id", "role_a", "role_b"))
-    return f"concat({sql.lit(cat.FINDING_ID_PREFIX)}, upper(substring(md5(concat_ws('|', {key})), 1, 16)))"
+    return f"concat({sql.lit(cat.FINDING_ID_PREFIX)}, upper(md5(concat_ws('|', {key}))))"
 
 
 

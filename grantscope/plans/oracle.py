@@ -111,8 +111,8 @@ def scored_ctes() -> list[str]:
     return [
         f"scored AS (SELECT h.*, r.rule_name, r.finding_type, r.severity, r.sla_hours, r.frameworks, "
         f"{score} AS risk_score FROM hits h JOIN rules r ON h.rule_id = r.rule_id)",
-        "findings AS (SELECT 'FND-' || upper(substr(md5(concat_ws('|', rule_id, coalesce(access_id, ''), "
-        "coalesce(employee_id, ''), coalesce(role_a, ''), coalesce(role_b, ''))), 1, 16)) AS finding_id, "
+        "findings AS (SELECT 'FND-' || upper(md5(concat_ws('|', rule_id, coalesce(access_id, ''), "
+        "coalesce(employee_id, ''), coalesce(role_a, ''), coalesce(role_b, '')))) AS finding_id, "
         "rule_id, rule_name, finding_type, severity, risk_score, "
         "CASE WHEN risk_score >= 80 THEN 'CRITICAL' WHEN risk_score >= 55 THEN 'HIGH' "
         "WHEN risk_score >= 30 THEN 'MEDIUM' ELSE 'LOW' END AS risk_band, "
