@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to ship to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
+# Largest dimension we are willing to ship to every executor: about 20 MB at
+# ~100 bytes per row, small enough to copy to a thousand executors.
+BROADCAST_MAX_ROWS = 200_000
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
