@@ -447,6 +447,14 @@ ORACLE: dict[str, str] = {
     "risk_gauge": with_(FINDINGS, f"SELECT avg_risk_score, CASE WHEN avg_risk_score >= 70 THEN 'red' "
                         "WHEN avg_risk_score >= 45 THEN 'orange' WHEN avg_risk_score >= 25 THEN 'amber' "
                         f"ELSE 'green' END AS gauge_tier FROM (SELECT {mean_sql()} AS avg_risk_score FROM findings)"),
+    "rule_002_dormant_with_logs": with_(
+        ["seen AS (SELECT employee_id, system_id, CAST(max(ts) AS DATE) AS last_seen FROM access_log "
+         "GROUP BY employee_id, system_id)",
+         "refreshed AS (SELECT a.access_id, a.employee_id, a.system_id, a.system_name, a.system_criticality, "
+         "a.access_level, a.granted_date, greatest(a.last_used_date, s.last_seen) AS last_used_date, a.granted_by, "
+         "a.business_justification, a.is_active, a.sod_role, a.review_status FROM access_rights a "
+         "LEFT JOIN seen s ON a.employee_id = s.employee_id AND a.system_id = s.system_id)"]
+        + findings_ctes(access="refreshed", rules=["RULE-002"]), "SELECT * FROM findings", log=True),
     "stream_last_used_from_log": with_([], f"SELECT employee_id, system_id, strftime(max(ts), {TS_FMT}) AS last_seen, "
                                        "count(*) AS log_events FROM access_log GROUP BY employee_id, system_id",
                                        log=True),

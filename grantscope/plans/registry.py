@@ -234,6 +234,13 @@ def last_used_from_log(spark, sf):
     return X.last_used_from_log(d["access_rights"], derived.access_log(spark, sf))
 
 
+def rule_002_dormant_with_logs(spark, sf):
+    """R2 on grants whose last use is refreshed from the access logs."""
+    d = _tables(spark, sf)
+    acc = X.with_log_last_use(d["access_rights"], derived.access_log(spark, sf))
+    return build_findings(d["employees"], acc, AS_OF, rules=("RULE-002",))
+
+
 def custom_predicate_rule(spark, sf):
     d = _tables(spark, sf)
     return X.custom_rule_findings(d["employees"], d["access_rights"], CUSTOM_RULE, CUSTOM_PREDICATE, AS_OF)
@@ -333,6 +340,7 @@ RAW: dict[str, Query] = {
     "unowned_grants": lambda spark, sf: J.unowned_grants(_tables(spark, sf)["access_rights"],
                                                          _tables(spark, sf)["employees"]),
     "last_used_from_log": last_used_from_log,
+    "rule_002_dormant_with_logs": rule_002_dormant_with_logs,
     "stream_terminated_access": stream_terminated_access,
     "stream_last_used_from_log": stream_last_used_from_log,
     "risk_gauge": _on_findings(S.risk_gauge),
