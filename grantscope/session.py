@@ -37,28 +37,24 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (local tests)
-    a scratch folder is created and registered as the checkpoint dir.
+    The setting is read from the session (or the context's checkpoint folder).
+    Only a plain local master, where driver and tasks share one machine, may
+    leave it unset: then a scratch folder is made. On a cluster an unset
+    folder is an error, because executors could not see a driver-local path.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        try:
-            base = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext (e.g. Spark Connect)
-            base = None
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="grantscope-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:
-            spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
+        base = spark.sparkContext.getCheckpointDir()
     base = str(base).rstrip("/")
     leaf = "/".join(parts) if parts else "run"
     return f"{base}/grantscope/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
-
-
 # Settings for a large cluster (~100 TB of grants). SQL settings can be applied
 # to a running session with ``apply_sql_conf``; the rest belong on spark-submit.
 CLUSTER_SQL_CONF = {
