@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantscope.llm import line_dedup, quality
+from grantscope.llm import byte_bpe, line_dedup, quality, token_counts
+
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +27,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("clean", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op8_line_dedup)}
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_RANKS)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+QUERIES = {f.__name__: f for f in (op6_quality_rules, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}

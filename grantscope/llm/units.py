@@ -2,9 +2,8 @@
 
 A text is cut before single spaces, so a unit is a word with the space before it. Arrow finds the distinct
 units of a slice of texts; each is encoded once (and kept in a bounded cache of the Python worker), and the
-texts' results are gathered from the units' by index. Cutting before a space is exact for an encoder whose tokens
-never cross from another character to a space. Where white space stands next to a space (runs, tabs, ends of lines) the
-boundary depends on more than the unit, so such texts are handed to the caller whole.
+texts' results are gathered from the units' by index. Where a cut before a space isn't proven independent (a
+space beside other white space, for instance), the caller's pattern says so, and the whole text is one unit.
 """
 
 from __future__ import annotations
@@ -15,9 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: White space beside a space, a space at the end of the text, or a leading one: no cut there is proven.
-UNSAFE = r"\s\s|^ | $|[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-CACHE_UNITS = 400_000
+#: Distinct units that a worker keeps encoded; beyond it the cache starts anew (this bounds memory only).
+CACHE_UNITS = 500_000
 
 
 class UnitCache:
@@ -35,22 +33,34 @@ class UnitCache:
         return [known[u] for u in units]
 
 
-def distinct_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Units of texts without unsafe places: offsets of each text, index of each unit, and the distinct units.
-
-    The first unit of a text has no space before it, so it is listed apart from the same word further on.
+def distinct_units(texts: pa.Array, unsafe: str) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
+    """Offsets of each text in the units, the index of each unit, and the distinct units: words that a space goes
+    before (without that space), then the others: first words of texts, and whole texts that match ``unsafe``.
     """
-    parts = pc.split_pattern(texts, " ")
+    whole = pc.match_substring_regex(texts, unsafe)
+    parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
     offsets = parts.offsets.to_numpy().astype(np.int64)
+    offsets -= offsets[0]
     flat = parts.flatten().dictionary_encode()
     index = flat.indices.to_numpy().astype(np.int64)
-    units = [" " + u for u in flat.dictionary.to_pylist()]
+    plain = flat.dictionary.to_pylist()
     heads, at = np.unique(index[offsets[:-1]], return_inverse=True)
-    index[offsets[:-1]] = len(units) + at
-    units += [units[i][1:] for i in heads.tolist()]
-    return offsets - offsets[0], index, units
+    index[offsets[:-1]] = len(plain) + at
+    others = [plain[i] for i in heads.tolist()]
+    for row in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+        index[offsets[row]] = len(plain) + len(others)
+        others.append(texts[row].as_py())
+    return offsets, index, plain, others
+
 
+def gather(values: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the units ``index``, one after another, and the offset of each unit in them (one more at the end).
 
-def safe_texts(texts: pa.Array) -> np.ndarray:
-    """Which texts can be cut into units; the others are encoded whole."""
-    return ~pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
+    ``values``: each distinct unit's ids as little-endian unsigned 32-bit integers.
+    """
+    flat = np.frombuffer(b"".join(values), np.uint32)
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    starts = np.cumsum(sizes) - sizes
+    ends = np.cumsum(sizes[index])
+    ids = flat[np.repeat(starts[index] - ends + sizes[index], sizes[index]) + np.arange(ends[-1] if len(ends) else 0)]
+    return ids, np.concatenate([[0], ends])
