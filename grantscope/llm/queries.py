@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantscope.llm import byte_bpe, line_dedup, quality, token_counts
+from grantscope.llm import byte_bpe, line_dedup, packing, quality, token_counts
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -22,6 +23,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_removed_words")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("clean", 256).alias("kept_sha256"))
@@ -35,6 +40,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op6_quality_rules, op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
