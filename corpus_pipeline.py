@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grantscope.llm import line_dedup, quality
+from grantscope.llm import line_dedup, packing, quality, queries, secrets, simhash
 from grantscope.llm.common import stored
 
 
@@ -21,9 +21,27 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one with the smallest id."""
+    return simhash.first_of_groups(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Found secrets are masked; every document stays."""
+    return secrets.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences."""
+    return packing.pack_documents(docs, queries.BYTE_TOKENIZER)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", dedup_lines),
+    ("near-dedup", near_dedup),
+    ("secret scans", mask_secrets),
+    ("packing", pack),
 ]
 
 #: SQL can't express the later stages; tests hold run() against a brute-force version.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantscope.llm import byte_bpe, line_dedup, packing, quality, token_counts
+from grantscope.llm import byte_bpe, line_dedup, packing, quality, secrets, simhash, token_counts
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["rank"] == secrets.KINDS.index(kind))).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in secrets.KINDS[:secrets.BASE]),
+                        F.sha2(secrets.described("base"), 256).alias("base_sha256"), secrets.described("spans").alias("spans"))
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.line_verdicts(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -40,6 +52,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op2_secret_scans, op4_simhash_near_dedup, op6_quality_rules, op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
