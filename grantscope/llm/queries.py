@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantscope.llm import byte_bpe, line_dedup, packing, quality, secrets, simhash, token_counts
+from grantscope.llm import ann, byte_bpe, katz, licenses, line_dedup, packing, quality, secrets, simhash, token_counts
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["rank"] == secrets.KINDS.index(kind))).cast("long")
@@ -24,11 +28,20 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secrets.described("base"), 256).alias("base_sha256"), secrets.described("spans").alias("spans"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.line_verdicts(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -53,6 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_secret_scans, op4_simhash_near_dedup, op6_quality_rules, op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
+    op1_katz_backoff, op2_secret_scans, op3_nearest_neighbours, op4_simhash_near_dedup, op5_license_scans, op6_quality_rules,
+    op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts)}
 
 ORACLE: dict[str, str] = {}
