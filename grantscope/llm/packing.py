@@ -29,6 +29,8 @@ from grantscope.llm.cutting import cut_stock
 from grantscope.llm.units import UnitCache, distinct_units, gather
 
 CAPACITY = 1024
+#: How byte-level tokenizers write the space (a fixed value).
+SPACE_CHAR = "\u0120"
 #: Rows that one salt of a length numbers, where all documents have that length.
 SALT_ROWS = 200_000
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -38,11 +40,26 @@ PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens l
 
 @functools.lru_cache(maxsize=2)
 def _ids_of(path: str) -> UnitCache:
+    """Ids of units by the library.
+
+    Units that start with their only space are encoded many to a text, which is the same by their independence: a token
+    that starts with a space is a unit's first one. The others (white space at the end, or no space first) go one by one.
+    """
     tokenizer = Tokenizer.from_file(path)
+    first = np.zeros(tokenizer.get_vocab_size(), bool)
+    first[[i for piece, i in tokenizer.get_vocab().items() if piece[0] == SPACE_CHAR]] = True
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(units: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+        alone = [i for i, u in enumerate(units) if u[:1] != " " or u[-1].isspace() or " " in u[1:]]
+        out = dict(zip(alone, ids_of([units[i] for i in alone])))
+        joined = [i for i in range(len(units)) if i not in out]
+        ids = np.concatenate([np.zeros(0, np.uint32), *ids_of(["".join([units[i] for i in joined[a:a + 512]]) for a in range(0, len(joined), 512)])])
+        ends = np.append(np.flatnonzero(first[ids]), len(ids)).tolist()
+        out |= {i: ids[a:b] for i, a, b in zip(joined, ends[:-1], ends[1:], strict=True)}
+        return [out[i].tobytes() for i in range(len(units))]
 
     return UnitCache(encode)
 

@@ -14,23 +14,36 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct units that a worker keeps encoded; beyond it the cache starts anew (this bounds memory only).
-CACHE_UNITS = 500_000
+#: Units in each of the two generations of a worker's cache (this bounds memory only), and units encoded at a time.
+GENERATION = 150_000
+ENCODED_AT_A_TIME = 16_384
 
 
 class UnitCache:
-    """Encodes distinct units once. ``encode`` takes a list of strings and gives one value for each."""
+    """Encodes distinct units once. ``encode`` takes a list of strings and gives one value (not None) for each.
+
+    Two generations: when the young one is full it becomes the old one, and what is used again moves up.
+    """
 
     def __init__(self, encode: Callable[[list[str]], Sequence]):
-        self.encode, self.known = encode, {}
+        self.encode, self.young, self.old = encode, {}, {}
 
     def __call__(self, units: list[str]) -> list:
-        if len(self.known) + len(units) > CACHE_UNITS:
-            self.known = {}
-        known = self.known
-        new = [u for u in units if u not in known]
-        known.update(zip(new, self.encode(new)))
-        return [known[u] for u in units]
+        values = list(map(self.young.get, units))
+        missing = [i for i, v in enumerate(values) if v is None]
+        names = [units[i] for i in missing]
+        found = list(map(self.old.get, names))
+        new = [j for j, v in enumerate(found) if v is None]
+        for at in range(0, len(new), ENCODED_AT_A_TIME):
+            part = new[at:at + ENCODED_AT_A_TIME]
+            for j, v in zip(part, self.encode([names[j] for j in part])):
+                found[j] = v
+        if len(self.young) + len(names) > GENERATION:
+            self.old, self.young = self.young, {}
+        self.young.update(zip(names[:GENERATION], found))
+        for i, v in zip(missing, found):
+            values[i] = v
+        return values
 
 
 def distinct_units(texts: pa.Array, unsafe: str) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
