@@ -5,6 +5,6 @@ evidence exports, all expressed with the DataFrame / SQL API so that Catalyst
 plans them and the work is spread over the cluster.
 """
 
-from grantscope.session import AS_OF_DEFAULT, build_session, shared_dir
+from grantscope.session import build_session, shared_dir
 
-__all__ = ["AS_OF_DEFAULT", "build_session", "shared_dir"]
+__all__ = ["build_session", "shared_dir"]

@@ -12,9 +12,15 @@ from __future__ import annotations
 
 import argparse
 import json
+from datetime import datetime
 
+from grantscope.operators import summary as S
 from grantscope.review import Review
-from grantscope.session import AS_OF_DEFAULT, build_session
+from grantscope.session import build_session
+
+
+#: Counts printed of each kind, largest first.
+MAX_GROUPS = 100
 
 
 def main(argv=None) -> None:
@@ -23,11 +29,13 @@ def main(argv=None) -> None:
     src.add_argument("--derived", help="folder of the TPC-H-like test tables to derive the review tables from")
     src.add_argument("--tables", help="folder holding employees/, access_rights/, systems/")
     ap.add_argument("--format", default="parquet", help="format of --tables (parquet, orc, json, csv)")
-    ap.add_argument("--as-of", default=AS_OF_DEFAULT, help="review time, yyyy-MM-dd HH:mm:ss")
+    ap.add_argument("--as-of", default=None, help="review time, yyyy-MM-dd HH:mm:ss (default: now; it is printed)")
     ap.add_argument("--top", type=int, default=30, help="number of top findings to print")
     ap.add_argument("--evidence", help="folder to write the evidence package to")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     args = ap.parse_args(argv)
+    as_of = args.as_of or datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    print(json.dumps({"as_of": as_of}))
 
     spark = build_session(args.master)
     if args.derived:
@@ -36,11 +44,11 @@ def main(argv=None) -> None:
     else:
         from grantscope.sources import tables
         t = tables.read_tables(spark, args.tables, args.format)
-    review = Review(spark, t["employees"], t["access_rights"], args.as_of)
+    review = Review(spark, t["employees"], t["access_rights"], as_of)
 
     print(json.dumps({"kpis": review.kpis().first().asDict()}, default=str))
     for col in ("severity", "finding_type", "department"):
-        counts = {r[col]: r["findings"] for r in review.by(col).collect()}  # one row per group value
+        counts = {r[col]: r["findings"] for r in S.top_counts(review.findings(), col, MAX_GROUPS).collect()}
         print(json.dumps({f"by_{col}": counts}))
     review.top(args.top).select("finding_id", "severity", "risk_score", "finding_type", "employee_name",
                                 "department", "system_name", "sla_deadline").show(args.top, truncate=False)

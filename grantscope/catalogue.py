@@ -59,7 +59,6 @@ STANDARD_ROLE_DEPARTMENTS = ["Sales", "Marketing", "Legal"]
 PRIVILEGED_LEVELS = ["admin", "elevated"]
 DORMANCY_DAYS = 90
 
-DEPARTMENTS = ["Engineering", "Security", "Finance", "HR", "Sales", "Marketing", "Legal", "Operations", "Executive"]
 EMPLOYEE_STATUSES = ["active", "terminated", "on_leave"]
 ACCESS_LEVELS = ["admin", "elevated", "standard"]
 CRITICALITIES = ["critical", "high", "medium", "low"]
@@ -111,6 +110,7 @@ FINDING_ID_PREFIX = "FND-"
 PACKAGE_ID_PREFIX = "EVD-"
 PACKAGE_DIR_PREFIX = "evidence_package_"
 REVIEW_PERIOD_PREFIX = "Continuous — Snapshot as of "
+PACKAGE_FILES = ["findings.csv", "findings.json", "access_snapshot.csv", "employee_snapshot.csv", "summary.json"]
 FINDING_STATUS_OPEN = "OPEN"
 EMPLOYEE_SNAPSHOT_COLUMNS = ["employee_id", "full_name", "department", "title", "status", "hire_date",
                              "termination_date"]
@@ -149,9 +149,3 @@ class RuleParams:
     # Route the grants of owners holding a large share of all grants through a
     # broadcast join instead of the shuffle join (explicit skew split).
     split_hot_owners: bool = False
-
-    def rule(self, rule_id: str) -> dict:
-        for r in self.rules:
-            if r["id"] == rule_id:
-                return r
-        raise KeyError(rule_id)

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from grantscope.session import AS_OF_DEFAULT
 
 
-def as_of_ts(as_of: str = AS_OF_DEFAULT) -> Column:
+def as_of_ts(as_of: str) -> Column:
     """The review time as a TIMESTAMP_NTZ literal (time-zone independent)."""
     return F.lit(as_of).cast("timestamp_ntz")
 

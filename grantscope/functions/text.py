@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_PLACEHOLDER = re.compile(r"\{(\w+)\}")
-
+# Everything that counts as white space: Unicode's property and the four separators 1C to 1F.
+_BLANK = r"(?U)\A[\s\x1c-\x1f]*\z"
 
 
 def title_words(c: Column) -> Column:
@@ -36,5 +34,5 @@ def second_stamp(ts: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """NULL or only spaces (``isna() or strip() == ''``)."""
-    return c.isNull() | (F.trim(c) == F.lit(""))
+    """NULL or only white space, any of Unicode's (``isna() or strip() == ''``)."""
+    return c.isNull() | c.rlike(_BLANK)

@@ -8,10 +8,11 @@ back and counts its rows, so it checks what was actually written.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +20,8 @@ from grantscope import catalogue as cat
 from grantscope import schemas
 from grantscope.functions import sqltext as sql
 from grantscope.operators import summary as S
-from grantscope.operators.findings import export_view, sorted_findings
-from grantscope.session import AS_OF_DEFAULT
+from grantscope.operators.findings import export_view, sort_by_risk, sorted_findings
+from grantscope.session import exists
 from grantscope.sources import sinks
 
 EMPLOYEE_SNAPSHOT_COLUMNS = cat.EMPLOYEE_SNAPSHOT_COLUMNS
@@ -37,23 +38,24 @@ def employee_snapshot(employees: DataFrame) -> DataFrame:
 
 
 def summary_long(findings: DataFrame) -> DataFrame:
-    """The summary's count dictionaries as long-form rows (metric, key, value)."""
-    def vc(metric, col, top=None):
-        c = S.value_counts(findings, col, "value")
-        if top:
-            c = c.orderBy(F.col("value").desc(), F.col(col).asc()).limit(top)
-        return c.select(F.lit(metric).alias("metric"), F.col(col).alias("key"), "value")
+    """The summary's count dictionaries as long-form rows (metric, key, value).
 
-    return reduce(lambda a, b: a.unionByName(b), [
-        vc("by_severity", "severity"), vc("by_type", "finding_type"),
-        vc("by_department", "department"), vc("by_system", "system_name", cat.TOP_SYSTEMS)])
+    One pass counts the findings by all four keys; the dictionaries are sums of those few rows.
+    """
+    keys = {"by_severity": "severity", "by_type": "finding_type", "by_department": "department", "by_system": "system_name"}
+    counts = findings.groupBy(*keys.values()).agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).alias("key")) for m, c in keys.items()]))
+    sums = (counts.select(each.alias("e"), "n").select("e.metric", "e.key", "n").where(F.col("key").isNotNull())
+            .groupBy("metric", "key").agg(F.sum("n").alias("value")))
+    place = F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("value"), "key"))
+    return sums.withColumn("place", place).where((F.col("metric") != "by_system") | (F.col("place") <= cat.TOP_SYSTEMS)).drop("place")
 
 
 def package_stamp(as_of: str) -> str:
     return datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S").strftime("%Y%m%d_%H%M%S")
 
 
-def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, as_of: str = AS_OF_DEFAULT,
+def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, as_of: str,
                  with_maps: bool = False) -> DataFrame:
     """One row — package metadata and the KPI summary (and, optionally, the count maps).
 
@@ -87,39 +89,52 @@ def summary_meta(findings: DataFrame, employees: DataFrame, access: DataFrame, a
                          "by_severity", "by_type", "by_department", "by_system")
 
 
+EXPORT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType() if f.name in (
+    "detected_at", "sla_deadline", "frameworks") else f.dataType) for f in schemas.FINDINGS.fields])
+
+
+def package_dir(out_dir: str, as_of: str, run_id: str) -> str:
+    return f"{out_dir.rstrip('/')}/{cat.PACKAGE_DIR_PREFIX}{package_stamp(as_of)}_{run_id}"
+
+
 def write_evidence_package(spark: SparkSession, findings: DataFrame, employees: DataFrame, access: DataFrame,
-                           out_dir: str, as_of: str = AS_OF_DEFAULT) -> DataFrame:
+                           out_dir: str, as_of: str, run_id: str | None = None) -> DataFrame:
     """Write the package under ``out_dir`` and return its index (file, rows, path).
 
-    The package folder is named after the review time, and every file in it
-    is written in overwrite mode: re-running a package that was interrupted
-    (lost driver or executors) redoes it in place instead of failing.
+    The package folder is named after the review time and the run. An interrupted run is redone in place when its
+    ``run_id`` is given again; a finished package, marked by its index in ``_COMPLETE``, is never written again.
     """
-    pkg = f"{out_dir.rstrip('/')}/{cat.PACKAGE_DIR_PREFIX}{package_stamp(as_of)}"
+    pkg = package_dir(out_dir, as_of, run_id or uuid.uuid4().hex[:12])
+    if exists(spark, f"{pkg}/_COMPLETE/_SUCCESS"):
+        raise FileExistsError(f"{pkg} is complete")
     ow = "overwrite"
     stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet", ow)
+    ranked = export_view(sort_by_risk(stored))  # the stored table is cheap to sample: no further exchange
     files = {
-        "findings.csv": sinks.write_csv(export_view(sorted_findings(stored)), f"{pkg}/findings.csv", ow),
-        "findings.json": sinks.write_json(export_view(stored), f"{pkg}/findings.json", ow),
-        "access_snapshot.csv": sinks.write_csv(access_snapshot(access), f"{pkg}/access_snapshot.csv", ow),
-        "employee_snapshot.csv": sinks.write_csv(employee_snapshot(employees), f"{pkg}/employee_snapshot.csv", ow),
-        "summary.json": sinks.write_json(summary_meta(stored, employees, access, as_of, with_maps=True),
-                                         f"{pkg}/summary.json", ow),
+        cat.PACKAGE_FILES[0]: sinks.write_csv(ranked, f"{pkg}/{cat.PACKAGE_FILES[0]}", ow),
+        cat.PACKAGE_FILES[1]: sinks.write_json(ranked, f"{pkg}/{cat.PACKAGE_FILES[1]}", ow),
+        cat.PACKAGE_FILES[2]: sinks.write_csv(access_snapshot(access), f"{pkg}/{cat.PACKAGE_FILES[2]}", ow),
+        cat.PACKAGE_FILES[3]: sinks.write_csv(employee_snapshot(employees), f"{pkg}/{cat.PACKAGE_FILES[3]}", ow),
+        cat.PACKAGE_FILES[4]: sinks.write_json(summary_meta(stored, employees, access, as_of, with_maps=True),
+                                               f"{pkg}/{cat.PACKAGE_FILES[4]}", ow),
     }
-    export_schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in (
-        "detected_at", "sla_deadline", "frameworks") else f.dataType) for f in schemas.FINDINGS.fields])
-    readers = {
-        "findings.csv": lambda p: sinks.read_csv(spark, p, export_schema),
-        "findings.json": lambda p: sinks.read_json(spark, p, export_schema),
-        "access_snapshot.csv": lambda p: sinks.read_csv(spark, p, schemas.ACCESS_RIGHTS),
-        "employee_snapshot.csv": lambda p: sinks.read_csv(
-            spark, p, T.StructType([schemas.EMPLOYEES[c] for c in EMPLOYEE_SNAPSHOT_COLUMNS])),
-        "summary.json": lambda p: spark.read.json(p),
-    }
-    parts = [readers[name](path).agg(F.count(F.lit(1)).alias("rows"))
+    parts = [read_package_file(spark, pkg, name).agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("file"), "rows", F.lit(path).alias("path"))
              for name, path in files.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    index = reduce(lambda a, b: a.unionByName(b), parts)
+    return sinks.write_parquet(index, f"{pkg}/_COMPLETE", ow)
+
+
+def read_package_file(spark: SparkSession, pkg: str, name: str) -> DataFrame:
+    """A file of the package as it was written."""
+    path = f"{pkg}/{name}"
+    if name == cat.PACKAGE_FILES[1]:
+        return sinks.read_json(spark, path, EXPORT_SCHEMA)
+    if name == cat.PACKAGE_FILES[4]:
+        return spark.read.json(path)
+    columns = {cat.PACKAGE_FILES[0]: EXPORT_SCHEMA, cat.PACKAGE_FILES[2]: schemas.ACCESS_RIGHTS,
+               cat.PACKAGE_FILES[3]: T.StructType([schemas.EMPLOYEES[c] for c in EMPLOYEE_SNAPSHOT_COLUMNS])}
+    return sinks.read_csv(spark, path, columns[name])
 
 
 def quick_exports(spark: SparkSession, findings: DataFrame, employees: DataFrame, access: DataFrame,
@@ -128,9 +143,7 @@ def quick_exports(spark: SparkSession, findings: DataFrame, employees: DataFrame
     base = out_dir.rstrip("/")
     files = {
         "all_findings.csv": (sinks.write_csv(export_view(sorted_findings(findings)), f"{base}/all_findings.csv"),
-                             T.StructType([T.StructField(f.name, T.StringType() if f.name in (
-                                 "detected_at", "sla_deadline", "frameworks") else f.dataType)
-                                 for f in schemas.FINDINGS.fields])),
+                             EXPORT_SCHEMA),
         "employees.csv": (sinks.write_csv(employees, f"{base}/employees.csv"), schemas.EMPLOYEES),
         "active_access.csv": (sinks.write_csv(access_snapshot(access), f"{base}/active_access.csv"),
                               schemas.ACCESS_RIGHTS),

@@ -15,11 +15,11 @@ from grantscope.functions.dates import as_of_ts, plus_hours
 from grantscope.functions.scoring import literal_map
 from grantscope.operators import rules as R
 from grantscope.operators.findings import to_findings
-from grantscope.session import AS_OF_DEFAULT
+from grantscope.operators.joins import split_hot_keys_join
 
 
 def custom_rule_findings(employees: DataFrame, access: DataFrame, rule: dict, predicate: str,
-                         as_of: str = AS_OF_DEFAULT, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+                         as_of: str, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     """X1 (extension): an extra per-grant rule given as a Spark SQL predicate.
 
     The predicate sees every column of an active grant joined with its owner
@@ -29,8 +29,9 @@ def custom_rule_findings(employees: DataFrame, access: DataFrame, rule: dict, pr
     """
     emp = employees.select("employee_id", "full_name", "department", "status", "title", "termination_date",
                            "is_manager", "mfa_enabled")
-    m = access.where(F.col("is_active") == F.lit(True)).join(emp, "employee_id") \
-        .withColumn("days_unused", F.datediff(F.to_date(as_of_ts(as_of)), F.col("last_used_date")))
+    active = access.where(F.col("is_active") == F.lit(True))
+    m = split_hot_keys_join(active, emp, "employee_id") if params.split_hot_owners else active.join(emp, "employee_id")
+    m = m.withColumn("days_unused", F.datediff(F.to_date(as_of_ts(as_of)), F.col("last_used_date")))
     hits = m.where(F.expr(predicate)).select(
         F.lit(rule["id"]).alias("rule_id"), "employee_id", "full_name", "department", *R.GRANT_FIELDS,
         F.datediff(F.to_date(as_of_ts(as_of)), F.col("termination_date")).alias("term_days"),

@@ -10,7 +10,6 @@ from grantscope.functions import sqltext as sql
 from grantscope.functions import text
 from grantscope.functions.scoring import band_sql, score_sql
 from grantscope.operators import rules as R
-from grantscope.session import AS_OF_DEFAULT
 
 
 def _rule_case(rules, field: str) -> str:
@@ -61,7 +60,7 @@ def _detail_sql(rules) -> str:
     return f"(CASE rule_id {' '.join(whens)} END)"
 
 
-def to_findings(hits: DataFrame, as_of: str = AS_OF_DEFAULT, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+def to_findings(hits: DataFrame, as_of: str, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     """Hits (``rules.HIT_COLUMNS``) → findings with the full ``schemas.FINDINGS`` layout."""
     rules = params.rules
     detected = f"CAST({sql.lit(as_of)} AS TIMESTAMP_NTZ)"
@@ -84,10 +83,10 @@ def to_findings(hits: DataFrame, as_of: str = AS_OF_DEFAULT, params: cat.RulePar
     )
 
 
-def build_findings(employees: DataFrame, access: DataFrame, as_of: str = AS_OF_DEFAULT,
+def build_findings(employees: DataFrame, access: DataFrame, as_of: str,
                    params: cat.RuleParams = cat.RuleParams(), rules=R.ALL_RULES) -> DataFrame:
     """All findings of the selected rules, unsorted (the building block of every output)."""
-    return to_findings(R.detect(employees, access, rules, as_of, params), as_of, params)
+    return to_findings(R.detect(employees, access, as_of, rules, params), as_of, params)
 
 
 # Total order of the risk sort: score desc, severity ascending (alphabetical), then ids.
@@ -114,7 +113,7 @@ def sorted_findings(findings: DataFrame) -> DataFrame:
     return sort_by_risk(findings.repartition("finding_id"))
 
 
-def run_all_rules(employees: DataFrame, access: DataFrame, as_of: str = AS_OF_DEFAULT,
+def run_all_rules(employees: DataFrame, access: DataFrame, as_of: str,
                   params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     """Union of all seven rules, sorted by risk. Empty input gives an empty, fully typed frame."""
     return sorted_findings(build_findings(employees, access, as_of, params))

@@ -10,18 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to ship to every executor: about 20 MB at
-# ~100 bytes per row, small enough to copy to a thousand executors.
+# Largest dimension we are willing to ship to every executor, in rows and in
+# bytes: small enough to copy to a thousand executors.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``small`` for broadcast only if it provably has at most ``max_rows`` rows.
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``small`` for broadcast only if it provably has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    The check reads at most ``max_rows + 1`` rows of the (small) side.
+    The check reads at most ``max_rows + 1`` rows of the (small) side; bytes are those of its JSON form.
     """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    width = F.octet_length(F.to_json(F.struct(*small.columns)))
+    n, size = small.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(small) if n <= max_rows and size <= max_bytes else small
+
+
+def small_rows(small: DataFrame, max_rows: int) -> DataFrame:
+    """An aggregate of at most ``max_rows`` rows as a local table to broadcast, computed once; a larger one unchanged."""
+    rows = small.limit(max_rows + 1).collect()
+    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema)) if len(rows) <= max_rows else small
 
 
 def enrich_with_systems(access_base: DataFrame, systems: DataFrame) -> DataFrame:
@@ -43,6 +52,9 @@ def enrich_with_systems(access_base: DataFrame, systems: DataFrame) -> DataFrame
     )
 
 
+MAX_DEPARTMENTS = 10_000
+
+
 def access_of_employees_with_status(access: DataFrame, employees: DataFrame, status: str) -> DataFrame:
     """Grants whose owner has ``status`` (``employee_id.isin(...)`` as a semi join)."""
     ids = employees.where(F.col("status") == status).select("employee_id")
@@ -60,15 +72,14 @@ def assign_managers(employees: DataFrame) -> DataFrame:
     "First" is the smallest ``employee_id`` among ``is_manager`` rows of the
     department (any status); that manager gets NULL, as does a department with
     no manager. The per-department table (one row per department, partial-
-    aggregated on the map side) is a shuffle stage whose real size AQE knows
-    before it plans the join back, so it is broadcast at runtime without a
-    second pass over the employees, and no department is shuffled into one task.
+    aggregated on the map side) is computed once; up to ``MAX_DEPARTMENTS`` rows it
+    is broadcast, so employees are never shuffled by their few departments.
     """
-    firsts = (
+    firsts = small_rows(
         employees.where(F.col("is_manager") & F.col("department").isNotNull())
         .groupBy("department")
-        .agg(F.min("employee_id").alias("_dept_manager"))
-    )
+        .agg(F.min("employee_id").alias("_dept_manager")),
+        MAX_DEPARTMENTS)
     j = employees.join(firsts, "department", "left")
     mgr = F.when(F.col("_dept_manager") != F.col("employee_id"), F.col("_dept_manager"))
     return j.select(*[mgr.alias("manager_id") if c == "manager_id" else F.col(c) for c in employees.columns])
@@ -82,21 +93,18 @@ def inventory(access: DataFrame, employees: DataFrame, split_hot_owners: bool =
     return access.join(emp, "employee_id", "left")
 
 
-def hot_keys(big: DataFrame, key: str, fraction: float = 0.01, min_share: float = 0.001,
-             max_keys: int = 64, seed: int = 17) -> list:
-    """Keys of ``big`` that hold at least ``min_share`` of its rows, estimated on a seeded sample.
+def hot_keys(big: DataFrame, key: str, fraction: float = 0.01, min_share: float = 0.001, seed: int = 17) -> list:
+    """Keys of ``big`` that hold at least ``min_share`` of its rows, estimated on a seeded sample, heaviest first.
 
-    The sample only picks which keys to route differently; no row is dropped.
-    At most ``max_keys`` keys are returned (a fixed bound), heaviest first.
+    The sample only picks which keys to route differently; no row is dropped, and no hot key is left
+    out: at most ``1 / min_share`` keys can hold that share of the sample, which bounds the list.
     """
     s = big.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
-    sampled = s.count()
-    if sampled == 0:
-        return []
     counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    sampled = counts.agg(F.sum("n")).first()[0] or 0
     # at least a few sampled rows, so small inputs do not promote noise to "hot"
     heavy = counts.where(F.col("n") >= F.lit(max(10.0, sampled * min_share)))
-    return [r[0] for r in heavy.orderBy(F.col("n").desc(), F.col(key)).limit(max_keys).collect()]
+    return [r[0] for r in heavy.orderBy(F.col("n").desc(), F.col(key)).collect()]
 
 
 def split_hot_keys_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",

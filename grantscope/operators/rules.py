@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from grantscope import catalogue as cat
 from grantscope.functions import sqltext as sql
 from grantscope.operators.joins import split_hot_keys_join
-from grantscope.session import AS_OF_DEFAULT
 
 PER_GRANT_RULES = ("RULE-001", "RULE-002", "RULE-003", "RULE-006", "RULE-007")
 PER_EMPLOYEE_RULES = ("RULE-004", "RULE-005")
@@ -59,8 +58,8 @@ def grant_predicates(as_of: str, params: cat.RuleParams) -> dict[str, str]:
     }
 
 
-def per_grant_hits(employees: DataFrame, access: DataFrame, rules=PER_GRANT_RULES,
-                   as_of: str = AS_OF_DEFAULT, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+def per_grant_hits(employees: DataFrame, access: DataFrame, as_of: str, rules=PER_GRANT_RULES,
+                   params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     rules = [r for r in PER_GRANT_RULES if r in rules]
     needs_term = any(r in rules for r in ("RULE-001", "RULE-006"))
     needs_act = any(r in rules for r in ("RULE-002", "RULE-003", "RULE-007"))
@@ -102,8 +101,8 @@ def _item_sql(rule_id: str, g: str, a: str, b: str) -> str:
             f"'role_b', CAST({b} AS STRING))")
 
 
-def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYEE_RULES,
-                      as_of: str = AS_OF_DEFAULT, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+def per_employee_hits(employees: DataFrame, access: DataFrame, as_of: str, rules=PER_EMPLOYEE_RULES,
+                      params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     rules = [r for r in PER_EMPLOYEE_RULES if r in rules]
     want_sod = "RULE-004" in rules
     want_mfa = "RULE-005" in rules
@@ -119,12 +118,12 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
         aggs.append(F.expr(f"min_by({grant}, CASE WHEN {priv} THEN access_id END)").alias("first_priv"))
     if want_sod:
         aggs.append(F.expr(f"min_by({grant}, CASE WHEN {has_sod} THEN access_id END)").alias("first_sod"))
-        # Only roles that occur in a conflict pair are kept, so the set has at most that many
-        # entries per employee whatever the number of grants; being a typed aggregate it also
-        # lets the planner use a hash-based (ObjectHashAggregate) node instead of sorting.
-        known = sorted({r for p in pairs for r in p})
-        aggs.append(F.expr(f"collect_set(CASE WHEN sod_role IN {sql.in_list(known)} THEN sod_role END)")
-                    .alias("roles"))
+    # Only roles that occur in a conflict pair are kept, so the set has at most that many
+    # entries per employee whatever the number of grants; being a typed aggregate it also
+    # lets the planner use a hash-based (ObjectHashAggregate) node instead of sorting, so
+    # it is kept (and read, below) where only RULE-005 is asked for.
+    known = sorted({r for p in pairs for r in p}) or [""]
+    aggs.append(F.expr(f"collect_set(CASE WHEN sod_role IN {sql.in_list(known)} THEN sod_role END)").alias("roles"))
     # Partial aggregation on the map side: a hot employee is reduced per task before the shuffle.
     per_emp = access.where(f"{ACTIVE} AND ({relevant})").groupBy("employee_id").agg(*aggs)
 
@@ -133,7 +132,7 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
 
     parts = []
     if want_mfa:
-        parts.append(f"CASE WHEN mfa_enabled = false AND first_priv IS NOT NULL "
+        parts.append(f"CASE WHEN mfa_enabled = false AND first_priv IS NOT NULL AND size(roles) >= 0 "
                      f"THEN array({_item_sql('RULE-005', 'first_priv', 'NULL', 'NULL')}) "
                      f"ELSE CAST(array() AS {ITEM_TYPE}) END")
     if want_sod and pairs:
@@ -150,14 +149,14 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, rules=PER_EMPLOYE
     )
 
 
-def detect(employees: DataFrame, access: DataFrame, rules=ALL_RULES, as_of: str = AS_OF_DEFAULT,
+def detect(employees: DataFrame, access: DataFrame, as_of: str, rules=ALL_RULES,
            params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     """Raw hits of the selected rules (one row per finding, columns ``HIT_COLUMNS``)."""
     parts = []
     if any(r in PER_GRANT_RULES for r in rules):
-        parts.append(per_grant_hits(employees, access, rules, as_of, params))
+        parts.append(per_grant_hits(employees, access, as_of, rules, params))
     if any(r in PER_EMPLOYEE_RULES for r in rules):
-        parts.append(per_employee_hits(employees, access, rules, as_of, params))
+        parts.append(per_employee_hits(employees, access, as_of, rules, params))
     if not parts:
         raise ValueError(f"no known rule in {rules}")
     return reduce(lambda a, b: a.unionByName(b), [p.select(*HIT_COLUMNS) for p in parts])

@@ -45,14 +45,15 @@ def kpis(findings: DataFrame, employees: DataFrame, access: DataFrame) -> DataFr
     """A1 + A6: the one-row KPI table.
 
     Each input is reduced by its own global aggregate (partial per task,
-    merged once); distinct counts run over findings only. The three one-row
-    results are folded together, so no join and no expansion of the inputs.
+    merged once). Only the employees are counted by a distinct aggregate; the
+    systems, a bounded dimension, are counted as a set, so no row is expanded.
+    The three one-row results are folded together without a join.
     """
     sev = [f"count_if(severity = '{s}') AS {s.lower()}_findings" for s in cat.BAND_ORDER]
     f = findings.selectExpr(
         "count(1) AS total_findings", *sev, f"{MEAN_1DP_SQL} AS avg_risk_score",
         "max(risk_score) AS max_risk_score", "count(DISTINCT employee_id) AS affected_employees",
-        "count(DISTINCT system_name) AS affected_systems")
+        "CAST(size(collect_set(system_name)) AS BIGINT) AS affected_systems")
     e = employees.selectExpr("count_if(status = 'active') AS active_employees")
     a = access.selectExpr("count_if(is_active = true) AS total_access_records")
     return fold_rows(f, e, a).selectExpr(
@@ -77,6 +78,13 @@ def top_counts(df: DataFrame, key: str, k: int, name: str = "findings") -> DataF
     return value_counts(df, key, name).orderBy(F.col(name).desc(), F.col(key).asc()).limit(k)
 
 
+def top_counts_ascending(df: DataFrame, key: str, k: int, name: str = "findings") -> DataFrame:
+    """T4: the ``k`` largest counts, smallest first (``position`` from 1), as a bar chart draws them."""
+    top = top_counts(df, key, k, name)
+    place = F.row_number().over(Window.partitionBy().orderBy(F.col(name).asc(), F.col(key).desc()))  # k rows
+    return top.withColumn("position", place.cast("bigint"))
+
+
 def severity_share(findings: DataFrame) -> DataFrame:
     """Counts per severity in band order, with percent of all findings."""
     c = with_share(value_counts(findings, "severity"), "findings")
@@ -136,7 +144,7 @@ def inventory_stats(inv: DataFrame) -> DataFrame:
     return inv.agg(
         F.count(F.lit(1)).alias("access_records"),
         F.count_distinct("employee_id").alias("unique_employees"),
-        F.count_distinct("system_id").alias("systems"),
+        F.size(F.collect_set("system_id")).cast("bigint").alias("systems"),  # a bounded dimension: no row is expanded
         F.count_if(F.col("access_level") == "admin").alias("admin_grants"),
     )
 

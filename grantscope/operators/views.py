@@ -30,7 +30,7 @@ def filter_findings(findings: DataFrame, severity: str | None = None, department
 
 
 def search_findings(findings: DataFrame, pattern: str, literal: bool = False) -> DataFrame:
-    """keep rows where any column, as text, contains ``pattern`` (case-insensitive regex).
+    """keep rows where any column, as text, contains ``pattern`` (case-insensitive regex, any script).
 
     Each column is tested on its own (no concatenation, so no cross-column
     hits); NULL never matches. ``literal=True`` escapes the pattern.
@@ -39,7 +39,7 @@ def search_findings(findings: DataFrame, pattern: str, literal: bool = False) ->
         return findings
     if literal:
         pattern = "\\Q" + pattern.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    rx = sql.lit("(?i)" + pattern)
+    rx = sql.lit("(?iu)" + pattern)
     hit = " OR ".join(f"coalesce(CAST(`{c.replace('`', '``')}` AS STRING) RLIKE {rx}, false)"
                       for c in findings.columns)
     return findings.where(hit)
@@ -147,6 +147,16 @@ def findings_page(findings: DataFrame, page: int, per_page: int = cat.FINDINGS_P
             .withColumn("page", F.lit(page).cast("bigint")))
 
 
+# The sort key of the risk order: score falling, the rest rising.
+PAGE_KEY = ["risk_score", "severity", "rule_id", "access_id", "employee_id", "finding_id"]
+
+
+def page_count(findings: DataFrame, per_page: int = cat.FINDINGS_PER_PAGE) -> DataFrame:
+    """(findings, n_pages); an empty result is one page."""
+    n = F.count(F.lit(1))
+    return findings.agg(n.alias("findings"), F.greatest(F.ceil(n / per_page), F.lit(1)).cast("bigint").alias("n_pages"))
+
+
 def findings_after(findings: DataFrame, last: dict | None, n: int = cat.FINDINGS_PER_PAGE) -> DataFrame:
     """Keyset page: the ``n`` findings that follow ``last`` in risk order (``None`` = first page).
 
@@ -156,13 +166,10 @@ def findings_after(findings: DataFrame, last: dict | None, n: int = cat.FINDINGS
     """
     if last is None:
         return top_findings(findings, n)
-    keys = [("risk_score", "desc"), ("severity", "asc"), ("rule_id", "asc"), ("access_id", "asc"),
-            ("employee_id", "asc"), ("finding_id", "asc")]
     after = None
-    for i in range(len(keys) - 1, -1, -1):
-        col, direction = keys[i]
+    for col in reversed(PAGE_KEY):
         v = F.lit(last[col])
-        strictly = F.col(col) < v if direction == "desc" else F.col(col) > v
+        strictly = F.col(col) < v if col == "risk_score" else F.col(col) > v
         after = strictly if after is None else (strictly | ((F.col(col) == v) & after))
     return top_findings(findings.where(after), n)
 
@@ -179,6 +186,14 @@ def report_rows(findings: DataFrame, width: int = cat.REPORT_DETAIL_WIDTH) -> Da
         "department", "system_name", "risk_score", text.truncate(F.col("detail"), width).alias("detail"))
 
 
+def card_feed(findings: DataFrame, n: int = 10, width: int = cat.CARD_DETAIL_WIDTH) -> DataFrame:
+    """X-s5: the finding cards: top-``n`` rows with the detail cut at the card's width."""
+    return top_findings(findings, n).select(
+        "finding_id", "severity", text.title_words(F.col("finding_type")).alias("type"), "employee_name", "department",
+        "system_name", text.truncate(F.col("detail"), width).alias("detail"),
+        F.bround(F.col("risk_score"), 0).cast("bigint").alias("risk"))
+
+
 def display_rows(findings: DataFrame, n: int = 30) -> DataFrame:
     """X-s1, X-s6, X-m2, X-m3: the top-``n`` console table rows."""
     score = F.col("risk_score")

@@ -266,7 +266,36 @@ ORACLE: dict[str, str] = {
     "src_employees": with_([], f"SELECT {EMP_COLS_FMT} FROM employees"),
     "src_access": with_([], f"SELECT {ACCESS_COLS_FMT} FROM access_rights"),
     "src_systems": with_([], "SELECT * FROM systems"),
-    "access_enriched": with_([], f"SELECT {ACCESS_COLS_FMT} FROM access_rights"),
+    "access_enriched": with_([], "SELECT system_id, system_name, system_criticality, count(*) AS grants, "
+                             "min(access_id) AS first_grant FROM access_rights GROUP BY ALL"),
+    "findings_hot_owner": with_(["skewed AS (SELECT access_id, CASE WHEN CAST(right(access_id, 3) AS INTEGER) % 3 = 0 "
+                                 f"THEN {q(reg.HOT_OWNER)} ELSE employee_id END AS employee_id, "
+                                 "system_id, system_name, system_criticality, access_level, granted_date, last_used_date, "
+                                 "granted_by, business_justification, is_active, sod_role, review_status FROM access_rights)"]
+                                + findings_ctes(access="skewed"), "SELECT * FROM findings"),
+    "evidence_findings_csv": with_(FINDINGS, "SELECT * FROM findings"),
+    "evidence_findings_json": with_(FINDINGS, "SELECT * FROM findings"),
+    "evidence_access_csv": with_([], f"SELECT {ACCESS_COLS_FMT} FROM access_rights WHERE is_active"),
+    "evidence_employee_csv": with_([], "SELECT employee_id, full_name, department, title, status, "
+                                   f"strftime(hire_date, {D_FMT}) AS hire_date, "
+                                   f"strftime(termination_date, {D_FMT}) AS termination_date FROM employees"),
+    "evidence_summary_maps": with_(FINDINGS, " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {q(m)} AS metric, {c} AS key, count(*) AS value FROM findings WHERE {c} IS NOT NULL GROUP BY {c} "
+        f"ORDER BY value DESC, key LIMIT {n})" for m, c, n in (
+            ("by_severity", "severity", 1000), ("by_type", "finding_type", 1000), ("by_department", "department", 1000),
+            ("by_system", "system_name", cat.TOP_SYSTEMS)))),
+    "export_findings_filtered": with_(FINDINGS, "SELECT * FROM findings WHERE severity = 'CRITICAL'"),
+    "export_access_inventory": with_(INVENTORY, f"SELECT {INV_COLS_FMT} FROM inv"),
+    "export_admin_grants": with_(INVENTORY, f"SELECT {INV_COLS_FMT} FROM inv WHERE access_level = 'admin'"),
+    "top_departments_ascending": with_(FINDINGS, "SELECT department, findings, row_number() OVER (ORDER BY findings, department DESC) "
+                                       "AS position FROM (" + _vc("department") + " ORDER BY findings DESC, department LIMIT 8)"),
+    "findings_page_count": with_(FINDINGS, "SELECT count(*) AS findings, CAST(greatest(1, ceil(count(*) / 12.0)) AS BIGINT) "
+                                 "AS n_pages FROM findings"),
+    "findings_card_feed": with_(FINDINGS, f"SELECT finding_id, severity, {title_sql('finding_type')} AS type, employee_name, "
+                                "department, system_name, CASE WHEN length(detail) > 150 THEN substr(detail, 1, 150) || '…' "
+                                "ELSE detail END AS detail, CAST(round_even(risk_score, 0) AS BIGINT) AS risk "
+                                f"FROM findings ORDER BY {ORDER} LIMIT 20"),
+    "stream_recheck_terminations": with_(findings_ctes(rules=["RULE-001", "RULE-006"]), "SELECT * FROM findings"),
     "rule_catalogue": with_(FINDINGS, "SELECT r.rule_id, r.rule_name, r.finding_type, r.severity, "
                             "CAST(r.sla_hours AS BIGINT) AS sla_hours, r.frameworks, "
                             "coalesce(c.findings, 0) AS findings FROM rules r LEFT JOIN "
@@ -336,7 +365,7 @@ ORACLE: dict[str, str] = {
                                "employee_name, system_name, finding_type FROM findings"),
     "findings_metrics": with_(FINDINGS, "SELECT count(*) AS findings, count(*) FILTER (WHERE severity = 'CRITICAL') "
                               f"AS critical, {mean_sql(digits=0)} AS avg_risk, count(DISTINCT system_name) "
-                              "AS systems_affected FROM findings WHERE severity = 'HIGH'"),
+                              "AS systems_affected FROM findings WHERE department = 'Finance'"),
     "exec_header": with_(FINDINGS, "SELECT (SELECT count(*) FROM employees) AS employees, "
                          "(SELECT count(*) FROM access_rights WHERE is_active) AS active_grants, "
                          "(SELECT count(DISTINCT system_name) FROM findings) AS systems_with_findings"),
@@ -363,6 +392,12 @@ ORACLE: dict[str, str] = {
                             "CAST(risk_score AS VARCHAR) || ' / 100' AS \"Risk Score\", risk_band AS \"Risk Band\", "
                             'substr(sla_deadline, 1, 16) AS "SLA", status AS "Status" '
                             f"FROM findings ORDER BY {ORDER} LIMIT 1"),
+    "finding_lookup": with_(FINDINGS, "SELECT finding_id, rule_id, rule_name, detail, frameworks, "
+                            'employee_name AS "Employee", department AS "Department", system_name AS "System", '
+                            'upper(access_level) AS "Access", upper(system_criticality) AS "Criticality", '
+                            "CAST(risk_score AS VARCHAR) || ' / 100' AS \"Risk Score\", risk_band AS \"Risk Band\", "
+                            'substr(sla_deadline, 1, 16) AS "SLA", status AS "Status" '
+                            "FROM findings WHERE finding_id = (SELECT min(finding_id) FROM findings WHERE rule_id = 'RULE-007')"),
     "filter_options": with_(FINDINGS, """SELECT kind, value, row_number() OVER (PARTITION BY kind ORDER BY k, value) AS position
         FROM (SELECT DISTINCT 'severity' AS kind, severity AS value,
                 CASE severity WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 3 ELSE 4 END AS k

@@ -8,6 +8,7 @@ reproducible. Outputs are in record format (``plans.present``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +21,17 @@ from grantscope.operators import summary as S
 from grantscope.operators import views as V
 from grantscope.operators.findings import build_findings, run_all_rules
 from grantscope.plans.present import record_format
-from grantscope.session import AS_OF_DEFAULT, shared_dir
+from grantscope.session import shared_dir
 from grantscope.sources import derived, sinks
 from grantscope import schemas
-from grantscope.streaming import continuous
+from grantscope.streaming import continuous, usage
 
-AS_OF = AS_OF_DEFAULT
+# The review time of the test tables.
+AS_OF = "2001-09-01 12:00:00"
 SLA_EVAL_TIME = "2001-09-04 12:00:00"
 SEARCH_PATTERN = "finance"
 PAGE = 3
+HOT_OWNER = "EMP" + "1".rjust(19, "0")
 
 CUSTOM_RULE = {
     "id": "RULE-X01", "name": "Admin Access on Critical System Without MFA", "type": "ADMIN_NO_MFA_CRITICAL",
@@ -40,15 +43,8 @@ CUSTOM_PREDICATE = "status = 'active' AND access_level = 'admin' AND system_crit
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_TABLE_PLANS: dict = {}
-
-
 def _tables(spark, sf):
-    """Table plans (not data) of one test folder, built once per session."""
-    key = (id(spark), spark.conf.get("spark.app.id", None), sf)
-    if key not in _TABLE_PLANS:
-        _TABLE_PLANS[key] = derived.load(spark, sf)
-    return _TABLE_PLANS[key]
+    return derived.load(spark, sf)
 
 
 def _findings(spark, sf, rules=None, params=cat.RuleParams()):
@@ -58,6 +54,11 @@ def _findings(spark, sf, rules=None, params=cat.RuleParams()):
     return build_findings(d["employees"], d["access_rights"], AS_OF, params, rules)
 
 
+def _rules_of(**fields):
+    """Ids of the catalogue's rules with these field values: a filter on them needs no other rule."""
+    return tuple(r["id"] for r in cat.RULES if all(r[k] == v for k, v in fields.items()))
+
+
 def _rule(rule_id, params=cat.RuleParams()):
     return lambda spark, sf: _findings(spark, sf, (rule_id,), params)
 
@@ -132,7 +133,7 @@ def quick_exports_index(spark, sf):
 def view_exports_index(spark, sf):
     """S9–S11 with the dashboard defaults: CRITICAL findings, active inventory, its admin grants."""
     d = _tables(spark, sf)
-    f = V.filter_findings(build_findings(d["employees"], d["access_rights"], AS_OF), severity="CRITICAL")
+    f = _findings(spark, sf, _rules_of(severity="CRITICAL"))
     inv = V.access_inventory(d["access_rights"], d["employees"])
     idx = E.view_exports(spark, f, inv, inv.where(F.col("access_level") == "admin"), shared_dir(spark, "views"))
     return idx.select("file", "rows")
@@ -145,22 +146,76 @@ def review_kpis(spark, sf):
     return Review(spark, d["employees"], d["access_rights"], AS_OF).kpis()
 
 
-def _state_partitions(spark) -> int | None:
-    """State partitions for the test-data streams: the cluster's parallelism (small state)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return None
-
-
 def stream_last_used_from_log(spark, sf):
-    from grantscope.streaming import usage
-    return usage.run_available_now(spark, sf, shared_dir(spark, "usage-stream"), _state_partitions(spark))
+    return usage.run_available_now(usage.derived_stream(spark, sf), shared_dir(spark, "usage-stream"))
 
 
 def stream_terminated_access(spark, sf):
-    return continuous.run_available_now(spark, sf, shared_dir(spark, "stream"), AS_OF,
-                                        state_partitions=_state_partitions(spark))
+    return continuous.run_available_now(continuous.derived_stream(spark, sf), derived.employees(spark, sf),
+                                        derived.systems(spark, sf), shared_dir(spark, "stream"), AS_OF)
+
+
+def stream_recheck_terminations(spark, sf):
+    """Grants streamed while nobody had left; the re-check finds the owners who have left since."""
+    emp, systems, out = derived.employees(spark, sf), derived.systems(spark, sf), shared_dir(spark, "recheck")
+    before = emp.withColumns({"status": F.lit("active"), "termination_date": F.lit(None).cast("date")})
+    continuous.run_available_now(continuous.derived_stream(spark, sf), before, systems, out, AS_OF, ("RULE-001", "RULE-006"))
+    return continuous.recheck(emp, systems, out, AS_OF, ("RULE-001", "RULE-006"))
+
+
+def _package_file(name):
+    """The content of a file of the evidence package, read back."""
+    def read(spark, sf):
+        d = _tables(spark, sf)
+        out = shared_dir(spark, "evidence")
+        E.write_evidence_package(spark, build_findings(d["employees"], d["access_rights"], AS_OF), d["employees"],
+                                 d["access_rights"], out, AS_OF, "run")
+        return E.read_package_file(spark, E.package_dir(out, AS_OF, "run"), name)
+    return read
+
+
+def evidence_summary_maps(spark, sf):
+    """The count dictionaries of the summary file, as rows."""
+    row = _package_file("summary.json")(spark, sf)
+    each = [row.select(F.lit(m).alias("metric"), F.posexplode(F.array(*[
+        F.struct(F.lit(f.name).alias("key"), F.col(m)[f.name].alias("value")) for f in row.schema[m].dataType.fields])).alias("i", "e"))
+        .select("metric", "e.key", "e.value") for m in ("by_severity", "by_type", "by_department", "by_system")]
+    return reduce(lambda a, b: a.unionByName(b), each)
+
+
+def _view_export(name):
+    """The content of an export of the dashboard's views, read back."""
+    def read(spark, sf):
+        d = _tables(spark, sf)
+        f = _findings(spark, sf, _rules_of(severity="CRITICAL"))
+        inv = V.access_inventory(d["access_rights"], d["employees"])
+        out = shared_dir(spark, "views")
+        E.view_exports(spark, f, inv, inv.where(F.col("access_level") == "admin"), out)
+        schema = E.EXPORT_SCHEMA if name == "findings_filtered.csv" else inv.schema
+        return sinks.read_csv(spark, f"{out}/{name}", schema)
+    return read
+
+
+def findings_hot_owner(spark, sf):
+    """Grants of which one employee holds a third: the hot-key split takes them out of the shuffle."""
+    d = _tables(spark, sf)
+    third = F.col("access_id").substr(-3, 3).cast("int") % 3 == 0
+    acc = d["access_rights"].withColumn("employee_id", F.when(third, F.lit(HOT_OWNER)).otherwise(F.col("employee_id")))
+    return build_findings(d["employees"], acc, AS_OF, cat.RuleParams(split_hot_owners=True))
+
+
+def finding_lookup(spark, sf):
+    """the detail card of a given id (here that of the first unjustified critical grant, computed as a user would)."""
+    f = _findings(spark, sf)
+    row = f.where("rule_id = 'RULE-007'").agg(F.min("finding_id")).first()
+    return V.finding_detail(f, row[0])
+
+
+def access_enriched(spark, sf):
+    """What the lookup gave each system id: name and criticality, by default where no system row exists."""
+    t = _tables(spark, sf)["access_rights"]
+    return t.groupBy("system_id", "system_name", "system_criticality").agg(
+        F.count(F.lit(1)).alias("grants"), F.min("access_id").alias("first_grant"))
 
 
 def rule_catalogue(spark, sf):
@@ -259,7 +314,7 @@ RAW: dict[str, Query] = {
     "src_employees": lambda spark, sf: _tables(spark, sf)["employees"],
     "src_access": lambda spark, sf: _tables(spark, sf)["access_rights"],
     "src_systems": lambda spark, sf: _tables(spark, sf)["systems"],
-    "access_enriched": lambda spark, sf: _tables(spark, sf)["access_rights"],
+    "access_enriched": access_enriched,
     "findings_from_stored": findings_from_stored,
     "rule_catalogue": rule_catalogue,
     "scoring_weights": scoring_weights,
@@ -271,6 +326,14 @@ RAW: dict[str, Query] = {
     "evidence_employee_snapshot": lambda spark, sf: E.employee_snapshot(_tables(spark, sf)["employees"]),
     "evidence_summary_meta": evidence_summary_meta,
     "evidence_package_index": evidence_package_index,
+    "evidence_findings_csv": _package_file("findings.csv"),
+    "evidence_findings_json": _package_file("findings.json"),
+    "evidence_access_csv": _package_file("access_snapshot.csv"),
+    "evidence_employee_csv": _package_file("employee_snapshot.csv"),
+    "evidence_summary_maps": evidence_summary_maps,
+    "export_findings_filtered": _view_export("findings_filtered.csv"),
+    "export_access_inventory": _view_export("access_inventory.csv"),
+    "export_admin_grants": _view_export("admin_grants.csv"),
     "quick_exports_index": quick_exports_index,
     "view_exports_index": view_exports_index,
     # rules
@@ -284,6 +347,7 @@ RAW: dict[str, Query] = {
     "rule_007_unjustified": _rule("RULE-007"),
     "findings_all": findings_all,
     "findings_split_hot_owners": lambda spark, sf: _findings(spark, sf, params=cat.RuleParams(split_hot_owners=True)),
+    "findings_hot_owner": findings_hot_owner,
     "risk_score_matrix": risk_score_matrix,
     "finding_id_unique": finding_id_unique,
     # summaries
@@ -294,12 +358,13 @@ RAW: dict[str, Query] = {
     "summary_by_department": _on_findings(lambda f: S.value_counts(f, "department")),
     "summary_top_systems": _on_findings(lambda f: S.top_counts(f, "system_name", cat.TOP_SYSTEMS)),
     "top_departments": _on_findings(lambda f: S.top_counts(f, "department", cat.TOP_DEPARTMENTS)),
+    "top_departments_ascending": _on_findings(lambda f: S.top_counts_ascending(f, "department", cat.TOP_DEPARTMENTS)),
     "finding_type_breakdown": _on_findings(S.type_breakdown),
     "dept_type_pivot": _on_findings(S.dept_type_pivot),
     "risk_histogram": _on_findings(S.risk_histogram),
     "severity_share": _on_findings(S.severity_share),
     "risk_scatter_feed": _on_findings(S.scatter_feed),
-    "findings_metrics": _on_findings(lambda f: S.findings_metrics(V.filter_findings(f, severity="HIGH"))),
+    "findings_metrics": _on_findings(lambda f: S.findings_metrics(V.filter_findings(f, department="Finance"))),
     "exec_header": exec_header,
     "active_ratio": lambda spark, sf: S.active_ratio(_tables(spark, sf)["employees"]),
     "access_level_mix": _on_inventory(lambda inv: S.with_share(S.value_counts(inv, "access_level", "grants"), "grants")),
@@ -308,12 +373,16 @@ RAW: dict[str, Query] = {
         .agg(F.count(F.lit(1)).alias("grants"))),
     "inventory_stats": _on_inventory(S.inventory_stats),
     # views
-    "findings_filter": _on_findings(lambda f: V.filter_findings(f, severity="CRITICAL", department="Finance")),
+    "findings_filter": lambda spark, sf: V.filter_findings(
+        _findings(spark, sf, _rules_of(severity="CRITICAL")), severity="CRITICAL", department="Finance"),
     "findings_search": lambda spark, sf: V.search_findings(
         record_format(_findings(spark, sf)), SEARCH_PATTERN),
     "findings_table_view": _on_findings(V.findings_table_view),
     "findings_page": _on_findings(lambda f: V.findings_page(f, PAGE)),
+    "findings_page_count": _on_findings(V.page_count),
+    "findings_card_feed": _on_findings(lambda f: V.card_feed(f, 20)),
     "finding_detail": finding_detail,
+    "finding_lookup": finding_lookup,
     "filter_options": _on_findings(V.filter_options),
     "top_findings_20": _on_findings(lambda f: V.top_findings(f, 20)),
     "top_findings_30": _on_findings(lambda f: V.top_findings(f, 30)),
@@ -342,6 +411,7 @@ RAW: dict[str, Query] = {
     "last_used_from_log": last_used_from_log,
     "rule_002_dormant_with_logs": rule_002_dormant_with_logs,
     "stream_terminated_access": stream_terminated_access,
+    "stream_recheck_terminations": stream_recheck_terminations,
     "stream_last_used_from_log": stream_last_used_from_log,
     "risk_gauge": _on_findings(S.risk_gauge),
 }

@@ -9,19 +9,26 @@ reads that table instead of re-running the detection joins.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from grantscope import catalogue as cat
+from grantscope import schemas
 from grantscope.operators import evidence as E
 from grantscope.operators import summary as S
 from grantscope.operators import views as V
-from grantscope.operators.findings import build_findings, sorted_findings
-from grantscope.session import AS_OF_DEFAULT, shared_dir
+from grantscope.operators.findings import build_findings, sort_by_risk
+from grantscope.session import exists, shared_dir
 from grantscope.sources import sinks
 
 
+#: Rows that a step towards a deep page passes at most.
+MAX_STEP = 6_000
+
+
 class Review:
-    def __init__(self, spark: SparkSession, employees: DataFrame, access: DataFrame, as_of: str = AS_OF_DEFAULT,
+    def __init__(self, spark: SparkSession, employees: DataFrame, access: DataFrame, as_of: str,
                  params: cat.RuleParams = cat.RuleParams(), location: str | None = None):
         self.spark = spark
         self.employees = employees
@@ -30,18 +37,28 @@ class Review:
         self.params = params
         self.location = location or shared_dir(spark, "review")
         self._findings: DataFrame | None = None
+        self._page_ends: dict[tuple, dict[int, dict]] = {}
 
     # ── the one expensive step ──────────────────────────────────────────
     def findings(self) -> DataFrame:
-        """Findings of all rules, written once under ``location`` and read back."""
+        """Findings of all rules, written once under ``location`` and read back.
+
+        The folder is named after the review time and the parameters. A finished table (``_SUCCESS``) of an
+        earlier run at the same location is read; an unfinished one is written anew.
+        """
         if self._findings is None:
-            f = build_findings(self.employees, self.access, self.as_of, self.params)
-            self._findings = sinks.write_parquet(f, f"{self.location}/findings.parquet")
+            run = hashlib.sha256(f"{self.as_of}|{self.params}".encode()).hexdigest()[:12]
+            path = f"{self.location}/findings-{run}.parquet"
+            if exists(self.spark, f"{path}/_SUCCESS"):
+                self._findings = self.spark.read.schema(schemas.FINDINGS).parquet(path)
+            else:
+                f = build_findings(self.employees, self.access, self.as_of, self.params)
+                self._findings = sinks.write_parquet(f, path, "overwrite")
         return self._findings
 
     # ── everything else reads the stored findings ───────────────────────
     def sorted(self) -> DataFrame:
-        return sorted_findings(self.findings())
+        return sort_by_risk(self.findings())
 
     def kpis(self) -> DataFrame:
         return S.kpis(self.findings(), self.employees, self.access)
@@ -60,13 +77,34 @@ class Review:
         f = V.filter_findings(self.findings(), severity, department, finding_type)
         return V.search_findings(f, search) if search else f
 
-    def page(self, page: int, per_page: int = 12, **filters) -> DataFrame:
-        return V.findings_page(self.filtered(**filters), page, per_page)
+    def page(self, page: int, per_page: int = cat.FINDINGS_PER_PAGE, **filters) -> DataFrame:
+        """A page of the (filtered) findings, by the sort key of the page before it.
+
+        Last rows of pages that were passed are remembered; a jump goes on in steps of at most
+        ``MAX_STEP`` rows, so no task and no driver ever holds all the rows before a deep page.
+        """
+        if page < 1:
+            raise ValueError("page starts at 1")
+        found = self.filtered(**filters)
+        ends = self._page_ends.setdefault((per_page, *sorted(filters.items())), {0: None})
+        at = max(p for p in ends if p < page)
+        while at < page - 1:
+            step = min(page - 1 - at, max(1, MAX_STEP // per_page))
+            last = V.findings_after(found, ends[at], step * per_page).select(*V.PAGE_KEY).tail(step * per_page)
+            if len(last) < step * per_page:
+                return found.limit(0)  # past the last page
+            at += step
+            ends[at] = last[-1].asDict()
+        return V.findings_after(found, ends[at], per_page)
+
+    def pages(self, per_page: int = cat.FINDINGS_PER_PAGE, **filters) -> int:
+        """The number of pages, 1 at least."""
+        return V.page_count(self.filtered(**filters), per_page).first()["n_pages"]
 
     def inventory(self, **filters) -> DataFrame:
         return V.access_inventory(self.access, self.employees, **filters)
 
-    def evidence(self, out_dir: str | None = None) -> DataFrame:
+    def evidence(self, out_dir: str | None = None, run_id: str | None = None) -> DataFrame:
         """Write the evidence package; the index lists the files and their row counts."""
         return E.write_evidence_package(self.spark, self.findings(), self.employees, self.access,
-                                        out_dir or f"{self.location}/evidence", self.as_of)
+                                        out_dir or f"{self.location}/evidence", self.as_of, run_id)

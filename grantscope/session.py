@@ -7,18 +7,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Review time used when the caller does not pass one. Every query takes an
-# explicit review time, never the wall clock, so results can be reproduced.
-AS_OF_DEFAULT = "2001-09-01 12:00:00"
 
-
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "grantscope") -> SparkSession:
-    """Session for tests and the bench; on a cluster use the cluster's own session."""
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "grantscope") -> SparkSession:
+    """A session. With a ``master`` (tests, bench) it gets local settings; without one, the cluster's own settings
+    stay as they are, but for the SQL settings of ``CLUSTER_SQL_CONF`` that the cluster has not set itself."""
     builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
+    if master is None:
+        spark = builder.getOrCreate()
+        return apply_cluster_conf(spark)
     spark = (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder.master(master)
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -55,8 +54,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{base}/grantscope/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
-# Settings for a large cluster (~100 TB of grants). SQL settings can be applied
-# to a running session with ``apply_sql_conf``; the rest belong on spark-submit.
+# Settings for a large cluster (~100 TB of grants). SQL settings are applied
+# to a running session by ``apply_cluster_conf``; the rest belong on spark-submit.
 CLUSTER_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -69,9 +68,6 @@ CLUSTER_SQL_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
-    # streaming dedup / window state kept off-heap and checkpointed incrementally
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 CLUSTER_SUBMIT_CONF = {
     "spark.task.maxFailures": "8",
@@ -83,24 +79,33 @@ CLUSTER_SUBMIT_CONF = {
 }
 
 
-def apply_sql_conf(spark: SparkSession, conf: dict | None = None) -> SparkSession:
+def apply_cluster_conf(spark: SparkSession, conf: dict | None = None) -> SparkSession:
+    """Set what the cluster's own configuration leaves unset; a plain local master is left alone."""
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return spark
+    given = dict(spark.sparkContext.getConf().getAll())
     for k, v in (conf or CLUSTER_SQL_CONF).items():
-        spark.conf.set(k, v)
+        if k not in given:
+            spark.conf.set(k, v)
     return spark
 
 
-def start_stream(spark: SparkSession, writer, state_partitions: int | None = None):
-    """Start a streaming query, optionally with its own number of state/shuffle partitions.
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
 
-    A stream fixes its shuffle (state store) partition count in its checkpoint
-    when it first starts; it is taken from the session at ``start()``, so the
-    setting is applied only around that call and the session is restored.
+def file_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "parquet", max_files: int | None = None,
+                file_glob: str | None = None):
+    """A stream of the files in ``source_dir``, with a declared schema.
+
+    ``max_files`` bounds the files of a micro-batch; by default a backlog is one micro-batch.
     """
-    if not state_partitions:
-        return writer.start()
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    return reader.load(source_dir)

@@ -4,7 +4,9 @@ Employees come from ``customer``, systems from ``nation``, grants from
 ``orders`` and access logs from ``events``. Every column is one SQL
 expression with the same meaning in Spark SQL and in DuckDB, so the oracle
 queries can rebuild exactly the same inputs. All derivations are narrow
-projections (no shuffle); the only join is the system lookup.
+projections (no shuffle); the only join is the system lookup. Ids keep all 19
+digits that a long key can have, and the ids of owners that do not exist have a
+prefix of their own, so no two keys ever share an id.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from grantscope import schemas
 from grantscope.operators.joins import enrich_with_systems
 
 EMPLOYEE_EXPRS = [
-    ("employee_id", "concat('EMP',lpad(cast(c_custkey as string),9,'0'))"),
+    ("employee_id", "concat('EMP',lpad(cast(c_custkey as string),19,'0'))"),
     ("full_name", "c_name"),
     ("email", "concat('user',cast(c_custkey as string),'@example.com')"),
     ("department", "case c_custkey%9 when 0 then 'Engineering' when 1 then 'Security' when 2 then 'Finance' "
@@ -32,7 +34,7 @@ EMPLOYEE_EXPRS = [
 ]
 
 SYSTEM_EXPRS = [
-    ("system_id", "concat('SYS',lpad(cast(n_nationkey as string),2,'0'))"),
+    ("system_id", "concat('SYS',lpad(cast(n_nationkey as string),19,'0'))"),
     ("name", "n_name"),
     ("type", "'Application'"),
     ("criticality", "case n_regionkey%4 when 0 then 'critical' when 1 then 'high' when 2 then 'medium' else 'low' end"),
@@ -41,13 +43,13 @@ SYSTEM_EXPRS = [
 ]
 
 ACCESS_BASE_EXPRS = [
-    ("access_id", "concat('ACC',lpad(cast(o_orderkey as string),9,'0'))"),
-    ("employee_id", "concat('EMP',lpad(cast(case when o_orderkey%101=0 then o_custkey+900000000 else o_custkey end as string),9,'0'))"),
-    ("system_id", "concat('SYS',lpad(cast(o_orderkey%27 as string),2,'0'))"),
+    ("access_id", "concat('ACC',lpad(cast(o_orderkey as string),19,'0'))"),
+    ("employee_id", "concat(case when o_orderkey%101=0 then 'GONE' else 'EMP' end,lpad(cast(o_custkey as string),19,'0'))"),
+    ("system_id", "concat('SYS',lpad(cast(o_orderkey%27 as string),19,'0'))"),
     ("access_level", "case when (o_orderkey*13)%20<3 then 'admin' when (o_orderkey*13)%20<9 then 'elevated' else 'standard' end"),
     ("granted_date", "cast(o_orderdate as date)"),
     ("last_used_date", "least(cast(o_orderdate as date)+cast((o_orderkey*31)%1500 as int), date '2001-08-31')"),
-    ("granted_by", "'EMP000000000'"),
+    ("granted_by", "'EMP0000000000000000000'"),
     ("business_justification", "case when o_orderkey%9=0 then null when o_orderkey%9=4 then '  ' "
                                "else concat('ticket ',cast(o_orderkey as string)) end"),
     ("is_active", "o_orderkey%4<>0"),
@@ -58,8 +60,8 @@ ACCESS_BASE_EXPRS = [
 ]
 
 ACCESS_LOG_EXPRS = [
-    ("employee_id", "concat('EMP',lpad(cast(user_id as string),9,'0'))"),
-    ("system_id", "concat('SYS',lpad(cast(event_id%27 as string),2,'0'))"),
+    ("employee_id", "concat('EMP',lpad(cast(user_id as string),19,'0'))"),
+    ("system_id", "concat('SYS',lpad(cast(event_id%27 as string),19,'0'))"),
     ("ts", "ts"),
 ]
 
@@ -68,35 +70,8 @@ def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.expr(e).alias(name) for name, e in exprs])
 
 
-def fan_out_small(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread an under-split scan over the cluster's default parallelism.
-
-    A file that is one Parquet row group is read by a single task whatever
-    its size. When a scan yields fewer partitions than the default
-    parallelism, its rows are redistributed once (hashed on the table's key,
-    which is deterministic on retry and needs no local sort, unlike a
-    round-robin split) so the CPU-heavy derivations and joins run on every
-    core. Large inputs already have more splits than cores and are left
-    untouched: no shuffle at scale.
-    """
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= n:
-            return df
-    except Exception:  # no SparkContext (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(n, key) if key else df.repartition(n)
-
-
-# Key column of each test table (used to spread under-split scans evenly).
-TABLE_KEYS = {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id"}
-# Dimension tables with a handful of rows: never worth redistributing.
-SMALL_DIMENSIONS = {"nation", "region"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in SMALL_DIMENSIONS else fan_out_small(df, TABLE_KEYS.get(name))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,22 @@
-"""CSV / JSON sinks and readers that keep NULL, empty and blank strings apart.
+"""CSV / JSON sinks and readers that lose nothing.
 
-Spark's CSV defaults trim blank strings on write and read ``""`` back as
-NULL; writing and reading with ``nullValue='\\N'`` and whitespace kept makes
-NULL, ``''`` and ``'  '`` all survive a round trip. Arrays are comma-joined
-first (CSV has no array type).
+A CSV field may hold anything: NULL, empty and blank strings, quotes, line breaks, the
+NULL marker itself. Backslashes and line breaks are written as ``\\\\``, ``\\n`` and ``\\r``
+and read back the same way, so every record is one line (files stay splittable) and the
+NULL marker ``\\N`` can't be a value. Quotes are doubled as in RFC 4180. Arrays are
+comma-joined first (CSV has no array type).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CSV_OPTIONS = {
     "header": "true",
     "nullValue": "\\N",
+    "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "dateFormat": "yyyy-MM-dd",
@@ -22,18 +24,37 @@ CSV_OPTIONS = {
 }
 
 
-def _flatten_arrays(df: DataFrame) -> DataFrame:
-    return df.select(*[F.array_join(F.col(f.name), ", ").alias(f.name) if isinstance(f.dataType, T.ArrayType)
-                       else F.col(f.name) for f in df.schema.fields])
+def _escaped(c: Column) -> Column:
+    for char, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(char), F.lit(code))
+    return c
+
+
+def _unescaped(c: Column) -> Column:
+    """Between doubled backslashes, a backslash can only start a line break's code."""
+    def part(x: Column) -> Column:
+        return F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    return F.array_join(F.transform(F.split(c, r"\\\\", -1), part), "\\")
+
+
+def _flat(df: DataFrame) -> list[Column]:
+    out = []
+    for f in df.schema.fields:
+        c = F.array_join(F.col(f.name), ", ") if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
+        out.append((_escaped(c) if isinstance(f.dataType, (T.ArrayType, T.StringType)) else c).alias(f.name))
+    return out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    _flatten_arrays(df).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    df.select(*_flat(df)).write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return df.select(*[_unescaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                       for f in schema.fields])
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from grantscope import schemas
-from grantscope.sources.sinks import CSV_OPTIONS
+from grantscope.sources import sinks
 
 TABLE_SCHEMAS = {
     "employees": schemas.EMPLOYEES,
@@ -33,10 +33,6 @@ PANDAS_CSV_OPTIONS = {
 }
 
 
-def _options(fmt: str) -> dict:
-    return dict(CSV_OPTIONS) if fmt == "csv" else {}
-
-
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """``{employees, access_rights, systems}`` stored as ``base/<name>`` in ``fmt``."""
     if fmt not in FORMATS:
@@ -45,8 +41,10 @@ def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> dict[st
     for name, schema in TABLE_SCHEMAS.items():
         if fmt == "pandas_csv":
             df = spark.read.schema(schema).options(**PANDAS_CSV_OPTIONS).csv(f"{base.rstrip('/')}/{name}.csv")
+        elif fmt == "csv":
+            df = sinks.read_csv(spark, f"{base.rstrip('/')}/{name}", schema)
         else:
-            df = spark.read.schema(schema).format(fmt).options(**_options(fmt)).load(f"{base.rstrip('/')}/{name}")
+            df = spark.read.schema(schema).format(fmt).load(f"{base.rstrip('/')}/{name}")
         out[name] = schemas.validate(df, schema, name)
     return out
 
@@ -57,5 +55,9 @@ def write_tables(tables: dict[str, DataFrame], base: str, fmt: str = "parquet",
         raise ValueError(f"cannot write {fmt!r}")
     for name, schema in TABLE_SCHEMAS.items():
         df = schemas.validate(tables[name], schema, name)
-        df.write.mode(mode).format(fmt).options(**_options(fmt)).save(f"{base.rstrip('/')}/{name}")
+        path = f"{base.rstrip('/')}/{name}"
+        if fmt == "csv":
+            sinks.write_csv(df, path, mode)
+        else:
+            df.write.mode(mode).format(fmt).save(path)
     return base

@@ -1,71 +1,96 @@
 """Continuous detection (extension X7).
 
-Grant events arrive as a file stream; each micro-batch is joined with the
-static HR and system tables (stream–static joins), the per-grant rules run on
-the joined rows, findings are de-duplicated by their deterministic id within
-an event-time watermark and appended to a Parquet sink with a checkpoint in
-the shared folder, so a restarted query resumes exactly where it stopped.
+Grants arrive as a file stream. Each micro-batch is stored, joined with the HR
+and system tables as they are at that moment, and its new findings are
+appended: a finding whose (deterministic) id is already stored is not written
+again. Every batch writes a folder of its own in overwrite mode, so a retried
+batch replaces itself. There is no watermark: whatever the order of files and
+of review dates, the stored findings are those of all grants.
+
+``recheck`` runs the same rules over all stored grants against the HR table of
+the day, so a termination after a grant has streamed by is found as well.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantscope import catalogue as cat
 from grantscope import schemas
 from grantscope.operators.findings import to_findings
 from grantscope.operators.joins import enrich_with_systems
 from grantscope.operators.rules import per_grant_hits
-from grantscope.session import AS_OF_DEFAULT, start_stream
+from grantscope.session import exists, file_stream
 from grantscope.sources import derived
 
 STREAM_RULES = ("RULE-001", "RULE-003", "RULE-006", "RULE-007")
 
 
-def grant_stream(spark: SparkSession, source_dir: str, file_glob: str = "orders*.parquet",
-                 max_files: int = 1) -> DataFrame:
-    """Grants derived from a stream of order files landing in ``source_dir``.
+def grant_stream(spark: SparkSession, source_dir: str, schema: T.StructType = schemas.ACCESS_BASE, fmt: str = "parquet",
+                 max_files: int | None = None, file_glob: str | None = None) -> DataFrame:
+    """Grants landing as files in ``source_dir``; ``max_files`` bounds a micro-batch (default: all that are there)."""
+    return schemas.validate(file_stream(spark, source_dir, schema, fmt, max_files, file_glob), schemas.ACCESS_BASE, "access_base stream")
 
-    Same derivation as the batch tables; the schema is declared from an
-    existing file (streams never infer it).
-    """
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{file_glob}").schema
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-           .option("pathGlobFilter", file_glob).parquet(source_dir))
-    return schemas.validate(raw.select(*[F.expr(e).alias(n) for n, e in derived.ACCESS_BASE_EXPRS]),
-                            schemas.ACCESS_BASE, "access_base stream")
 
+def stored_findings(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Every finding stored so far."""
+    schema = T.StructType([*schemas.FINDINGS.fields, T.StructField("batch", T.StringType())])
+    path = f"{out_dir}/findings"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
-def streaming_findings(grants: DataFrame, employees: DataFrame, systems: DataFrame, as_of: str = AS_OF_DEFAULT,
-                       rules=STREAM_RULES, watermark: str = "30 days",
-                       params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+
+def _append_new(findings: DataFrame, out_dir: str, batch: str) -> None:
+    """Store the findings that no other batch has stored, once each."""
+    spark = findings.sparkSession
+    known = stored_findings(spark, out_dir).where(F.col("batch") != batch).select("finding_id")
+    new = findings.join(known, "finding_id", "left_anti").dropDuplicates(["finding_id"])
+    new.select(*schemas.FINDINGS.names).write.mode("overwrite").parquet(f"{out_dir}/findings/batch={batch}")
+
+
+def _findings(grants: DataFrame, employees: DataFrame, systems: DataFrame, as_of: str, rules,
+              params: cat.RuleParams) -> DataFrame:
     access = enrich_with_systems(grants, systems)
-    hits = per_grant_hits(employees, access, rules, as_of, params)
-    f = to_findings(hits, as_of, params)
-    # withWatermark needs TIMESTAMP (not NTZ); the review time is the event time of a finding.
-    f = f.withColumn("_event_time", F.col("detected_at").cast("timestamp"))
-    return (f.withWatermark("_event_time", watermark)
-            .dropDuplicatesWithinWatermark(["finding_id"])
-            .drop("_event_time"))
+    return to_findings(per_grant_hits(employees, access, as_of, rules, params), as_of, params)
 
 
-def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str, as_of: str = AS_OF_DEFAULT,
-                      rules=STREAM_RULES, state_partitions: int | None = None) -> DataFrame:
-    """Process every grant file available now, then stop; return the sink as a batch frame.
+def run_available_now(grants: DataFrame, employees: DataFrame, systems: DataFrame, out_dir: str, as_of: str,
+                      rules=STREAM_RULES, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+    """Process every file of the stream ``grants`` that is there now, then stop; return all stored findings."""
+    spark = grants.sparkSession
 
-    ``state_partitions`` sets the dedup state's partition count when the
-    checkpoint is new (it cannot change later); by default the session's.
-    """
-    grants = grant_stream(spark, sf_dir)
-    f = streaming_findings(grants, derived.employees(spark, sf_dir), derived.systems(spark, sf_dir), as_of, rules)
-    writer = (f.writeStream.format("parquet")
-              .option("path", f"{out_dir}/findings")
-              .option("checkpointLocation", f"{out_dir}/_checkpoint")
-              .outputMode("append")
-              .trigger(availableNow=True))
-    q = start_stream(spark, writer, state_partitions)
+    def put(batch: DataFrame, batch_id: int) -> None:
+        at = f"{out_dir}/grants/batch=s{batch_id}"
+        batch.write.mode("overwrite").parquet(at)
+        held = spark.read.schema(batch.schema).parquet(at)
+        _append_new(_findings(held, employees, systems, as_of, rules, params), out_dir, f"s{batch_id}")
+
+    q = (grants.writeStream.foreachBatch(put).option("checkpointLocation", f"{out_dir}/_checkpoint")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.schema(schemas.FINDINGS).parquet(f"{out_dir}/findings")
+    return stored_findings(spark, out_dir).drop("batch")
+
+
+def recheck(employees: DataFrame, systems: DataFrame, out_dir: str, as_of: str, rules=STREAM_RULES,
+            params: cat.RuleParams = cat.RuleParams(), run_id: str | None = None) -> DataFrame:
+    """Run the rules over all stored grants with the HR table of now; return all stored findings.
+
+    Give the ``run_id`` of an interrupted run to redo it in place.
+    """
+    spark = employees.sparkSession
+    grants = spark.read.schema(schemas.ACCESS_BASE).parquet(f"{out_dir}/grants").select(*schemas.ACCESS_BASE.names)
+    _append_new(_findings(grants, employees, systems, as_of, rules, params), out_dir, f"r{run_id or uuid.uuid4().hex}")
+    return stored_findings(spark, out_dir).drop("batch")
+
+
+def derived_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grants derived from the ``orders`` test table, as a stream of its files."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").schema
+    raw = file_stream(spark, sf_dir, schema, file_glob="orders*.parquet")
+    return schemas.validate(raw.select(*[F.expr(e).alias(n) for n, e in derived.ACCESS_BASE_EXPRS]),
+                            schemas.ACCESS_BASE, "access_base stream")

@@ -1,66 +1,57 @@
 """Last use of each (employee, system) from a stream of access-log files (extension X8, streaming form).
 
-Log events are aggregated per daily event-time window with a watermark, so
-window state is dropped once the watermark passes it; each micro-batch's
-updated window rows are appended to a Parquet table in the shared folder
-(``foreachBatch``), and the batch view folds them: the latest update of each
-window wins, windows are then summed per key.
+Each micro-batch is reduced to one row per key (last event, number of events)
+and written to a folder of its own, named after the batch id, in overwrite
+mode; the batch view folds all folders. Maxima and counts add up in any order,
+so an event is counted however late it arrives, there is no state that grows
+in the stream, and a retried micro-batch replaces its own folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from grantscope.session import start_stream
+from grantscope.session import file_stream
 from grantscope.sources import derived
 
+USAGE = "employee_id string, system_id string, last_seen {ts}, events bigint, batch bigint"
 
-def log_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
-               max_files: int = 1) -> DataFrame:
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{file_glob}").schema
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-           .option("pathGlobFilter", file_glob).parquet(source_dir))
-    return raw.select(*[F.expr(e).alias(n) for n, e in derived.ACCESS_LOG_EXPRS])
+
+def log_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str = "parquet",
+               max_files: int | None = None, file_glob: str | None = None) -> DataFrame:
+    """Access logs (``employee_id, system_id, ts``) landing as files in ``source_dir``."""
+    return file_stream(spark, source_dir, schema, fmt, max_files, file_glob)
+
+
+def batch_usage(log: DataFrame) -> DataFrame:
+    return log.groupBy("employee_id", "system_id").agg(
+        F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("events"))
 
 
-def windowed_usage(log: DataFrame, window: str = "1 day", watermark: str = "2 days") -> DataFrame:
-    """Per (day window, employee, system): last event time and number of events."""
-    # Watermarks need TIMESTAMP; the reported time stays the original (zone-free) value.
-    t = log.withColumn("_ts", F.col("ts").cast("timestamp"))
-    return (t.withWatermark("_ts", watermark)
-            .groupBy(F.window("_ts", window).alias("w"), "employee_id", "system_id")
-            .agg(F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("events")))
+def fold_usage(updates: DataFrame) -> DataFrame:
+    """Totals per key over all micro-batches."""
+    return updates.groupBy("employee_id", "system_id").agg(
+        F.max("last_seen").alias("last_seen"), F.sum("events").alias("log_events"))
 
 
-def run_available_now(spark: SparkSession, sf_dir: str, out_dir: str,
-                      state_partitions: int | None = None) -> DataFrame:
-    table = f"{out_dir}/window_updates"
+def run_available_now(log: DataFrame, out_dir: str) -> DataFrame:
+    """Process every log file of the stream ``log`` that is there now, then stop; return the usage so far."""
+    spark, table = log.sparkSession, f"{out_dir}/usage"
+    ts = log.schema["ts"].dataType.simpleString()
 
-    def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        (batch.select(F.col("w.start").alias("window_start"), "employee_id", "system_id", "last_seen", "events",
-                      F.lit(epoch_id).alias("epoch"))
-         .write.mode("append").parquet(table))
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch_usage(batch).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
-    writer = (windowed_usage(log_stream(spark, sf_dir)).writeStream.outputMode("update")
-              .foreachBatch(append_batch)
-              .option("checkpointLocation", f"{out_dir}/_checkpoint")
-              .trigger(availableNow=True))
-    q = start_stream(spark, writer, state_partitions)
+    q = (log.writeStream.foreachBatch(put).option("checkpointLocation", f"{out_dir}/_checkpoint")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return fold_updates(spark.read.parquet(table))
-
-
-def fold_updates(updates: DataFrame) -> DataFrame:
-    """Latest update per window (counts are cumulative within a window), then totals per key.
-
-    Taking the maximum per window also makes the result exact when a failed
-    micro-batch is retried and its rows are appended a second time.
-    """
-    latest = (updates.groupBy("window_start", "employee_id", "system_id")
-              .agg(F.max("last_seen").alias("last_seen"), F.max("events").alias("events")))
-    return (latest.groupBy("employee_id", "system_id")
-            .agg(F.max("last_seen").alias("last_seen"),
-                 F.sum("events").alias("log_events")))
+    return fold_usage(spark.read.schema(USAGE.format(ts=ts)).parquet(table))
+
+
+def derived_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs derived from the ``events`` test table, as a stream of its files."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    raw = file_stream(spark, sf_dir, schema, file_glob="events*.parquet")
+    return raw.select(*[F.expr(e).alias(n) for n, e in derived.ACCESS_LOG_EXPRS])
