@@ -39,9 +39,9 @@ from grantscope.llm.common import stored, text_slices
 from grantscope.llm.packed import pack, pack_repeating, unpack, unpack_repeating
 from grantscope.session import shared_dir
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 #: Tokens for which a shard is made.
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 2_000_000
 #: Counts up to this are discounted.
 CUTOFF = 5
 #: A context with more counts than this share of a shard's mean load is spread over all shards.
@@ -166,7 +166,7 @@ class Chunk:
     def __init__(self, row: dict, levels: list[Level], answers: list[dict]):
         self.id, self.doc_ids, self.held = row["chunk"], row["doc_ids"], np.array(row["held"], bool)
         self.sizes, self.words = unpack(row["sizes"]).astype(np.int64), np.frombuffer(row["words"], np.uint64)
-        self.tokens = unpack(row["tokens"]).astype(np.int64)
+        self.tokens = unpack(row["tokens"]).astype(np.int32)
         self.train = np.repeat(~self.held, self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.grams, self.ids = self.tokens, self.words
@@ -194,17 +194,19 @@ class Chunk:
 
     def next_grams(self, k: int, level: Level) -> dict[str, np.ndarray]:
         """The distinct n-grams of order ``k``, one up, as requests have them: spread contexts last; by shard, context, word."""
-        place = np.arange(len(self.tokens)) - np.repeat(self.first, self.sizes)
-        at = np.flatnonzero(place >= (0 if k == 2 else k - 2))
+        place = (np.arange(len(self.tokens)) - np.repeat(self.first, self.sizes)).astype(np.int32)
+        at = np.flatnonzero(place >= (0 if k == 2 else k - 2)).astype(np.int32)
         before = np.where(place[at] > 0, self.grams[at - 1], len(self.ids))  # one past the last: the start of a text
-        pair, first, index = np.unique(before * len(self.words) + self.tokens[at], return_index=True, return_inverse=True)
+        pair = before.astype(np.int64) * len(self.words) + self.tokens[at]
+        del place, before
+        pair, first, index = np.unique(pair, return_index=True, return_inverse=True)
         context, word = np.divmod(pair, len(self.words))
         ids, counts = np.append(self.ids, START), np.append(self.counts, np.iinfo(np.int64).max)
         hot = counts[context] > level.hot_over
         context, word = ids[context], self.word_ids[word]
         shard = ((context ^ np.where(hot, _spread(word), np.uint64(0))) % np.uint64(level.shards)).astype(np.int64)
         order = np.lexsort((word, context, shard, hot))
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         found = {"context": context, "word": word, "hot": hot, "shard": shard, "lower": self.p[at][first],
                  "counts": self.training_counts(index, len(pair), at)}
@@ -225,7 +227,7 @@ class Chunk:
         self.p[g["at"]] = p[g["index"]]
         if found and found[0]["ids"] is not None:
             self.ids, self.counts = np.concatenate([unpack(a["ids"]) for a in found]), counts
-            self.grams = np.full(len(self.tokens), len(self.ids), np.int64)
+            self.grams = np.full(len(self.tokens), len(self.ids), np.int32)
             self.grams[g["at"]] = g["index"]
 
     def per_document(self, values: np.ndarray) -> np.ndarray:
