@@ -17,7 +17,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantscope.llm.common import null_safe, stored
@@ -75,19 +75,26 @@ def template_terms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "template int, license string, t_term string, t_value double, weight double")
 
 
+def notice_key(notice: Column) -> Column:
+    """128 bits that stand for a notice, so that its text travels once and not with each of its terms."""
+    return F.unhex(F.md5(notice))
+
+
 def match_notices(candidates: DataFrame, least: float = LEAST) -> DataFrame:
-    """(notice, license, score): the best template of each distinct ``notice``, where its cosine is at least ``least``."""
+    """(notice_key, license, score): the best template of each distinct ``notice``, where its cosine is at least ``least``."""
     templates = template_terms(candidates.sparkSession)
     weights = templates.select(F.col("t_term").alias("w_term"), "weight").distinct()
     lower = F.translate("notice", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    terms = candidates.select("notice").distinct().select("notice", F.explode(F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).alias("term"))
-    terms = terms.groupBy("notice", "term").agg(F.count(F.lit(1)).alias("n")).join(weights, F.col("term") == F.col("w_term"), "left")
-    terms = terms.select("notice", "term", (F.col("n") * F.coalesce("weight", F.lit(term_weight(0)))).alias("value"))
-    norms = terms.groupBy(F.col("notice").alias("n_notice")).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    dots = terms.join(templates, F.col("term") == F.col("t_term")).groupBy("notice", "template", "license").agg(
+    terms = candidates.select(notice_key(F.col("notice")).alias("notice_key"), "notice").dropDuplicates(["notice_key"])
+    terms = terms.select("notice_key", F.explode(F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).alias("term"))
+    terms = terms.groupBy("notice_key", "term").agg(F.count(F.lit(1)).alias("n")).join(weights, F.col("term") == F.col("w_term"), "left")
+    terms = terms.select("notice_key", "term", (F.col("n") * F.coalesce("weight", F.lit(term_weight(0)))).alias("value"))
+    norms = terms.groupBy(F.col("notice_key").alias("n_key")).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
+    dots = terms.join(templates, F.col("term") == F.col("t_term")).groupBy("notice_key", "template", "license").agg(
         F.sum(F.col("value") * F.col("t_value")).alias("dot"))
-    scored = dots.join(norms, F.col("notice") == F.col("n_notice")).select("notice", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    return _best(scored.where(F.col("score") >= least), ["notice"])
+    scored = dots.join(norms, F.col("notice_key") == F.col("n_key")).select(
+        "notice_key", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    return _best(scored.where(F.col("score") >= least), ["notice_key"])
 
 
 def _best(scored: DataFrame, by: list[str]) -> DataFrame:
@@ -112,9 +119,10 @@ def scan_files(files: DataFrame, least: float = LEAST) -> DataFrame:
         F.regexp_replace(path, "/?[^/]*$", "").alias("own_dir"),
         F.coalesce(notices, F.array().cast("array<string>")).alias("notices")), "license-notices")
     key = ["file_id", "path", "text_hash"]
-    held = files.where(F.size("notices") > 0).select(*key, "own_dir", "is_licence", F.explode("notices").alias("h_notice"))
-    matched = match_notices(held.select(F.col("h_notice").alias("notice")), least)
-    own = _best(held.join(matched, F.col("h_notice") == F.col("notice")), [*key, "own_dir", "is_licence"])
+    held = files.where(F.size("notices") > 0).select(*key, "own_dir", "is_licence", F.explode("notices").alias("notice"))
+    matched = stored(match_notices(held, least), "license-matches")
+    held = held.select(*key, "own_dir", "is_licence", notice_key(F.col("notice")).alias("h_key"))
+    own = _best(held.join(matched, F.col("h_key") == F.col("notice_key")), [*key, "own_dir", "is_licence"])
     licensed = _best(own.where("is_licence"), ["own_dir"]).select(F.col("own_dir").alias("l_dir"), F.col("license").alias("l_license"))
     # Directories, then their ancestors (themselves included, the top directory '' last), deepest licensed one first.
     dirs = files.select(F.col("own_dir").alias("d_dir")).distinct()
