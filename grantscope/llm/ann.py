@@ -28,15 +28,17 @@ from pyspark.sql import functions as F
 from grantscope.llm.common import stored
 
 SAMPLE_ROWS = 16_384
-THRESHOLD_ROWS = 2_048
-LIST_ROWS = 1_024
+THRESHOLD_ROWS = 4_096
+LIST_ROWS = 4_096
 MAX_LISTS = 1_024
-BLOCK_ROWS = 2_048
+BLOCK_ROWS = 4_096
 COLUMNS = 16
+#: Share of pairs alive above which a block of columns is added for all pairs of a block at once.
+DENSE = 0.1
 #: Queries of a block compared at a time (bounds memory).
-QUERIES_AT_A_TIME = 512
+QUERIES_AT_A_TIME = 256
 #: Significance of the test: margin over the threshold is ``MARGIN / sqrt(dimensions seen)``.
-MARGIN = 2.1
+MARGIN = 1.2
 
 
 @dataclass
@@ -144,22 +146,29 @@ def _probes(index: Index, blocks: np.ndarray, probes: int, k: int):
 
 
 def dimension_scan(q: np.ndarray, limit: np.ndarray, x: np.ndarray, columns: int = COLUMNS) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of q, row of x) that no test abandons; rotated coordinates, ``limit``: square distances."""
-    d = q.shape[1]
+    """Pairs (row of q, row of x) that no test abandons; rotated coordinates, ``limit``: square distances.
 
-    def beyond(seen: int) -> np.ndarray:
-        return limit if seen == d else limit * (1 + MARGIN / np.sqrt(seen)) ** 2 * seen / d
+    While many pairs are alive a block of columns is added for all at once; then for each that is left.
+    """
+    d = q.shape[1]
 
-    first = min(columns, d)
-    a, b = q[:, :first], x[:, :first]
-    partial = (a ** 2).sum(axis=1)[:, None] + (b ** 2).sum(axis=1)[None, :] - 2 * a @ b.T
-    i, j = np.nonzero(partial <= beyond(first)[:, None] + 1e-9)
+    def bound(seen: int) -> np.ndarray:
+        return (limit if seen == d else limit * (1 + MARGIN / np.sqrt(seen)) ** 2 * seen / d) + 1e-9
+
+    partial, at = np.zeros((len(q), len(x))), 0
+    alive = np.ones(partial.shape, bool)
+    while at < d and alive.mean() > DENSE:
+        a, b = q[:, at:at + columns], x[:, at:at + columns]
+        partial += (a ** 2).sum(axis=1)[:, None] + (b ** 2).sum(axis=1)[None, :] - 2 * a @ b.T
+        at = min(at + columns, d)
+        alive &= partial <= bound(at)[:, None]
+    i, j = np.nonzero(alive)
     partial = partial[i, j]
-    for at in range(first, d, columns):
+    while at < d:
         to = min(at + columns, d)
         partial = partial + ((q[i, at:to] - x[j, at:to]) ** 2).sum(axis=1)
-        near = partial <= beyond(to)[i] + 1e-9
-        i, j, partial = i[near], j[near], partial[near]
+        near = partial <= bound(to)[i]
+        i, j, partial, at = i[near], j[near], partial[near], to
     return i, j
 
 
