@@ -36,12 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantscope.llm.common import stored, text_slices
-from grantscope.llm.packed import pack, pack_repeating, unpack, unpack_repeating
+from grantscope.llm.packed import (pack, raw, raw_repeating, raw_rising, seal, unpack, unraw, unraw_repeating, unraw_rising,
+                                   unseal)
 from grantscope.session import shared_dir
 
 CHUNK_BYTES = 8 << 20
 #: Tokens for which a shard is made.
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 4_000_000
 #: Counts up to this are discounted.
 CUTOFF = 5
 #: A context with more counts than this share of a shard's mean load is spread over all shards.
@@ -53,15 +54,16 @@ START = np.uint64(2**64 - 1)
 CHUNKS = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
                     ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_tokens", pa.int64())])
 CHUNKS_DDL = "chunk long, doc_ids array<long>, held array<boolean>, sizes binary, words binary, tokens binary, n_tokens long"
-REQUESTS = pa.schema([("shard", pa.int32()), ("chunk", pa.int64()), ("hot", pa.bool_()), ("contexts", pa.binary()), ("sizes", pa.binary()),
-                      ("words", pa.binary()), ("counts", pa.binary()), ("lower", pa.binary())])
-REQUESTS_DDL = "shard int, chunk long, hot boolean, contexts binary, sizes binary, words binary, counts binary, lower binary"
-#: kind: "table" (the stored n-grams), "answer" (to a chunk) or "sums" (of spread contexts).
+#: Words: hashes and counts. n-grams, sorted by word, then context: the distinct contexts, which of them each one has (its
+#: slot), words, counts, and the lower-order p of those that are counted; pairs are sorted by their words' counts first, and
+#: have these in place of p, which they determine.
+REQUESTS = pa.schema([("shard", pa.int32()), ("chunk", pa.int64()), ("hot", pa.bool_()), ("body", pa.binary())])
+REQUESTS_DDL = "shard int, chunk long, hot boolean, body binary"
+#: kind: "table" (the stored n-grams: contexts, followers of each, words, counts), "answer" (to a chunk: counts, numbers, sums of
+#: the contexts) or "sums" (contexts and sums of those that are spread).
 ANSWERS = pa.schema([("kind", pa.string()), ("level", pa.int32()), ("shard", pa.int32()), ("chunk", pa.int64()), ("hot", pa.bool_()),
-                     ("contexts", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
-                     ("ids", pa.binary()), ("sums", pa.binary()), ("of_counts", pa.list_(pa.int64()))])
-ANSWERS_DDL = ("kind string, level int, shard int, chunk long, hot boolean, contexts binary, sizes binary, words binary, "
-               "counts binary, ids binary, sums binary, of_counts array<long>")
+                     ("body", pa.binary()), ("of_counts", pa.list_(pa.int64()))])
+ANSWERS_DDL = "kind string, level int, shard int, chunk long, hot boolean, body binary, of_counts array<long>"
 
 
 # ---- the model ------------------------------------------------------------------------------------------------------
@@ -172,6 +174,7 @@ class Chunk:
         self.grams, self.ids = self.tokens, self.words
         for k, level in enumerate(levels, 1):
             found = sorted((a for a in answers if a["level"] == k), key=lambda a: (a["hot"], a["shard"]))
+            found = [a | dict(zip(("counts", "ids", "sums"), unseal(a["body"]))) for a in found]
             if k == 1:
                 self._take_words(level, found)
             else:
@@ -187,13 +190,16 @@ class Chunk:
         order = self.word_order(level.shards)
         self.ids, self.counts = np.empty(len(order), np.uint64), np.empty(len(order), np.int64)
         if len(order):
-            self.ids[order] = np.concatenate([unpack(a["ids"]) for a in found])
-            self.counts[order] = np.concatenate([unpack(a["counts"]) for a in found])
+            self.ids[order] = np.concatenate([unraw(a["ids"]) for a in found])
+            self.counts[order] = np.concatenate([unraw(a["counts"]) for a in found])
         self.word_ids, self.word_counts = self.ids, self.counts
         self.p = unigram_probabilities(self.counts, level)[self.tokens]
 
     def next_grams(self, k: int, level: Level) -> dict[str, np.ndarray]:
-        """The distinct n-grams of order ``k``, one up, as requests have them: spread contexts last; by shard, context, word."""
+        """The distinct n-grams of order ``k``, one up, as requests have them: spread contexts last; by shard, word, context.
+
+        ``slot`` numbers the distinct contexts of all requests in turn; ``heads`` and ``head_part`` are theirs.
+        """
         place = (np.arange(len(self.tokens)) - np.repeat(self.first, self.sizes)).astype(np.int32)
         at = np.flatnonzero(place >= (0 if k == 2 else k - 2)).astype(np.int32)
         before = np.where(place[at] > 0, self.grams[at - 1], len(self.ids))  # one past the last: the start of a text
@@ -203,30 +209,35 @@ class Chunk:
         context, word = np.divmod(pair, len(self.words))
         ids, counts = np.append(self.ids, START), np.append(self.counts, np.iinfo(np.int64).max)
         hot = counts[context] > level.hot_over
+        weight = self.word_counts[word] if k == 2 else np.zeros(len(word), np.int64)
         context, word = ids[context], self.word_ids[word]
         shard = ((context ^ np.where(hot, _spread(word), np.uint64(0))) % np.uint64(level.shards)).astype(np.int64)
-        order = np.lexsort((word, context, shard, hot))
+        part = shard + hot * level.shards
+        by_context = np.lexsort((context, part))
+        new = changes(part[by_context], context[by_context])
+        slot = np.empty(len(part), np.int64)
+        slot[by_context] = np.cumsum(new) - 1
+        heads = by_context[new]
+        order = np.lexsort((context, word, weight, part))
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
-        found = {"context": context, "word": word, "hot": hot, "shard": shard, "lower": self.p[at][first],
+        found = {"context": context, "word": word, "part": part, "slot": slot, "weight": weight, "lower": self.p[at][first],
                  "counts": self.training_counts(index, len(pair), at)}
-        return {k: v[order] for k, v in found.items()} | {"at": at, "index": rank[index]}
+        return {name: v[order] for name, v in found.items()} | {
+            "at": at, "index": rank[index], "heads": context[heads], "head_part": part[heads]}
 
     def _take_grams(self, k: int, level: Level, found: list[dict]) -> None:
         g = self.next_grams(k, level)
-        counts = np.concatenate([np.zeros(0, np.int64), *(unpack(a["counts"]) for a in found)])
-        cold = [a for a in found if not a["hot"]]
-        sums = np.concatenate([np.zeros((0, CUTOFF + 2)), *(_unpack_sums(a["sums"]) for a in cold)])
-        changes = np.ones(len(g["context"]), bool)
-        changes[1:] = (g["context"][1:] != g["context"][:-1]) | (g["shard"][1:] != g["shard"][:-1])
-        n_cold = int((~g["hot"]).sum())
-        of_gram = np.empty((len(counts), CUTOFF + 2))
-        of_gram[:n_cold] = sums[np.cumsum(changes[:n_cold]) - 1]
-        of_gram[n_cold:] = level.hot_sums[np.searchsorted(level.hot_ids, g["context"][n_cold:])]
+        counts = np.concatenate([np.zeros(0, np.int64), *(unraw(a["counts"]) for a in found)])
+        sums = np.empty((len(g["heads"]), CUTOFF + 2))
+        cold = g["head_part"] < level.shards
+        sums[cold] = np.concatenate([np.zeros((0, CUTOFF + 2)), *(_unraw_sums(a["sums"]) for a in found if not a["hot"])])
+        sums[~cold] = level.hot_sums[np.searchsorted(level.hot_ids, g["heads"][~cold])]
+        of_gram = sums[g["slot"]]
         p = backoff_probabilities(counts, g["lower"], of_gram, level)
         self.p[g["at"]] = p[g["index"]]
-        if found and found[0]["ids"] is not None:
-            self.ids, self.counts = np.concatenate([unpack(a["ids"]) for a in found]), counts
+        if found and found[0]["ids"]:
+            self.ids, self.counts = np.concatenate([unraw(a["ids"]) for a in found]), counts
             self.grams = np.full(len(self.tokens), len(self.ids), np.int32)
             self.grams[g["at"]] = g["index"]
 
@@ -234,20 +245,28 @@ class Chunk:
         return np.add.reduceat(values, self.first) if len(self.first) else np.zeros(0)
 
 
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it in any of the columns; True at the first."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
 def _spread(ids: np.ndarray) -> np.ndarray:
     return (ids + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
 
 
-def _pack_sums(sums: np.ndarray) -> bytes:
-    columns = [pack_repeating(sums[:, i]) for i in range(sums.shape[1])]
+def _raw_sums(sums: np.ndarray) -> bytes:
+    columns = [raw_repeating(sums[:, i]) for i in range(sums.shape[1])]
     return b"".join(len(c).to_bytes(8, "little") + c for c in columns)
 
 
-def _unpack_sums(data: bytes) -> np.ndarray:
+def _unraw_sums(data: bytes) -> np.ndarray:
     columns, at = [], 0
     while at < len(data):
         n = int.from_bytes(data[at:at + 8], "little")
-        columns.append(unpack_repeating(data[at + 8:at + 8 + n]))
+        columns.append(unraw_repeating(data[at + 8:at + 8 + n]))
         at += 8 + n
     return np.stack(columns, axis=1)
 
@@ -265,8 +284,8 @@ def _word_requests(shards: int):
                 counts = chunk.training_counts(chunk.tokens, len(chunk.words))[order]
                 words = chunk.words[order]
                 shard = (words % np.uint64(shards)).astype(np.int64)
-                starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
-                rows = [[int(shard[a]), chunk.id, False, None, None, words[a:b].tobytes(), pack(counts[a:b]), None]
+                starts = np.flatnonzero(changes(shard))
+                rows = [[int(shard[a]), chunk.id, False, seal(words[a:b].tobytes(), raw(counts[a:b]))]
                         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(shard)])]
                 yield from _requests(rows).to_batches()
 
@@ -278,13 +297,15 @@ def _gram_requests(levels: list[Level], level: Level):
         rows, found = [], answers.to_pylist()
         for row in chunks.to_pylist():
             g = (chunk := Chunk(row, levels, found)).next_grams(len(levels) + 1, level)
-            part = g["hot"] * level.shards + g["shard"]
-            starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
-                context, counts = g["context"][a:b], g["counts"][a:b]
-                heads = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-                rows.append([int(g["shard"][a]), chunk.id, bool(g["hot"][a]), pack(context[heads]), pack(np.diff([*heads, b - a])),
-                             pack(g["word"][a:b]), pack(counts), pack_repeating(g["lower"][a:b][counts > 0])])
+            starts = np.flatnonzero(changes(g["part"]))
+            head_starts = np.searchsorted(g["head_part"], g["part"][starts])
+            for a, b, h, i in zip(starts.tolist(), [*starts[1:].tolist(), len(g["part"])], head_starts.tolist(),
+                                  [*head_starts[1:].tolist(), len(g["heads"])]):
+                counts, part = g["counts"][a:b], int(g["part"][a])
+                body = seal(raw_rising(g["heads"][h:i]), raw((g["slot"][a:b] - h).astype(np.uint32)), raw_rising(g["word"][a:b]),
+                            raw(counts), raw_rising(g["weight"][a:b][counts > 0]) if len(levels) == 1
+                            else raw_repeating(g["lower"][a:b][counts > 0]))
+                rows.append([part % level.shards, chunk.id, part >= level.shards, body])
         return _requests(rows)
 
     return requests
@@ -304,22 +325,25 @@ def _answers(rows: list[dict]) -> pa.Table:
 def _add_words(shards: int):
     def add(table: pa.Table) -> pa.Table:
         requests = table.to_pylist()
-        words, shard = [np.frombuffer(r["words"], np.uint64) for r in requests], requests[0]["shard"]
+        bodies, shard = [unseal(r["body"]) for r in requests], requests[0]["shard"]
+        words = [np.frombuffer(b[0], np.uint64) for b in bodies]
         distinct, index = np.unique(np.concatenate(words), return_inverse=True)
-        counts = np.bincount(index, np.concatenate([unpack(r["counts"]) for r in requests]), len(distinct)).astype(np.int64)
-        ids = np.arange(len(distinct), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)
+        counts = np.bincount(index, np.concatenate([unraw(b[1]) for b in bodies]), len(distinct)).astype(np.int64)
+        # Numbers rise with counts, so that requests sorted by count are nearly sorted by number.
+        ids = np.empty(len(distinct), np.uint64)
+        ids[np.argsort(counts, kind="stable")] = np.arange(len(distinct), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)
         head = {"level": 1, "shard": shard, "hot": False}
-        out, at = [head | {"kind": "table", "words": distinct.tobytes(), "counts": pack(counts), "of_counts": _of_counts(counts)}], 0
+        out, at = [head | {"kind": "table", "body": seal(b"", b"", raw(distinct), raw(counts)), "of_counts": _of_counts(counts)}], 0
         for request, own in zip(requests, words):
             own = index[at:at + len(own)]
             at += len(own)
-            out.append(head | {"kind": "answer", "chunk": request["chunk"], "ids": pack(ids[own]), "counts": pack(counts[own])})
+            out.append(head | {"kind": "answer", "chunk": request["chunk"], "body": seal(raw(counts[own]), raw(ids[own]))})
         return _answers(out)
 
     return add
 
 
-def _add_grams(k: int, shards: int, numbered: bool):
+def _add_grams(k: int, words: Level, shards: int, numbered: bool):
     def add(table: pa.Table) -> pa.Table:
         every, out = table.to_pylist(), []
         shard, seen = every[0]["shard"], 0
@@ -327,17 +351,18 @@ def _add_grams(k: int, shards: int, numbered: bool):
             requests = [r for r in every if r["hot"] == hot]
             if not requests:
                 continue
-            heads = [unpack(r["contexts"]) for r in requests]
-            sizes = [unpack(r["sizes"]) for r in requests]
-            context = np.concatenate([np.repeat(h, s) for h, s in zip(heads, sizes)])
-            word = np.concatenate([unpack(r["words"]) for r in requests])
-            times = np.concatenate([unpack(r["counts"]) for r in requests])
+            bodies = [unseal(r["body"]) for r in requests]
+            heads, slots = [unraw_rising(b[0]) for b in bodies], [unraw(b[1]) for b in bodies]
+            of_head = np.unique(np.concatenate(heads), return_inverse=True)[1]
+            context = np.concatenate([h[i] for h, i in zip(heads, slots)])
+            word = np.concatenate([unraw_rising(b[2]) for b in bodies])
+            times = np.concatenate([unraw(b[3]) for b in bodies])
             lower = np.zeros(len(times))
-            lower[times > 0] = np.concatenate([unpack_repeating(r["lower"]) for r in requests])
+            lower[times > 0] = (unigram_probabilities(np.concatenate([unraw_rising(b[4]) for b in bodies]), words) if k == 2
+                                else np.concatenate([unraw_repeating(b[4]) for b in bodies]))
             order = np.lexsort((word, context))
             context, word = context[order], word[order]
-            new_context = np.concatenate([[True], context[1:] != context[:-1]])
-            new = new_context | np.concatenate([[True], word[1:] != word[:-1]])
+            new_context, new = changes(context), changes(context, word)
             starts = np.flatnonzero(new)
             counts, lower = np.add.reduceat(times[order], starts), np.maximum.reduceat(lower[order], starts)
             gram = np.empty(len(order), np.int64)
@@ -345,24 +370,21 @@ def _add_grams(k: int, shards: int, numbered: bool):
             context_starts = np.flatnonzero(new_context[starts])
             sums = np.stack([counts, *(counts == r for r in range(1, CUTOFF + 1)), np.where(counts > 0, lower, 0.0)], axis=1).astype(float)
             sums = np.add.reduceat(sums, context_starts, axis=0)
-            of_request = np.empty(len(order), np.int64)
-            of_request[order] = np.cumsum(new_context) - 1
             ids = (np.arange(len(starts), dtype=np.uint64) + np.uint64(seen)) * np.uint64(shards) + np.uint64(shard)
             seen += len(starts)
-            head, trained, at = {"level": k, "shard": shard, "hot": hot}, counts > 0, 0
+            head, trained, at, head_at = {"level": k, "shard": shard, "hot": hot}, counts > 0, 0, 0
             if hot:
-                out.append(head | {"kind": "sums", "contexts": pack(context[starts][context_starts]), "sums": _pack_sums(sums)})
+                out.append(head | {"kind": "sums", "body": seal(raw(context[starts][context_starts]), _raw_sums(sums))})
             kept_context = context[starts][trained]
-            kept_heads = np.flatnonzero(np.concatenate([[True], kept_context[1:] != kept_context[:-1]])) if len(kept_context) else np.zeros(0, np.int64)
-            out.append(head | {"kind": "table", "contexts": pack(kept_context[kept_heads]), "sizes": pack(np.diff([*kept_heads, len(kept_context)])),
-                               "words": pack(word[starts][trained]), "counts": pack(counts[trained]), "of_counts": _of_counts(counts)})
-            for request, own_heads, own_sizes in zip(requests, heads, sizes):
-                own = slice(at, at + int(own_sizes.sum()))
-                at = own.stop
-                first = own.start + np.cumsum(own_sizes) - own_sizes
-                out.append(head | {"kind": "answer", "chunk": request["chunk"], "counts": pack(counts[gram[own]]),
-                                   "ids": pack(ids[gram[own]]) if numbered else None,
-                                   "sums": None if hot else _pack_sums(sums[of_request[first]])})
+            kept_heads = np.flatnonzero(changes(kept_context))
+            out.append(head | {"kind": "table", "of_counts": _of_counts(counts), "body": seal(
+                raw_rising(kept_context[kept_heads]), raw(np.diff([*kept_heads, len(kept_context)])), raw(word[starts][trained]),
+                raw(counts[trained]))})
+            for request, own_heads, own_slots in zip(requests, heads, slots):
+                own, own_sums = slice(at, at + len(own_slots)), slice(head_at, head_at + len(own_heads))
+                at, head_at = own.stop, own_sums.stop
+                out.append(head | {"kind": "answer", "chunk": request["chunk"], "body": seal(
+                    raw(counts[gram[own]]), raw(ids[gram[own]]) if numbered else b"", b"" if hot else _raw_sums(sums[of_head[own_sums]]))})
         return _answers(out)
 
     return add
@@ -371,8 +393,9 @@ def _add_grams(k: int, shards: int, numbered: bool):
 def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            sums = _unpack_sums(row["sums"])
-            yield pa.RecordBatch.from_arrays([pa.array(unpack(row["contexts"]).view(np.int64)), *(pa.array(c.copy()) for c in sums.T)],
+            contexts, sums = unseal(row["body"])
+            sums = _unraw_sums(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(unraw(contexts).view(np.int64)), *(pa.array(c.copy()) for c in sums.T)],
                                              ["context", *(f"s{i}" for i in range(CUTOFF + 2))])
 
 
@@ -427,7 +450,7 @@ def score_documents(docs: DataFrame, order: int = 2, held_out: str = "pmod(crc32
         to_chunks = every.where("kind = 'answer'")
         level = Level(shards, 0, 0, np.ones(CUTOFF + 1), [], levels[0].total * HOT_SHARE / shards)
         requests = chunks.groupBy("chunk").cogroup(to_chunks.groupBy("chunk")).applyInArrow(_gram_requests(levels, level), REQUESTS_DDL)
-        answers = stored(requests.groupBy("shard").applyInArrow(_add_grams(k, shards, k < order), ANSWERS_DDL), f"katz-{k}", ("kind",))
+        answers = stored(requests.groupBy("shard").applyInArrow(_add_grams(k, levels[0], shards, k < order), ANSWERS_DDL), f"katz-{k}", ("kind",))
         hot = answers.where("kind = 'sums'").mapInArrow(_hot_rows, "context long, " + ", ".join(f"s{i} double" for i in range(CUTOFF + 2)))
         hot = hot.groupBy("context").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(CUTOFF + 2))).toArrow()  # four a shard at most
         ids = hot["context"].to_numpy().view(np.uint64)
