@@ -12,7 +12,9 @@ A pair of segments gives the product of their keys, 24 bits each. Candidates mee
 verified; within a key a search from node to node links each found node once, so a large group never makes all pairs.
 
 Defined cases. NULL text has no words: fingerprint zero, linked like any other. Repeated rows have equal
-fingerprints. A group's id is the smallest non-NULL doc_id in it. An empty table gives an empty result.
+fingerprints. A group's id is the smallest non-NULL doc_id in it. One row of every group survives, also of groups that
+share an id or have none: rows are told apart by id and text, and of rows equal in both one is kept. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from grantscope.llm.common import stored, text_slices
+from grantscope.llm.common import null_safe, stored, text_slices
 from grantscope.llm.components import components
 
 SEED = 42
@@ -57,11 +60,11 @@ def fingerprint(text: str, words_in_shingle: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(words_in_shingle: int):
+def _fingerprints(words_in_shingle: int, carried: list[str]):
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             found = np.array([fingerprint(t, words_in_shingle) for t in part.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*map(part.column, carried), pa.array(found.view(np.int64))], [*carried, "fingerprint"])
 
     return fingerprints
 
@@ -178,33 +181,45 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(len(keys))
 
 
-def near_duplicates(docs: DataFrame, words_in_shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint as a signed long, component_id) of every document."""
+def _rooted(rows: DataFrame, least: Column, words_in_shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with a fingerprint in place of the text, and (fingerprint, least, root) of every distinct fingerprint."""
     if max_bits != MAX_BITS:
         raise ValueError(f"the segments are laid out for {MAX_BITS} differing bits")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    prints = stored(rows.mapInArrow(_fingerprints(words_in_shingle), "doc_id long, fingerprint long"), "simhash-fingerprints")
-    nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
+    carried = rows.drop("text")
+    schema = StructType([*carried.schema.fields, StructField("fingerprint", LongType())])
+    prints = stored(rows.mapInArrow(_fingerprints(words_in_shingle, carried.columns), schema), "simhash-fingerprints")
+    nodes = stored(prints.groupBy("fingerprint").agg(least.alias("least")), "simhash-nodes")
     keys = nodes.select("fingerprint").mapInArrow(_keys, "key long, fingerprint long")
     links = keys.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long")
     roots = components(links)
     rooted = nodes.join(roots, F.col("fingerprint") == F.col("node"), "left")
-    rooted = rooted.select("fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root"))
-    groups = rooted.groupBy(F.col("root").alias("g_root")).agg(F.min("least_id").alias("component_id"))
+    return prints, rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, words_in_shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fingerprint as a signed long, component_id) of every document."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    prints, rooted = _rooted(rows, F.min("doc_id"), words_in_shingle, max_bits)
+    groups = rooted.groupBy(F.col("root").alias("g_root")).agg(F.min("least").alias("component_id"))
     named = rooted.join(groups, F.col("root") == F.col("g_root")).select(F.col("fingerprint").alias("n_print"), "component_id")
     return prints.join(named, F.col("fingerprint") == F.col("n_print")).select("doc_id", "fingerprint", "component_id")
 
 
 def first_of_groups(docs: DataFrame, words_in_shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group: that with the smallest id (of repeated rows, one)."""
-    found = near_duplicates(docs, words_in_shingle, max_bits)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k_id")).distinct()
+    """``docs`` with one row of each group: that with the smallest id (NULL last), then the least hash of the text."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(F.col("doc_id").cast("long").alias("r_id"), own)
-    ids = rows.groupBy("r_id").agg(F.count(F.lit(1)).alias("n"))
-    repeated = ids.where("n > 1").select(F.col("r_id").alias("m_id"), F.lit(True).alias("many"))
-    rows = rows.join(kept, rows["r_id"].eqNullSafe(kept["k_id"]), "left_semi")
-    rows = rows.join(repeated, rows["r_id"].eqNullSafe(repeated["m_id"]), "left")
-    once = rows.where("many is null").select("row.*")
-    again = rows.where("many").groupBy("r_id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row")).select("row.*")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    text_hash = F.unhex(F.md5(text))  # 128 bits: it alone tells rows without an id apart
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("text_hash"), text.alias("text"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    prints, rooted = _rooted(rows, least, words_in_shingle, max_bits)
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("k_id"), F.col("least.text_hash").alias("k_hash"))
+    repeated = prints.groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    kept = kept.join(repeated, null_safe(kept, repeated, [("k_id", "m_id"), ("k_hash", "m_hash")]), "left")
+    kept = kept.select("k_id", "k_hash", F.col("n").isNotNull().alias("many"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("r_id"), text_hash.alias("r_hash"), own)
+    rows = rows.join(kept, null_safe(rows, kept, [("r_id", "k_id"), ("r_hash", "k_hash")]))
+    once = rows.where("not many").select("row.*")
+    again = rows.where("many").groupBy("r_id", "r_hash").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*")
     return once.unionByName(again)
