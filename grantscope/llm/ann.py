@@ -2,12 +2,12 @@
 
 Index. Vectors get one more coordinate, so that the nearest by Euclidean distance has the largest inner product, and
 one random rotation. Centroids are fitted on a bounded sample (``SAMPLE_ROWS``); every vector goes to the list of its
-nearest centroid, and each list is cut into blocks of about ``BLOCK_ROWS`` by a hash of the id, so a list that a third of
-all vectors fall into (copies of one) is many blocks.
+nearest centroid, and each list is cut into blocks of about ``BLOCK_ROWS`` by a hash of id and vector, so a list that a
+third of all vectors fall into (copies of one, or rows of one id) is many blocks. Rows equal in id and vector are one.
 
 Search. A query goes to the blocks of its ``probe_share`` nearest lists. There its rotated coordinates are compared block of
 columns by block of columns: after each, the partial distance, scaled to all dimensions, is tested against the query's
-threshold (a bound on its k-th distance, from a small sample), and candidates that are beyond it by the test's
+threshold (a bound on the distance of its k-th id, from a small sample), and candidates that are beyond it by the test's
 margin are abandoned. Those that remain are scored exactly on the original vectors, in double precision.
 
 Defined cases. Vectors that are NULL, zero, of another length than most, or hold NULL or non-finite components take no
@@ -60,14 +60,16 @@ class Index:
         return (self.centroids ** 2).sum(axis=1)[None, :] - 2 * rotated @ self.centroids.T
 
     def thresholds(self, ids: np.ndarray, rotated: np.ndarray, probed: np.ndarray, k: int) -> np.ndarray:
-        """For each query, a square distance that some more than k other vectors of its ``probed`` lists don't exceed.
+        """For each query, a square distance that some more than k other ids of its ``probed`` lists don't exceed.
 
-        Some more: the scan's tests may abandon a vector or two of them.
+        Some more: the scan's tests may abandon a vector or two of them. Rows of one id stand together in the sample.
         """
         out, enough = np.full(len(ids), np.inf), k + k // 2
-        if len(self.sample_ids) > enough:
+        starts = np.flatnonzero(np.concatenate([[True], self.sample_ids[1:] != self.sample_ids[:-1]]))
+        if len(starts) > enough:
             square = (rotated ** 2).sum(axis=1)[:, None] + (self.sample ** 2).sum(axis=1)[None, :] - 2 * rotated @ self.sample.T
             square[(ids[:, None] == self.sample_ids[None, :]) | ~probed[:, self.sample_lists]] = np.inf
+            square = np.minimum.reduceat(square, starts, axis=1)
             out = np.partition(square, enough - 1, axis=1)[:, enough - 1] * (1 + 1e-9) + 1e-12
         return out
 
@@ -91,13 +93,14 @@ def fit(vectors: DataFrame, seed: int = 7, rounds: int = 8) -> tuple[Index | Non
     n, top = vectors.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
     if not n:
         return None, 0
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE_ROWS).toArrow()
+    rows = vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(SAMPLE_ROWS).toArrow()
     x, ids = _matrix(rows["v"]), rows["vec_id"].to_numpy()
     rng = np.random.default_rng(seed)
     rotation, _ = np.linalg.qr(rng.normal(size=(x.shape[1] + 1, x.shape[1] + 1)))
-    index = Index(rotation, np.zeros((1, 1)), top, np.zeros((0, 0)), ids[:THRESHOLD_ROWS], np.zeros(0, np.int64))
+    by_id = np.argsort(ids[:THRESHOLD_ROWS], kind="stable")
+    index = Index(rotation, np.zeros((1, 1)), top, np.zeros((0, 0)), ids[by_id], np.zeros(0, np.int64))
     r = index.rotated(x, False)
-    index.sample = r[:THRESHOLD_ROWS]
+    index.sample = r[by_id]
     lists = int(min(MAX_LISTS, max(1, n // LIST_ROWS), len(r)))
     index.centroids = r[rng.choice(len(r), lists, replace=False)]
     for _ in range(rounds):
@@ -186,12 +189,14 @@ def _search(index: Index, k: int):
                 own = names[i] != ids[j]
                 i, j = i[own], j[own]
                 score = (q[i] * x[j]).sum(axis=1)
-                order = np.lexsort((ids[j], -score, i))
+                order = np.lexsort((-score, ids[j], i))
                 i, j, score = i[order], j[order], score[order]
                 pair = np.stack([i, ids[j]])
-                new = np.ones(len(i), bool)  # rows of one id with equal vectors stand together
+                new = np.ones(len(i), bool)  # rows of one id stand together, the best first
                 new[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
                 i, j, score = i[new], j[new], score[new]
+                order = np.lexsort((ids[j], -score, i))
+                i, j, score = i[order], j[order], score[order]
                 starts = np.searchsorted(i, i)
                 best = np.arange(len(i)) - starts < k
                 out.append(pa.Table.from_arrays([pa.array(names[i[best]]), pa.array(ids[j[best]]), pa.array(score[best])], schema=schema))
@@ -204,7 +209,7 @@ def nearest_neighbours(table: DataFrame, queries: DataFrame, k: int = 20, probe_
                        vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` its k nearest rows of ``table`` found, but for its own id."""
     spark, empty = table.sparkSession, "query_id long, rank int, vec_id long, score double"
-    vectors = valid_vectors(table, id_col, vector_col)
+    vectors = stored(valid_vectors(table, id_col, vector_col).distinct(), "vectors")
     index, n = fit(vectors)
     if index is None:
         return spark.createDataFrame([], empty)
@@ -213,7 +218,7 @@ def nearest_neighbours(table: DataFrame, queries: DataFrame, k: int = 20, probe_
     for row in assigned.groupBy("list").count().collect():  # MAX_LISTS rows at most
         blocks[row["list"]] = 1 + row["count"] // BLOCK_ROWS
     of_list = F.array(*[F.lit(int(b)) for b in blocks])
-    placed = assigned.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.element_at(of_list, F.col("list") + 1)).cast("int"))
+    placed = assigned.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(of_list, F.col("list") + 1)).cast("int"))
     d = len(index.rotation) - 1
     asked = valid_vectors(queries, id_col, vector_col).where(F.size("v") == d).groupBy("vec_id").agg(F.min("v").alias("v"))
     probes = max(1, int(np.ceil(probe_share * len(blocks))))
