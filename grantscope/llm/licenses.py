@@ -20,10 +20,12 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantscope.llm import license_texts
 from grantscope.llm.common import null_safe, stored
 
-# Identifiers and notices of common licences, by identifier.
+# Identifiers, notices, headers and whole texts of common licences, by identifier.
 TEMPLATES = (
+    *license_texts.BODIES, *license_texts.HEADERS, *license_texts.SPDX,
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
