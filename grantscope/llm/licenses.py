@@ -1,6 +1,8 @@
 """License scans: notices matched to templates by sparse TF-IDF cosine, then inherited from the nearest directory.
 
-In every file the lines with a cue word are candidates, in licence files (by name) the whole text as well. Distinct candidates
+In every file the lines with a cue word are candidates, in licence files (by name) the whole text as well. So are windows of
+terms, whatever the lines and comment marks: a header or notice template is laid with its first cue term on each equal term
+of the text, and the terms that it covers are one candidate, be the notice wrapped or inside a long line. Distinct candidates
 are scored once: their terms, weighted by how often they stand there and how few templates have them, meet the
 templates' terms in a join, and the products add up to cosines. A file's own licence is its best match of at least
 ``least`` (ties: the first identifier). A directory's licence is the best among its licence files. A file without an
@@ -53,6 +55,9 @@ CUE = r"(?i)licen[sc]e|copyright|spdx|permission|public domain|redistribut|creat
 TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([._-]|$)"
 LEAST = 0.7
+#: Terms that a template is laid on by, and the longest template laid so (whole texts of more terms are matched as files).
+ANCHOR = r"licen[sc]e|spdx|permission|public|redistribut|creative"
+WINDOW_TERMS = 256
 
 
 def terms_of(text: str) -> Counter:
@@ -77,6 +82,28 @@ def template_terms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "template int, license string, t_term string, t_value double, weight double")
 
 
+def anchors() -> dict[str, list[tuple[int, int]]]:
+    """By the first cue term of the templates: where it stands in them, and how many terms they have."""
+    found: dict[str, set[tuple[int, int]]] = {}
+    for _, text in TEMPLATES:
+        terms = re.findall(TERM, text.lower())
+        at = next((i for i, t in enumerate(terms) if re.search(ANCHOR, t)), None)
+        if at is not None and len(terms) <= WINDOW_TERMS:
+            found.setdefault(terms[at], set()).add((at, len(terms)))
+    return {t: sorted(w) for t, w in sorted(found.items())}
+
+
+def windows(terms: Column) -> Column:
+    """The windows of the array ``terms`` (a column that is there already, not an expression) that templates cover."""
+    laid = anchors()
+    by_term = F.create_map(*(x for t, w in laid.items() for x in (
+        F.lit(t), F.array(*[F.struct(F.lit(at).alias("at"), F.lit(n).alias("n")) for at, n in w]))))
+    hits = F.filter(F.transform(terms, lambda t, i: F.when(t.isin(*laid), F.struct(t.alias("term"), i.alias("i")))), lambda h: h.isNotNull())
+    window = lambda h, w: F.array_join(F.slice(  # noqa: E731  one that begins before the text is cut there
+        terms, F.greatest(h["i"] - w["at"], F.lit(0)) + 1, w["n"] + F.least(h["i"] - w["at"], F.lit(0))), " ")
+    return F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(by_term, h["term"]), lambda w: window(h, w))))
+
+
 def notice_key(notice: Column) -> Column:
     """128 bits that stand for a notice, so that its text travels once and not with each of its terms."""
     return F.unhex(F.md5(notice))
@@ -115,11 +142,15 @@ def scan_files(files: DataFrame, least: float = LEAST) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(CUE))
     name = F.substring_index(path, "/", -1)
     is_licence = name.rlike(LICENCE_FILE)
-    notices = F.when(text.rlike(CUE), F.array_distinct(F.concat(lines, F.when(is_licence, F.array(text)).otherwise(F.array()))))
-    files = stored(files.select(
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    whole = F.when(text.rlike(CUE), F.concat(lines, F.when(is_licence, F.array(text)).otherwise(F.array())))
+    files = files.select(
         F.col("file_id").cast("long").alias("file_id"), path.alias("path"), F.xxhash64(text).alias("text_hash"), is_licence.alias("is_licence"),
-        F.regexp_replace(path, "/?[^/]*$", "").alias("own_dir"),
-        F.coalesce(notices, F.array().cast("array<string>")).alias("notices")), "license-notices")
+        F.regexp_replace(path, "/?[^/]*$", "").alias("own_dir"), whole.alias("whole"),
+        F.when(text.rlike(CUE), F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).alias("terms"))
+    notices = F.array_distinct(F.concat("whole", windows(F.col("terms"))))
+    files = stored(files.select("file_id", "path", "text_hash", "is_licence", "own_dir",
+                                F.coalesce(notices, F.array().cast("array<string>")).alias("notices")), "license-notices")
     key = ["file_id", "path", "text_hash"]
     held = files.where(F.size("notices") > 0).select(*key, "own_dir", "is_licence", F.explode("notices").alias("notice"))
     matched = stored(match_notices(held, least), "license-matches")
