@@ -25,8 +25,8 @@ class UnitCache:
     Two generations: when the young one is full it becomes the old one, and what is used again moves up.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence]):
-        self.encode, self.young, self.old = encode, {}, {}
+    def __init__(self, encode: Callable[[list[str]], Sequence], generation: int | None = None):
+        self.encode, self.young, self.old, self.generation = encode, {}, {}, generation
 
     def __call__(self, units: list[str]) -> list:
         values = list(map(self.young.get, units))
@@ -38,9 +38,10 @@ class UnitCache:
             part = new[at:at + ENCODED_AT_A_TIME]
             for j, v in zip(part, self.encode([names[j] for j in part])):
                 found[j] = v
-        if len(self.young) + len(names) > GENERATION:
+        generation = self.generation or GENERATION
+        if len(self.young) + len(names) > generation:
             self.old, self.young = self.young, {}
-        self.young.update(zip(names[:GENERATION], found))
+        self.young.update(zip(names[:generation], found))
         for i, v in zip(missing, found):
             values[i] = v
         return values
