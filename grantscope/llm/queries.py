@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantscope.llm import alignment, ann, byte_bpe, katz, licenses, line_dedup, mixing, packing, quality, secrets, simhash, token_counts
+from grantscope.llm import alignment, ann, byte_bpe, katz, licenses, line_dedup, mixing, packing, prefix_trie, quality, secrets, simhash, token_counts
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -75,7 +79,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_katz_backoff, op2_secret_scans, op3_nearest_neighbours, op4_simhash_near_dedup, op5_license_scans, op6_quality_rules,
-    op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts, op12_mixing, op13_alignment)}
+    op7_packing, op8_line_dedup, op9_byte_bpe, op10_token_counts, op11_prefix_trie, op12_mixing, op13_alignment)}
 
 # White space and A-Z as the contracts have them, in DuckDB's terms.
 _SPACES = r"[\x20\x09-\x0D]"
