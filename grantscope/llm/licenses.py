@@ -52,7 +52,8 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 CUE = r"(?i)licen[sc]e|copyright|spdx|permission|public domain|redistribut|creative commons"
-TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
+# possessive: Java matches these loops without recursion, so a term may be of any length
+TERM = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([._-]|$)"
 LEAST = 0.7
 #: Terms that a template is laid on by, and the longest template laid so (whole texts of more terms are matched as files).
