@@ -25,6 +25,7 @@ from grantscope.session import shared_dir
 from grantscope.sources import derived, sinks
 from grantscope import schemas
 from grantscope.streaming import continuous, usage
+from grantscope.streaming.state import GRANT_EVENTS
 
 # The review time of the test tables.
 AS_OF = "2001-09-01 12:00:00"
@@ -163,6 +164,41 @@ def stream_recheck_terminations(spark, sf):
     return continuous.recheck(emp, systems, out, AS_OF, ("RULE-001", "RULE-006"))
 
 
+def _event_files(rows, src, files, order=lambda n: range(n)):
+    """Rows as event files that arrive one after another, dealt by key and event time, so versions of a key arrive in any order."""
+    dealt = rows.withColumn("_file", F.pmod(F.xxhash64(rows.columns[0], "event_time"), F.lit(files)))
+    for i in order(files):
+        dealt.where(F.col("_file") == i).drop("_file").coalesce(1).write.mode("append").parquet(src)
+
+
+def _at(time):
+    return F.lit(time).cast("timestamp_ntz").alias("event_time")
+
+
+def stream_revocations(spark, sf):
+    """Grants that were active and unjustified first, then as they are now (a fourth revoked); both versions arrive in any order."""
+    src, base = shared_dir(spark, "grant-events"), derived.access_base(spark, sf)
+    before = base.withColumns({"is_active": F.lit(True), "business_justification": F.lit(None).cast("string")})
+    events = before.select("*", _at("2001-01-01 00:00:00")).unionByName(base.select("*", _at("2001-08-31 00:00:00")))
+    _event_files(events, src, 3)
+    stream = continuous.grant_stream(spark, src, GRANT_EVENTS, max_files=1)
+    return continuous.run_available_now(stream, derived.employees(spark, sf), derived.systems(spark, sf), shared_dir(spark, "revocations"), AS_OF)
+
+
+def stream_hr_changes(spark, sf):
+    """Grants streamed while all owners were active; then only HR changes arrive, and wake the grants of those owners."""
+    g_src, e_src, out = (shared_dir(spark, n) for n in ("grant-files", "hr-events", "hr-changes"))
+    emp = derived.employees(spark, sf)
+    before = emp.withColumns({"status": F.lit("active"), "termination_date": F.lit(None).cast("date")})
+    derived.access_base(spark, sf).coalesce(1).write.parquet(g_src)
+    before.select("*", _at("2001-01-01 00:00:00")).coalesce(1).write.parquet(e_src)
+    stream = continuous.changes(continuous.grant_stream(spark, g_src), continuous.employee_stream(spark, e_src))
+    systems = derived.systems(spark, sf)
+    continuous.run_changes(stream, systems, out, AS_OF)
+    _event_files(emp.where("status <> 'active'").select("*", _at("2001-08-31 00:00:00")), e_src, 2)
+    return continuous.run_changes(stream, systems, out, AS_OF)
+
+
 def _package_file(name):
     """The content of a file of the evidence package, read back."""
     def read(spark, sf):
@@ -412,6 +448,8 @@ RAW: dict[str, Query] = {
     "rule_002_dormant_with_logs": rule_002_dormant_with_logs,
     "stream_terminated_access": stream_terminated_access,
     "stream_recheck_terminations": stream_recheck_terminations,
+    "stream_revocations": stream_revocations,
+    "stream_hr_changes": stream_hr_changes,
     "stream_last_used_from_log": stream_last_used_from_log,
     "risk_gauge": _on_findings(S.risk_gauge),
 }

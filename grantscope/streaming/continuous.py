@@ -1,14 +1,11 @@
-"""Continuous detection (extension X7).
+"""Continuous detection (extension X7): streams of grants and of HR changes.
 
-Grants arrive as a file stream. Each micro-batch is stored, joined with the HR
-and system tables as they are at that moment, and its new findings are
-appended: a finding whose (deterministic) id is already stored is not written
-again. Every batch writes a folder of its own in overwrite mode, so a retried
-batch replaces itself. There is no watermark: whatever the order of files and
-of review dates, the stored findings are those of all grants.
+Every micro-batch stores its events and evaluates the grants that they concern (``streaming.state``). Nothing is dropped as late:
+the state of a grant or an employee is its last event by ``event_time`` (streams without one: by micro-batch), whatever the
+order of arrival, and the findings are those a batch review of these states gives. A revoked grant closes its findings, and the
+change of an employee alone wakes that employee's grants.
 
-``recheck`` runs the same rules over all stored grants against the HR table of
-the day, so a termination after a grant has streamed by is found as well.
+``recheck`` evaluates all stored grants against an HR table of the day, for users without a stream of HR changes.
 """
 
 from __future__ import annotations
@@ -21,71 +18,90 @@ from pyspark.sql import types as T
 
 from grantscope import catalogue as cat
 from grantscope import schemas
-from grantscope.operators.findings import to_findings
-from grantscope.operators.joins import enrich_with_systems
-from grantscope.operators.rules import per_grant_hits
-from grantscope.session import exists, file_stream
+from grantscope.session import file_stream
 from grantscope.sources import derived
+from grantscope.streaming.state import EMPLOYEE_EVENTS, GRANT_EVENTS, RECHECKS, DetectionState
 
 STREAM_RULES = ("RULE-001", "RULE-003", "RULE-006", "RULE-007")
 
 
 def grant_stream(spark: SparkSession, source_dir: str, schema: T.StructType = schemas.ACCESS_BASE, fmt: str = "parquet",
                  max_files: int | None = None, file_glob: str | None = None) -> DataFrame:
-    """Grants landing as files in ``source_dir``; ``max_files`` bounds a micro-batch (default: all that are there)."""
-    return schemas.validate(file_stream(spark, source_dir, schema, fmt, max_files, file_glob), schemas.ACCESS_BASE, "access_base stream")
+    """Grants landing as files in ``source_dir``; ``max_files`` bounds a micro-batch (default: all that are there).
 
+    Give ``schema=GRANT_EVENTS`` for files with an ``event_time``.
+    """
+    expected = GRANT_EVENTS if "event_time" in schema.names else schemas.ACCESS_BASE
+    return schemas.validate(file_stream(spark, source_dir, schema, fmt, max_files, file_glob), expected, "access_base stream")
 
-def stored_findings(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Every finding stored so far."""
-    schema = T.StructType([*schemas.FINDINGS.fields, T.StructField("batch", T.StringType())])
-    path = f"{out_dir}/findings"
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
+def employee_stream(spark: SparkSession, source_dir: str, schema: T.StructType = EMPLOYEE_EVENTS, fmt: str = "parquet",
+                    max_files: int | None = None, file_glob: str | None = None) -> DataFrame:
+    """HR rows (with ``event_time``, if the schema has it) landing as files in ``source_dir``, one for every change."""
+    expected = EMPLOYEE_EVENTS if "event_time" in schema.names else schemas.EMPLOYEES
+    return schemas.validate(file_stream(spark, source_dir, schema, fmt, max_files, file_glob), expected, "employees stream")
 
-def _append_new(findings: DataFrame, out_dir: str, batch: str) -> None:
-    """Store the findings that no other batch has stored, once each."""
-    spark = findings.sparkSession
-    known = stored_findings(spark, out_dir).where(F.col("batch") != batch).select("finding_id")
-    new = findings.join(known, "finding_id", "left_anti").dropDuplicates(["finding_id"])
-    new.select(*schemas.FINDINGS.names).write.mode("overwrite").parquet(f"{out_dir}/findings/batch={batch}")
 
+def _events(df: DataFrame | None, schema: T.StructType) -> DataFrame | None:
+    """Events with ``event_time``, NULL where the source has none."""
+    if df is None or "event_time" in df.columns:
+        return df
+    return df.withColumn("event_time", F.lit(None).cast("timestamp_ntz")).select(*schema.names)
 
-def _findings(grants: DataFrame, employees: DataFrame, systems: DataFrame, as_of: str, rules,
-              params: cat.RuleParams) -> DataFrame:
-    access = enrich_with_systems(grants, systems)
-    return to_findings(per_grant_hits(employees, access, as_of, rules, params), as_of, params)
 
+def changes(grants: DataFrame, employees: DataFrame) -> DataFrame:
+    """Both streams as one (columns ``grant`` and ``employee``, one of them NULL), so that one query orders their batches."""
+    def side(df, name):
+        events = _events(df, {"grant": GRANT_EVENTS, "employee": EMPLOYEE_EVENTS}[name])
+        parts = {n: F.lit(None).cast(s.simpleString()).alias(n) for n, s in (("grant", GRANT_EVENTS), ("employee", EMPLOYEE_EVENTS))}
+        parts[name] = F.struct(*events.columns).alias(name)
+        return events.select(parts["grant"], parts["employee"])
+
+    return side(grants, "grant").unionByName(side(employees, "employee"))
 
-def run_available_now(grants: DataFrame, employees: DataFrame, systems: DataFrame, out_dir: str, as_of: str,
-                      rules=STREAM_RULES, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
-    """Process every file of the stream ``grants`` that is there now, then stop; return all stored findings."""
-    spark = grants.sparkSession
+
+def _run(stream: DataFrame, out_dir: str, apply) -> DataFrame:
+    """Apply every micro-batch that is there now, then stop; the current findings."""
+    state = DetectionState(stream.sparkSession, f"{out_dir}/state")
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        at = f"{out_dir}/grants/batch=s{batch_id}"
-        batch.write.mode("overwrite").parquet(at)
-        held = spark.read.schema(batch.schema).parquet(at)
-        _append_new(_findings(held, employees, systems, as_of, rules, params), out_dir, f"s{batch_id}")
+        apply(state, batch, f"s{batch_id}", (batch_id + 1) * RECHECKS)
 
-    q = (grants.writeStream.foreachBatch(put).option("checkpointLocation", f"{out_dir}/_checkpoint")
+    q = (stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{out_dir}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return stored_findings(spark, out_dir).drop("batch")
+    return state.current_findings()
+
+
+def run_available_now(grants: DataFrame, employees: DataFrame, systems: DataFrame, out_dir: str, as_of: str,
+                      rules=STREAM_RULES, params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+    """Process every file of the stream ``grants`` with the HR table ``employees``; return the current findings."""
+    def apply(state, batch, name, version):
+        state.apply(name, version, systems, as_of, rules, params, grants=_events(batch, GRANT_EVENTS), hr=employees)
+
+    return _run(grants, out_dir, apply)
+
+
+def run_changes(stream: DataFrame, systems: DataFrame, out_dir: str, as_of: str, rules=STREAM_RULES,
+                params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+    """Process every file of ``changes(grants, employees)``; return the current findings. HR rows are events too, the first
+    table included: an employee of whom no event has come has no findings yet."""
+    def apply(state, batch, name, version):
+        state.apply(name, version, systems, as_of, rules, params,
+                    grants=batch.where("grant is not null").select("grant.*"), employees=batch.where("employee is not null").select("employee.*"))
+
+    return _run(stream, out_dir, apply)
 
 
 def recheck(employees: DataFrame, systems: DataFrame, out_dir: str, as_of: str, rules=STREAM_RULES,
             params: cat.RuleParams = cat.RuleParams(), run_id: str | None = None) -> DataFrame:
-    """Run the rules over all stored grants with the HR table of now; return all stored findings.
+    """Evaluate the last state of every stored grant with the HR table of now; return the current findings.
 
     Give the ``run_id`` of an interrupted run to redo it in place.
     """
-    spark = employees.sparkSession
-    grants = spark.read.schema(schemas.ACCESS_BASE).parquet(f"{out_dir}/grants").select(*schemas.ACCESS_BASE.names)
-    _append_new(_findings(grants, employees, systems, as_of, rules, params), out_dir, f"r{run_id or uuid.uuid4().hex}")
-    return stored_findings(spark, out_dir).drop("batch")
+    state, batch = DetectionState(employees.sparkSession, f"{out_dir}/state"), f"r{run_id or uuid.uuid4().hex}"
+    state.evaluate_all(batch, state.next_version(batch), systems, as_of, rules, params, hr=employees)
+    return state.current_findings()
 
 
 def derived_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
