@@ -138,17 +138,17 @@ def read_package_file(spark: SparkSession, pkg: str, name: str) -> DataFrame:
 
 
 def quick_exports(spark: SparkSession, findings: DataFrame, employees: DataFrame, access: DataFrame,
-                  out_dir: str) -> DataFrame:
-    """All findings, the full employee table and active grants as CSV; index (file, rows, path)."""
+                  out_dir: str, dialect: str = "standard") -> DataFrame:
+    """All findings, the full employee table and active grants as CSV (plain CSV by default); index (file, rows, path)."""
     base = out_dir.rstrip("/")
     files = {
-        "all_findings.csv": (sinks.write_csv(export_view(sorted_findings(findings)), f"{base}/all_findings.csv"),
+        "all_findings.csv": (sinks.write_csv(export_view(sorted_findings(findings)), f"{base}/all_findings.csv", dialect=dialect),
                              EXPORT_SCHEMA),
-        "employees.csv": (sinks.write_csv(employees, f"{base}/employees.csv"), schemas.EMPLOYEES),
-        "active_access.csv": (sinks.write_csv(access_snapshot(access), f"{base}/active_access.csv"),
+        "employees.csv": (sinks.write_csv(employees, f"{base}/employees.csv", dialect=dialect), schemas.EMPLOYEES),
+        "active_access.csv": (sinks.write_csv(access_snapshot(access), f"{base}/active_access.csv", dialect=dialect),
                               schemas.ACCESS_RIGHTS),
     }
-    parts = [sinks.read_csv(spark, path, schema).agg(F.count(F.lit(1)).alias("rows"))
+    parts = [sinks.read_csv(spark, path, schema, dialect).agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("file"), "rows", F.lit(path).alias("path"))
              for name, (path, schema) in files.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -5,10 +5,13 @@ Each is labelled an extension; parity of the core rules does not depend on them.
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantscope import catalogue as cat
 from grantscope.functions.dates import as_of_ts, plus_hours
@@ -40,6 +43,51 @@ def custom_rule_findings(employees: DataFrame, access: DataFrame, rule: dict, pr
     return to_findings(hits, as_of, replace(params, rules=tuple(params.rules) + (rule,)))
 
 
+def _owned_grants(employees: DataFrame, access: DataFrame, as_of: str, params: cat.RuleParams) -> DataFrame:
+    """Active grants joined with their owners once, with ``days_unused`` and ``term_days``: what custom predicates see."""
+    emp = employees.select("employee_id", "full_name", "department", "status", "title", "termination_date", "is_manager", "mfa_enabled")
+    active = access.where(F.col("is_active") == F.lit(True))
+    m = split_hot_keys_join(active, emp, "employee_id") if params.split_hot_owners else active.join(emp, "employee_id")
+    day = F.to_date(as_of_ts(as_of))
+    return m.withColumns({"days_unused": F.datediff(day, F.col("last_used_date")), "term_days": F.datediff(day, F.col("termination_date"))})
+
+
+def check_predicate(grants: DataFrame, rule_id: str, predicate: str) -> None:
+    """A rule's predicate must be a condition on one row: Boolean, on known columns, without subquery, aggregate or chance."""
+    if re.search(r"\bselect\b", re.sub(r"'(?:[^'\\]|\\.)*'", "''", predicate), re.IGNORECASE):
+        raise ValueError(f"{rule_id}: a predicate can't have a subquery")
+    try:
+        tested = grants.select(F.expr(predicate).alias("hit"))
+        kept = grants.where(F.expr(predicate))  # refuses aggregates and windows
+    except AnalysisException as e:
+        raise ValueError(f"{rule_id}: {str(e).splitlines()[0]}") from None
+    if tested.schema["hit"].dataType != T.BooleanType():
+        raise ValueError(f"{rule_id}: the predicate is {tested.schema['hit'].dataType.simpleString()}, not boolean")
+    if not kept._jdf.queryExecution().analyzed().deterministic():
+        raise ValueError(f"{rule_id}: the predicate isn't deterministic")
+
+
+def custom_rule_set_findings(employees: DataFrame, access: DataFrame, rules: list[tuple[dict, str]], as_of: str,
+                             params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
+    """X1 (extension): any number of custom rules, pairs (rule, predicate), on one join of grants and owners.
+
+    Each predicate is checked first (``check_predicate``). All are evaluated on the joined row, one finding per (grant, rule)
+    that holds; NULL doesn't hold.
+    """
+    ids = [rule["id"] for rule, _ in rules]
+    if len(set(ids)) < len(ids):
+        raise ValueError(f"rule ids repeat: {sorted({i for i in ids if ids.count(i) > 1})}")
+    grants = _owned_grants(employees, access, as_of, params)
+    for rule, predicate in rules:
+        check_predicate(grants, rule["id"], predicate)
+    held = F.array_compact(F.array(*[F.when(F.expr(f"({p})"), F.lit(rule["id"])) for rule, p in rules]))
+    none = F.lit(None).cast("string")
+    hits = grants.withColumn("_held", held if rules else F.array().cast("array<string>")).where(F.size("_held") > 0).select(
+        F.explode("_held").alias("rule_id"), "employee_id", "full_name", "department", *R.GRANT_FIELDS, "term_days", "days_unused",
+        "last_used_date", none.alias("role_a"), none.alias("role_b"))
+    return to_findings(hits, as_of, replace(params, rules=tuple(params.rules) + tuple(rule for rule, _ in rules)))
+
+
 def framework_coverage(findings: DataFrame) -> DataFrame:
     """X2 (extension): findings and rules per framework reference."""
     x = findings.select(F.explode("frameworks").alias("framework"), "rule_id")

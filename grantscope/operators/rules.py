@@ -149,6 +149,28 @@ def per_employee_hits(employees: DataFrame, access: DataFrame, as_of: str, rules
     )
 
 
+def pair_table_hits(employees: DataFrame, access: DataFrame, pairs: DataFrame) -> DataFrame:
+    """R4 with a conflict matrix of any size, given as a table of ``role_a``, ``role_b``.
+
+    The distinct (employee, role) of active grants meet the pairs on ``role_a``, then each other on (employee, ``role_b``). Roles
+    that many employees hold are split off the shuffle (``split_hot_keys_join``); the second join's key is one row. The grant
+    shown is the employee's first one with any role, as in ``per_employee_hits``. Repeated pairs count once.
+    """
+    held = access.where(f"{ACTIVE} AND sod_role IS NOT NULL")
+    people = employees.where("status = 'active'").select("employee_id", "full_name", "department")
+    roles = held.select("employee_id", F.col("sod_role").alias("role_a")).distinct()
+    listed = pairs.where("role_a IS NOT NULL AND role_b IS NOT NULL").select("role_a", "role_b").distinct()
+    wanted = split_hot_keys_join(roles, listed, "role_a")
+    second = roles.select(F.col("employee_id").alias("_owner"), F.col("role_a").alias("_role"))
+    conflicts = wanted.join(second, (F.col("employee_id") == F.col("_owner")) & (F.col("role_b") == F.col("_role")))
+    grant = "struct(" + ", ".join(GRANT_FIELDS) + ")"
+    first = held.groupBy("employee_id").agg(F.expr(f"min_by({grant}, access_id)").alias("g"))
+    hits = conflicts.select("employee_id", "role_a", "role_b").join(first.join(people, "employee_id"), "employee_id")
+    return hits.selectExpr("'RULE-004' AS rule_id", "employee_id", "full_name", "department", *[f"g.{f} AS {f}" for f in GRANT_FIELDS],
+                           "CAST(NULL AS INT) AS term_days", "CAST(NULL AS INT) AS days_unused", "CAST(NULL AS DATE) AS last_used_date",
+                           "role_a", "role_b")
+
+
 def detect(employees: DataFrame, access: DataFrame, as_of: str, rules=ALL_RULES,
            params: cat.RuleParams = cat.RuleParams()) -> DataFrame:
     """Raw hits of the selected rules (one row per finding, columns ``HIT_COLUMNS``)."""

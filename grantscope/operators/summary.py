@@ -114,11 +114,15 @@ def dept_type_pivot(findings: DataFrame) -> DataFrame:
 
 
 def risk_histogram(findings: DataFrame, bins: int = 25, width: float = 4.0) -> DataFrame:
-    """Fixed-width bins over 0–100 (top bin closed)."""
+    """Fixed-width bins over 0–100 (top bin closed), each with the mean of all scores (1 dp), where the chart draws its line."""
     b = F.least(F.floor(F.col("risk_score") / F.lit(width)), F.lit(bins - 1)).cast("bigint")
-    g = findings.where(F.col("risk_score").isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("findings"))
+    g = findings.where(F.col("risk_score").isNotNull()).groupBy(b.alias("bin")).agg(
+        F.count(F.lit(1)).alias("findings"), F.sum(F.col("risk_score").cast("decimal(7,1)")).alias("_total"))
+    every = Window.partitionBy()  # over the bins
+    mean = F.bround(F.sum("_total").over(every).cast("double") / F.sum("findings").over(every).cast("double"), 1)
+    g = g.withColumn("mean_risk", mean)
     return g.select("bin", (F.col("bin") * F.lit(width)).alias("bin_start"),
-                    ((F.col("bin") + 1) * F.lit(width)).alias("bin_end"), "findings")
+                    ((F.col("bin") + 1) * F.lit(width)).alias("bin_end"), "findings", "mean_risk")
 
 
 def scatter_feed(findings: DataFrame) -> DataFrame:

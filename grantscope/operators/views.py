@@ -17,6 +17,7 @@ from grantscope.functions import text
 from grantscope.functions.scoring import band_rank, literal_map
 from grantscope.operators.findings import risk_order, sort_by_risk
 from grantscope.operators.joins import inventory
+from grantscope.operators.ranking import ranked
 from grantscope.operators.summary import tiers
 
 
@@ -147,6 +148,29 @@ def findings_page(findings: DataFrame, page: int, per_page: int = cat.FINDINGS_P
             .withColumn("page", F.lit(page).cast("bigint")))
 
 
+#: Ranks that one folder of a stored ranking holds.
+RANK_BLOCK = 1_000_000
+
+
+def store_ranked(findings: DataFrame, path: str) -> DataFrame:
+    """Findings with their ``rank`` in risk order, stored under ``path`` in folders of ``RANK_BLOCK`` ranks.
+
+    Ranks are counted in two levels (``ranking.ranked``), so no task and no driver passes the rows before a page.
+    """
+    table = ranked(findings, risk_order(), f"{path}/dealt").withColumn("block", F.floor((F.col("rank") - 1) / RANK_BLOCK))
+    table.write.partitionBy("block").mode("overwrite").parquet(f"{path}/ranked")
+    return findings.sparkSession.read.schema(table.schema).parquet(f"{path}/ranked")
+
+
+def ranked_page(table: DataFrame, page: int, per_page: int = cat.FINDINGS_PER_PAGE) -> DataFrame:
+    """Page ``page`` (1-based) of a stored ranking: a range of ranks, read from the folders that hold it."""
+    if page < 1:
+        raise ValueError("page starts at 1")
+    first, last = (page - 1) * per_page + 1, page * per_page
+    rows = table.where(F.col("block").between((first - 1) // RANK_BLOCK, (last - 1) // RANK_BLOCK) & F.col("rank").between(first, last))
+    return rows.orderBy("rank").drop("rank", "block").withColumn("page", F.lit(page).cast("bigint"))
+
+
 # The sort key of the risk order: score falling, the rest rising.
 PAGE_KEY = ["risk_score", "severity", "rule_id", "access_id", "employee_id", "finding_id"]
 

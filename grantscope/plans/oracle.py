@@ -8,6 +8,8 @@ from the test tables with the same derivations as ``sources.derived``.
 
 from __future__ import annotations
 
+import re
+
 from grantscope import catalogue as cat
 from grantscope.plans import registry as reg
 from grantscope.sources import derived
@@ -169,19 +171,35 @@ def _vc(col: str, name: str = "findings", src: str = "findings") -> str:
     return f"SELECT {col}, count(*) AS {name} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col}"
 
 
-def _custom_rule_sql() -> str:
-    r = reg.CUSTOM_RULE
-    rule_row = (f"({q(r['id'])}, {q(r['name'])}, {q(r['type'])}, {q(r['severity'])}, {int(r['sla_hours'])}, "
-                f"{q(', '.join(r['frameworks']))})")
-    hits = ("hits AS (SELECT 'RULE-X01' AS rule_id, m.employee_id, m.full_name, m.department, m.system_id, "
-            "m.system_name, m.system_criticality, m.access_level, m.access_id, "
-            "'''' || m.full_name || ''' holds ' || upper(m.access_level) || ' access on critical system ''' "
-            "|| m.system_name || ''' without MFA.' AS detail, " + NO_PAIR + " FROM "
-            "(SELECT a.*, e.full_name, e.department, e.status, e.title, e.mfa_enabled FROM access_rights a "
-            "JOIN employees e ON a.employee_id = e.employee_id WHERE a.is_active) m WHERE "
-            + reg.CUSTOM_PREDICATE + ")")
-    rules = f"rules(rule_id, rule_name, finding_type, severity, sla_hours, frameworks) AS (VALUES {rule_row})"
-    return with_([hits, rules] + scored_ctes(), "SELECT * FROM findings")
+DETAIL_SQL = {"full_name": "m.full_name", "level_upper": "upper(m.access_level)", "system_name": "m.system_name",
+              "days_unused": "CAST(m.days_unused AS VARCHAR)", "term_days": "CAST(m.term_days AS VARCHAR)", "access_id": "m.access_id"}
+
+
+def _custom_rules_sql(rules: list[tuple[dict, str]]) -> str:
+    """One scan of the joined grants per rule."""
+    rule_rows = ", ".join(f"({q(r['id'])}, {q(r['name'])}, {q(r['type'])}, {q(r['severity'])}, {int(r['sla_hours'])}, "
+                          f"{q(', '.join(r['frameworks']))})" for r, _ in rules)
+
+    def detail(template):
+        parts = re.split(r"{(\w+)}", template)
+        return " || ".join(DETAIL_SQL[p] if i % 2 else q(p) for i, p in enumerate(parts) if p)
+
+    hits = "\nUNION ALL\n".join(
+        f"SELECT {q(r['id'])} AS rule_id, m.employee_id, m.full_name, m.department, m.system_id, m.system_name, m.system_criticality, "
+        f"m.access_level, m.access_id, {detail(r['detail'])} AS detail, {NO_PAIR} FROM owned m WHERE {p}" for r, p in rules)
+    owned = ("owned AS (SELECT a.*, e.full_name, e.department, e.status, e.title, e.mfa_enabled, e.is_manager, "
+             f"date_diff('day', a.last_used_date, {AS_OF_DATE}) AS days_unused, date_diff('day', e.termination_date, {AS_OF_DATE}) AS term_days "
+             "FROM access_rights a JOIN employees e ON a.employee_id = e.employee_id WHERE a.is_active)")
+    table = f"rules(rule_id, rule_name, finding_type, severity, sla_hours, frameworks) AS (VALUES {rule_rows})"
+    return with_([owned, f"hits AS ({hits})", table] + scored_ctes(), "SELECT * FROM findings")
+
+
+def _pair_table_sql() -> str:
+    names = "[" + ", ".join(q(r) for r in reg.ROLES) + "]"
+    n = len(reg.ROLES)
+    pairs = (f"pairs AS (SELECT DISTINCT role_a, role_b FROM (SELECT {names}[n_nationkey % {n} + 1] AS role_a, "
+             f"{names}[(n_nationkey * 3 + 1) % {n} + 1] AS role_b FROM nation) WHERE role_a < role_b)")
+    return with_([pairs if c.startswith("pairs(") else c for c in findings_ctes(rules=["RULE-004"])], "SELECT * FROM findings")
 
 
 def _notification_values() -> str:
@@ -353,7 +371,8 @@ ORACLE: dict[str, str] = {
                                     "GROUP BY finding_type, severity"),
     "dept_type_pivot": _pivot_sql(),
     "risk_histogram": with_(FINDINGS, "SELECT bin, CAST(bin * 4 AS DOUBLE) AS bin_start, "
-                            "CAST((bin + 1) * 4 AS DOUBLE) AS bin_end, count(*) AS findings FROM "
+                            "CAST((bin + 1) * 4 AS DOUBLE) AS bin_end, count(*) AS findings, "
+                            f"(SELECT {mean_sql()} FROM findings) AS mean_risk FROM "
                             "(SELECT CAST(least(floor(risk_score / 4), 24) AS BIGINT) AS bin FROM findings "
                             "WHERE risk_score IS NOT NULL) GROUP BY bin"),
     "severity_share": with_(FINDINGS, "SELECT severity, findings, round_even(CAST(findings AS DOUBLE) * 100 / "
@@ -386,6 +405,8 @@ ORACLE: dict[str, str] = {
                                  'access_level AS "Access", sla_deadline AS "SLA Deadline" FROM findings'),
     "findings_page": with_(FINDINGS, f"SELECT *, CAST({reg.PAGE} AS BIGINT) AS page FROM findings ORDER BY {ORDER} "
                            f"LIMIT 12 OFFSET {(reg.PAGE - 1) * 12}"),
+    "findings_page_deep": with_(FINDINGS, f"SELECT *, CAST({reg.DEEP_PAGE} AS BIGINT) AS page FROM findings ORDER BY {ORDER} "
+                                f"LIMIT 100 OFFSET {(reg.DEEP_PAGE - 1) * 100}"),
     "finding_detail": with_(FINDINGS, "SELECT finding_id, rule_id, rule_name, detail, frameworks, "
                             'employee_name AS "Employee", department AS "Department", system_name AS "System", '
                             'upper(access_level) AS "Access", upper(system_criticality) AS "Criticality", '
@@ -443,7 +464,9 @@ ORACLE: dict[str, str] = {
     "access_append_sod": with_([_appended()] + findings_ctes(access="appended", rules=["RULE-004"]),
                                "SELECT * FROM findings"),
     "domain_violations": _domain_sql(),
-    "custom_predicate_rule": _custom_rule_sql(),
+    "custom_predicate_rule": _custom_rules_sql([(reg.CUSTOM_RULE, reg.CUSTOM_PREDICATE)]),
+    "custom_rule_set": _custom_rules_sql(reg.RULE_SET),
+    "rule_004_pair_table": _pair_table_sql(),
     "framework_coverage": with_(FINDINGS, "SELECT framework, count(*) AS findings, count(DISTINCT rule_id) AS rules "
                                 "FROM (SELECT unnest(string_split(frameworks, ', ')) AS framework, rule_id "
                                 "FROM findings) GROUP BY framework"),
@@ -470,6 +493,9 @@ ORACLE: dict[str, str] = {
                                 "max(ts) AS last_seen, count(*) AS log_events FROM access_log "
                                 "GROUP BY employee_id, system_id) l ON a.employee_id = l.employee_id "
                                 "AND a.system_id = l.system_id", log=True),
+    "quick_export_findings": with_(FINDINGS, "SELECT * FROM findings"),
+    "quick_export_employees": with_([], f"SELECT {EMP_COLS_FMT} FROM employees"),
+    "quick_export_access": with_([], f"SELECT {ACCESS_COLS_FMT} FROM access_rights WHERE is_active"),
     "quick_exports_index": with_(FINDINGS, """SELECT * FROM (VALUES
         ('all_findings.csv', (SELECT count(*) FROM findings)),
         ('employees.csv', (SELECT count(*) FROM employees)),

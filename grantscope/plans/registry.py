@@ -17,9 +17,10 @@ from grantscope import catalogue as cat
 from grantscope.operators import evidence as E
 from grantscope.operators import extensions as X
 from grantscope.operators import joins as J
+from grantscope.operators import rules as R
 from grantscope.operators import summary as S
 from grantscope.operators import views as V
-from grantscope.operators.findings import build_findings, run_all_rules
+from grantscope.operators.findings import build_findings, run_all_rules, to_findings
 from grantscope.plans.present import record_format
 from grantscope.session import shared_dir
 from grantscope.sources import derived, sinks
@@ -32,6 +33,7 @@ AS_OF = "2001-09-01 12:00:00"
 SLA_EVAL_TIME = "2001-09-04 12:00:00"
 SEARCH_PATTERN = "finance"
 PAGE = 3
+DEEP_PAGE = 9
 HOT_OWNER = "EMP" + "1".rjust(19, "0")
 
 CUSTOM_RULE = {
@@ -232,6 +234,15 @@ def _view_export(name):
     return read
 
 
+def _quick_export(name, schema):
+    """The content of a quick export, read back as plain CSV."""
+    def read(spark, sf):
+        d, out = _tables(spark, sf), shared_dir(spark, "exports")
+        E.quick_exports(spark, build_findings(d["employees"], d["access_rights"], AS_OF), d["employees"], d["access_rights"], out)
+        return sinks.read_csv(spark, f"{out}/{name}", schema, "standard")
+    return read
+
+
 def findings_hot_owner(spark, sf):
     """Grants of which one employee holds a third: the hot-key split takes them out of the shuffle."""
     d = _tables(spark, sf)
@@ -337,6 +348,37 @@ def custom_predicate_rule(spark, sf):
     return X.custom_rule_findings(d["employees"], d["access_rights"], CUSTOM_RULE, CUSTOM_PREDICATE, AS_OF)
 
 
+# A custom rule set: catalogue fields and Spark SQL predicates (which DuckDB reads the same way).
+RULE_SET = [
+    (CUSTOM_RULE, CUSTOM_PREDICATE),
+    ({"id": "RULE-X02", "name": "Stale Elevated Access", "type": "STALE_ELEVATED", "severity": "MEDIUM", "sla_hours": 168,
+      "frameworks": ["NIST AC-2"], "detail": "'{full_name}' has not used elevated access on '{system_name}' for {days_unused} days."},
+     "status = 'active' AND access_level = 'elevated' AND days_unused > 365"),
+    ({"id": "RULE-X03", "name": "Manager With Role Conflict Potential", "type": "MANAGER_ROLE", "severity": "LOW", "sla_hours": 720,
+      "frameworks": ["SOX ITGC", "COBIT"], "detail": "Manager '{full_name}' holds {level_upper} access on '{system_name}'."},
+     "is_manager AND sod_role IN ('financial_approver', 'code_deployer')"),
+    ({"id": "RULE-X04", "name": "Long Gone Owner", "type": "LONG_GONE", "severity": "CRITICAL", "sla_hours": 4,
+      "frameworks": ["SOC 2 CC6.2"], "detail": "Owner of {access_id} left {term_days} days ago."},
+     "status = 'terminated' AND term_days >= 90"),
+]
+# Roles as the grants have them, by number.
+ROLES = ("financial_initiator", "financial_approver", "code_developer", "code_deployer", "user_admin", "user_auditor", "data_entry", "data_approver")
+
+
+def custom_rule_set(spark, sf):
+    d = _tables(spark, sf)
+    return X.custom_rule_set_findings(d["employees"], d["access_rights"], RULE_SET, AS_OF)
+
+
+def rule_004_pair_table(spark, sf):
+    """R4 against a table of conflicts, here one for every nation (pairs repeat)."""
+    d = _tables(spark, sf)
+    role = lambda n: F.element_at(F.array(*map(F.lit, ROLES)), (n % len(ROLES) + 1).cast("int"))
+    n = F.col("n_nationkey")
+    pairs = derived.read_table(spark, sf, "nation").select(role(n).alias("role_a"), role(n * 3 + 1).alias("role_b")).where("role_a < role_b")
+    return to_findings(R.pair_table_hits(d["employees"], d["access_rights"], pairs), AS_OF)
+
+
 def _on_findings(fn):
     return lambda spark, sf: fn(_findings(spark, sf))
 
@@ -371,6 +413,9 @@ RAW: dict[str, Query] = {
     "export_access_inventory": _view_export("access_inventory.csv"),
     "export_admin_grants": _view_export("admin_grants.csv"),
     "quick_exports_index": quick_exports_index,
+    "quick_export_findings": _quick_export("all_findings.csv", E.EXPORT_SCHEMA),
+    "quick_export_employees": _quick_export("employees.csv", schemas.EMPLOYEES),
+    "quick_export_access": _quick_export("active_access.csv", schemas.ACCESS_RIGHTS),
     "view_exports_index": view_exports_index,
     # rules
     "rule_001_terminated": _rule("RULE-001"),
@@ -378,6 +423,7 @@ RAW: dict[str, Query] = {
     "rule_002_dormant_180": _rule("RULE-002", cat.RuleParams(dormancy_days=180)),
     "rule_003_excessive": _rule("RULE-003"),
     "rule_004_sod": _rule("RULE-004"),
+    "rule_004_pair_table": rule_004_pair_table,
     "rule_005_mfa": _rule("RULE-005"),
     "rule_006_orphaned": _rule("RULE-006"),
     "rule_007_unjustified": _rule("RULE-007"),
@@ -414,7 +460,8 @@ RAW: dict[str, Query] = {
     "findings_search": lambda spark, sf: V.search_findings(
         record_format(_findings(spark, sf)), SEARCH_PATTERN),
     "findings_table_view": _on_findings(V.findings_table_view),
-    "findings_page": _on_findings(lambda f: V.findings_page(f, PAGE)),
+    "findings_page": lambda spark, sf: V.ranked_page(V.store_ranked(_findings(spark, sf), shared_dir(spark, "ranked")), PAGE),
+    "findings_page_deep": lambda spark, sf: V.ranked_page(V.store_ranked(_findings(spark, sf), shared_dir(spark, "ranked")), DEEP_PAGE, 100),
     "findings_page_count": _on_findings(V.page_count),
     "findings_card_feed": _on_findings(lambda f: V.card_feed(f, 20)),
     "finding_detail": finding_detail,
@@ -438,6 +485,7 @@ RAW: dict[str, Query] = {
                                                                _tables(spark, sf)["access_rights"]),
     # extensions
     "custom_predicate_rule": custom_predicate_rule,
+    "custom_rule_set": custom_rule_set,
     "framework_coverage": _on_findings(X.framework_coverage),
     "sla_status": _on_findings(lambda f: X.sla_status(f, SLA_EVAL_TIME)),
     "notification_queue": _on_findings(X.notification_queue),

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grantscope import catalogue as cat
 from grantscope import schemas
@@ -37,17 +38,19 @@ class Review:
         self.params = params
         self.location = location or shared_dir(spark, "review")
         self._findings: DataFrame | None = None
+        self._ranked: DataFrame | None = None
         self._page_ends: dict[tuple, dict[int, dict]] = {}
 
     # ── the one expensive step ──────────────────────────────────────────
     def findings(self) -> DataFrame:
         """Findings of all rules, written once under ``location`` and read back.
 
-        The folder is named after the review time and the parameters. A finished table (``_SUCCESS``) of an
+        The folder is named after the review time, the parameters and a fingerprint of both tables, so changed tables are
+        reviewed anew. A finished table (``_SUCCESS``) of an
         earlier run at the same location is read; an unfinished one is written anew.
         """
         if self._findings is None:
-            run = hashlib.sha256(f"{self.as_of}|{self.params}".encode()).hexdigest()[:12]
+            run = hashlib.sha256(f"{self.as_of}|{self.params}|{self._fingerprint()}".encode()).hexdigest()[:12]
             path = f"{self.location}/findings-{run}.parquet"
             if exists(self.spark, f"{path}/_SUCCESS"):
                 self._findings = self.spark.read.schema(schemas.FINDINGS).parquet(path)
@@ -56,6 +59,19 @@ class Review:
                 self._findings = sinks.write_parquet(f, path, "overwrite")
         return self._findings
 
+    def _fingerprint(self) -> str:
+        """Rows of both tables and the sums of their hashes: the same for the same rows in any order."""
+        def of(df):
+            row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)")
+            return tuple(df.agg(F.count(F.lit(1)), F.sum(row_hash)).first())
+        return f"{of(self.employees)}|{of(self.access)}"
+
+    def ranked(self) -> DataFrame:
+        """The findings with their ranks, stored once."""
+        if self._ranked is None:
+            self._ranked = V.store_ranked(self.findings(), shared_dir(self.spark, "ranked"))
+        return self._ranked
+
     # ── everything else reads the stored findings ───────────────────────
     def sorted(self) -> DataFrame:
         return sort_by_risk(self.findings())
@@ -78,13 +94,15 @@ class Review:
         return V.search_findings(f, search) if search else f
 
     def page(self, page: int, per_page: int = cat.FINDINGS_PER_PAGE, **filters) -> DataFrame:
-        """A page of the (filtered) findings, by the sort key of the page before it.
+        """A page of the findings, by stored ranks; a page of filtered ones by the sort key of the page before it.
 
         Last rows of pages that were passed are remembered; a jump goes on in steps of at most
         ``MAX_STEP`` rows, so no task and no driver ever holds all the rows before a deep page.
         """
         if page < 1:
             raise ValueError("page starts at 1")
+        if not filters:
+            return V.ranked_page(self.ranked(), page, per_page).drop("page")
         found = self.filtered(**filters)
         ends = self._page_ends.setdefault((per_page, *sorted(filters.items())), {0: None})
         at = max(p for p in ends if p < page)

@@ -24,6 +24,10 @@ CSV_OPTIONS = {
 }
 
 
+#: What other tools read (RFC 4180): line breaks inside quotes, NULL an empty field, an empty text a quoted one.
+STANDARD_OPTIONS = {**CSV_OPTIONS, "nullValue": "", "multiLine": "true"}
+
+
 def _escaped(c: Column) -> Column:
     for char, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
         c = F.replace(c, F.lit(char), F.lit(code))
@@ -38,20 +42,26 @@ def _unescaped(c: Column) -> Column:
     return F.array_join(F.transform(F.split(c, r"\\\\", -1), part), "\\")
 
 
-def _flat(df: DataFrame) -> list[Column]:
+def _flat(df: DataFrame, escaped: bool = True) -> list[Column]:
     out = []
     for f in df.schema.fields:
         c = F.array_join(F.col(f.name), ", ") if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
-        out.append((_escaped(c) if isinstance(f.dataType, (T.ArrayType, T.StringType)) else c).alias(f.name))
+        out.append((_escaped(c) if escaped and isinstance(f.dataType, (T.ArrayType, T.StringType)) else c).alias(f.name))
     return out
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    df.select(*_flat(df)).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", dialect: str = "own") -> str:
+    """``dialect="standard"`` writes plain CSV for other tools; only the own dialect stays splittable."""
+    if dialect == "standard":
+        df.select(*_flat(df, False)).write.mode(mode).options(**STANDARD_OPTIONS, emptyValue='""').csv(path)
+    else:
+        df.select(*_flat(df)).write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, dialect: str = "own") -> DataFrame:
+    if dialect == "standard":
+        return spark.read.options(**STANDARD_OPTIONS).schema(schema).csv(path)
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
     return df.select(*[_unescaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
                        for f in schema.fields])

@@ -23,13 +23,18 @@ FORMATS = ("parquet", "orc", "json", "csv", "pandas_csv")
 
 # Datasets exported by the original tool: one ``<table>.csv`` per table, written
 # by pandas (header, no index, ``True``/``False`` booleans, NULL as an empty field,
-# dates as yyyy-MM-dd). Whitespace is kept so blank justifications stay blank.
+# dates as yyyy-MM-dd). Whitespace is kept so blank justifications stay blank. Texts may
+# hold line breaks inside quotes, so a file is read whole by one task (pandas wrote it so).
+# Every column is parsed, whichever are asked for, so that a broken record fails the read.
 PANDAS_CSV_OPTIONS = {
     "header": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "dateFormat": "yyyy-MM-dd",
     "mode": "FAILFAST",
+    "multiLine": "true",
+    "escape": '"',
+    "columnPruning": "false",
 }
 
 
