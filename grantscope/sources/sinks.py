@@ -27,6 +27,9 @@ CSV_OPTIONS = {
 #: What other tools read (RFC 4180): line breaks inside quotes, NULL an empty field, an empty text a quoted one.
 STANDARD_OPTIONS = {**CSV_OPTIONS, "nullValue": "", "multiLine": "true"}
 
+#: What the reader of that dialect puts for a quoted empty text.
+EMPTY = "\u0000empty\u0000"
+
 
 def _escaped(c: Column) -> Column:
     for char, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
@@ -61,7 +64,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", dialect: st
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, dialect: str = "own") -> DataFrame:
     if dialect == "standard":
-        return spark.read.options(**STANDARD_OPTIONS).schema(schema).csv(path)
+        # the reader takes an empty text for NULL unless a quoted one stands for something else
+        df = spark.read.options(**STANDARD_OPTIONS, emptyValue=EMPTY).schema(schema).csv(path)
+        return df.select(*[F.when(F.col(f.name) != EMPTY, F.col(f.name)).when(F.col(f.name).isNotNull(), "").alias(f.name)
+                           if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema.fields])
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
     return df.select(*[_unescaped(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
                        for f in schema.fields])
