@@ -2,9 +2,9 @@
 
 Base findings stand alone: assignments to a telling name, access-key identifiers, long hexadecimal strings. Weak
 findings (login identifiers, mixed random strings, service addresses) are only candidates: each is reported when a
-complementary part lies within ``reach`` code points in the same scope (a block of text between blank lines).
-Identifiers and addresses need a secret; random strings need an identifier or an address. Parts are joined as
-intervals: by document, scope and position bin, with the exact distance checked, as a semi-join (no pairs are made).
+complementary part lies in the same scope (a block of text between blank lines), however far. Identifiers and addresses need a
+secret; random strings need an identifier or an address. Scopes are intervals between the starts of blank lines; parts are joined
+with the interval they lie in, reduced to which roles it holds (no pairs are made, whatever the number of parts in a scope).
 
 Positions come from the lengths of the matches and of the gaps between them, summed in blocks inside the row.
 
@@ -35,7 +35,6 @@ KINDS = ("assign", "access", "hex", "identifier", "endpoint", "random")
 BASE = 3
 #: What each kind is in a credential, and the parts that complement it.
 ROLE = {"assign": "secret", "hex": "secret", "random": "secret", "access": "identifier", "identifier": "identifier", "endpoint": "endpoint"}
-REACH = 200
 BLOCK = 128
 SPAN = "array<struct<start: bigint, rank: int, end: bigint>>"
 
@@ -84,32 +83,27 @@ def find_parts(docs: DataFrame) -> DataFrame:
     return df.select("doc_id", "text_hash", F.concat(*KINDS[:BASE]).alias("base"), F.concat(*KINDS[BASE:]).alias("weak"), "blank")
 
 
-def _bins(first: str, last: str, reach: int) -> Column:
-    return F.explode(F.expr(f"sequence(cast(floor(({first}) / {reach}) as bigint), cast(floor(({last}) / {reach}) as bigint))"))
-
-
-def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
-    """Per document the weak spans that a complementary part confirms (``linked``)."""
+def linked_parts(parts: DataFrame) -> DataFrame:
+    """Per document the weak spans that a complementary part of their scope confirms (``linked``)."""
     key = ["doc_id", "text_hash"]
     some = parts.where((F.size("weak") > 0) & (F.size("base") + F.size("weak") > 1))
     rows = some.select(*key, F.explode(F.concat("base", "weak", "blank")).alias("p")).distinct().select(*key, "p.*")
     role = F.element_at(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("rank") + 1)
     scope = F.sum((F.col("rank") < 0).cast("int")).over(Window.partitionBy(*key).orderBy("start", "rank"))
     rows = rows.withColumn("scope", scope).where("rank >= 0").withColumn("role", role)
-    weak = rows.where(F.col("rank") >= BASE).withColumn("bin", _bins("start", "end", reach))
-    other = rows.withColumn("bin", _bins(f"start - {reach}", f"end + {reach}", reach))
-    other = other.select(*(F.col(c).alias(f"o_{c}") for c in [*key, "scope", "bin", "role", "start", "end"]))
-    on = null_safe(weak, other, [(c, f"o_{c}") for c in [*key, "scope", "bin"]])
-    near = (F.col("start") <= F.col("o_end") + reach) & (F.col("o_start") <= F.col("end") + reach)
-    fits = (F.col("role") == "secret") != (F.col("o_role") == "secret")
-    linked = weak.join(other, on & near & fits, "left_semi")
+    secret = F.col("role") == "secret"
+    scopes = rows.groupBy(*(F.col(c).alias(f"o_{c}") for c in [*key, "scope"])).agg(
+        F.bool_or(secret).alias("has_secret"), F.bool_or(~secret).alias("has_other"))
+    weak = rows.where(F.col("rank") >= BASE)
+    linked = weak.join(scopes, null_safe(weak, scopes, [(c, f"o_{c}") for c in [*key, "scope"]]))
+    linked = linked.where(F.when(secret, F.col("has_other")).otherwise(F.col("has_secret")))
     return linked.groupBy(*key).agg(F.collect_set(F.struct("start", "rank", "end")).alias("linked"))
 
 
-def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def find_secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, spans): the base spans and all spans of each document, by start, then kind."""
     parts = stored(find_parts(docs), "secret-parts")
-    linked = linked_parts(parts, reach).withColumnsRenamed({"doc_id": "l_id", "text_hash": "l_hash"})
+    linked = linked_parts(parts).withColumnsRenamed({"doc_id": "l_id", "text_hash": "l_hash"})
     out = parts.join(linked, null_safe(parts, linked, [("doc_id", "l_id"), ("text_hash", "l_hash")]), "left")
     every = F.concat("base", F.coalesce(F.col("linked").cast(SPAN), F.array().cast(SPAN)))
     return out.select("doc_id", "text_hash", F.array_sort("base").alias("base"), F.array_sort(every).alias("spans"))
@@ -121,9 +115,9 @@ def described(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat(array({names})[s.rank], ':', s.start, ':', s.end)), ',')")
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]", reach: int = REACH) -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span replaced by ``mask`` (overlapping spans by one)."""
-    found = find_secrets(docs, reach).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"])
+    found = find_secrets(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"])
     found = found.select(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash"), "spans")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("r_id"), F.xxhash64(text).alias("r_hash"), F.col("text").alias("clean"),
