@@ -5,9 +5,9 @@ line rule looks across documents: normalised lines are hashed, the documents of
 counted, lines held by more than the limit are taken out of all of them but the one with the smallest id (so
 no content is lost altogether), and a document that loses more than half of its words is rejected as depleted.
 
-Defined cases. A NULL text is empty; NULL hosts form one host; every row is a document, repeated rows too, and
-rows that are equal in id, host and text get the same verdict. A document whose id is NULL is never the holder
-that keeps a line. An empty table gives an empty result. Extra columns are carried by ``apply_rules`` unread.
+Defined cases. A NULL text is empty; NULL hosts form one host. Every row is judged, repeated rows too, and rows that are equal in
+id, host and text get the same verdict. Documents are counted by their ids: rows that share an id count once, rows without one don't
+count and are never the holder that keeps a line, but lose it like others. An empty table gives an empty result. Extra columns are carried by ``apply_rules`` unread.
 """
 
 from __future__ import annotations
@@ -30,12 +30,14 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineRules:
-    """Limits of the rules. A line is boilerplate of a host above ``max(max_documents, max_share * documents of the host)``."""
+    """Limits of the rules. A line is boilerplate of a host in more than ``max_documents`` documents of it, whatever the host's
+    size, or in ``min_documents`` that are more than ``max_share`` of a small host."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
     max_documents: int = 20
-    max_share: float = 0.05
+    min_documents: int = 5
+    max_share: float = 0.5
     max_removed_share: float = 0.5
 
 
@@ -105,12 +107,13 @@ def line_verdicts(docs: DataFrame, host_col: str = "source", rules: LineRules =
     stats = stored(docs.select(*_keyed(docs, host_col)).mapInArrow(_stats, STATS_DDL), "quality-stats")
     lines = stats.select("doc_id", "host", "text_hash", F.explode(F.arrays_zip("line_keys", "line_words")).alias("l"))
     lines = lines.select("doc_id", "host", "text_hash", F.col("l.line_keys").alias("key"), F.col("l.line_words").alias("words"))
-    hosts = stats.groupBy(F.col("host").alias("h_host")).agg(F.count(F.lit(1)).alias("host_docs"))
+    hosts = stats.groupBy(F.col("host").alias("h_host")).agg(F.count_distinct("doc_id").alias("host_docs"))
     heavy = (lines.groupBy(F.col("host").alias("k_host"), F.col("key").alias("k_key"))
-             .agg(F.count(F.lit(1)).alias("held_by"), F.min("doc_id").alias("holder"))
-             .where(F.col("held_by") > rules.max_documents))
+             .agg(F.count_distinct("doc_id").alias("held_by"), F.min("doc_id").alias("holder"))
+             .where(F.col("held_by") >= min(rules.min_documents, rules.max_documents + 1)))
     heavy = heavy.join(hosts, null_safe(heavy, hosts, [("k_host", "h_host")]))
-    heavy = heavy.where(F.col("held_by") > F.col("host_docs") * rules.max_share).select("k_host", "k_key", "holder")
+    common = (F.col("held_by") >= rules.min_documents) & (F.col("held_by") > F.col("host_docs") * rules.max_share)
+    heavy = heavy.where((F.col("held_by") > rules.max_documents) | common).select("k_host", "k_key", "holder")
     hits = lines.join(heavy, null_safe(lines, heavy, [("host", "k_host"), ("key", "k_key")]))
     hits = hits.where(~F.col("doc_id").eqNullSafe(F.col("holder")))
     drops = (hits.groupBy(F.col("doc_id").alias("d_id"), F.col("host").alias("d_host"), F.col("text_hash").alias("d_hash"))

@@ -90,31 +90,33 @@ def _lower(x: str) -> str:
     return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-_LINES = """docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
-lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)"""
+# every row is judged on its own (r), while documents are counted by id
+_LINES = """docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)"""
 
 _RULES = quality.LineRules()
 
 ORACLE: dict[str, str] = {
     "op6_quality_rules": f"""WITH {_LINES},
-words AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_WORD}')) AS w,
+words AS (SELECT r, unnest(regexp_extract_all(text, '{_WORD}')) AS w,
   generate_subscripts(regexp_extract_all(text, '{_WORD}'), 1) AS i FROM docs),
-windows AS (SELECT doc_id, i, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, w2, w3) AS n FROM windows WHERE w3 IS NOT NULL),
-repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again WHERE n > 1) GROUP BY doc_id),
-keyed AS (SELECT doc_id, source, line, len(regexp_extract_all(line, '{_WORD}')) AS n,
+windows AS (SELECT r, i, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+again AS (SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) AS n FROM windows WHERE w3 IS NOT NULL),
+repeats AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again WHERE n > 1) GROUP BY r),
+keyed AS (SELECT r, doc_id, source, line, len(regexp_extract_all(line, '{_WORD}')) AS n,
   {_lower(f"array_to_string(regexp_extract_all(line, '{_WORD}'), ' ')")} AS key FROM lines),
-hosts AS (SELECT source, count(*) AS docs FROM docs GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS docs FROM docs GROUP BY source),
 heavy AS (SELECT k.source, k.key, min(k.doc_id) AS holder FROM keyed k JOIN hosts h ON k.source IS NOT DISTINCT FROM h.source WHERE k.n > 0
-  GROUP BY k.source, k.key HAVING count(DISTINCT k.doc_id) > greatest({_RULES.max_documents}, {_RULES.max_share} * any_value(h.docs))),
-removed AS (SELECT k.doc_id, sum(k.n) AS n FROM keyed k JOIN heavy h ON k.key = h.key AND k.source IS NOT DISTINCT FROM h.source
-  WHERE k.doc_id <> h.holder GROUP BY k.doc_id),
-dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM keyed WHERE n > 0 GROUP BY doc_id),
+  GROUP BY k.source, k.key HAVING count(DISTINCT k.doc_id) > {_RULES.max_documents}
+  OR (count(DISTINCT k.doc_id) >= {_RULES.min_documents} AND count(DISTINCT k.doc_id) > {_RULES.max_share} * any_value(h.docs))),
+removed AS (SELECT k.r, sum(k.n) AS n FROM keyed k JOIN heavy h ON k.key = h.key AND k.source IS NOT DISTINCT FROM h.source
+  WHERE k.doc_id IS DISTINCT FROM h.holder GROUP BY k.r),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM keyed WHERE n > 0 GROUP BY r),
 base AS (SELECT d.doc_id, CAST(len(regexp_extract_all(text, '{_WORD}')) AS BIGINT) AS n_words,
   length(regexp_replace(text, '{_SPACES}', '', 'g')) AS word_chars,
   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(u.n, 0) AS n_dup_lines,
-  coalesce(r.n, 0) AS n_repeat_words, CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed_words
-  FROM docs d LEFT JOIN dups u USING (doc_id) LEFT JOIN repeats r USING (doc_id) LEFT JOIN removed x USING (doc_id)),
+  coalesce(p.n, 0) AS n_repeat_words, CAST(coalesce(x.n, 0) AS BIGINT) AS n_removed_words
+  FROM docs d LEFT JOIN dups u ON d.r = u.r LEFT JOIN repeats p ON d.r = p.r LEFT JOIN removed x ON d.r = x.r),
 judged AS (SELECT *, n_words < {_RULES.min_words} OR 100 * n_repeat_words > {_RULES.max_repeat_percent} * n_words AS base_failed FROM base)
 SELECT *, NOT base_failed AND n_removed_words <= n_words * {_RULES.max_removed_share} AS kept FROM judged""",
     "op8_line_dedup": f"""WITH {_LINES},
