@@ -9,9 +9,8 @@ A line's key is the line without white space ([space, \\t..\\r]) at both ends, A
 ``min_chars`` code points that ``min_documents`` documents hold lose all their lines, except in the document with
 the largest id. Every distinct key is in the index, so a probe is always a member: the fingerprint is a safety net.
 
-Defined cases. NULL or empty text is one empty line. Every row is a document; rows that share the largest id both
-keep the line. A NULL id is smaller than any other; where all holders have a NULL id, they keep the line. An empty
-table gives an empty result. Extra columns are carried by ``drop_lines`` unread.
+Defined cases. NULL or empty text is one empty line. Documents are counted by their ids: rows that share an id count once (and
+both keep the line, where it is the largest id); rows without one don't count, and lose what others lose. An empty table gives an empty result. Extra columns are carried by ``drop_lines`` unread.
 
 Skew: a shard that many documents probe (a very common line) is split into salts, each with a copy of its arrays,
 which are of bounded size; the number of salts follows the shard's own count.
@@ -106,7 +105,7 @@ def _build_shard(table: pa.Table) -> pa.Table:
     fingerprints[at], holders[at] = _fingerprint(keys), holder
     counts[at] = np.minimum(count, 2**32 - 1)
     row = [table["shard"][0].as_py(), len(keys), [len(x) for x in levels], b"".join(np.packbits(x).tobytes() for x in levels),
-           fingerprints.tobytes(), counts.tobytes(), holders.tobytes(), int(count.sum())]
+           fingerprints.tobytes(), counts.tobytes(), holders.tobytes(), int(table["rows"].to_numpy().sum())]
     return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, INDEX)], schema=INDEX)
 
 
@@ -154,7 +153,8 @@ def _keyed(docs: DataFrame) -> list:
 
 def build_index(lines: DataFrame, shards: int) -> DataFrame:
     """The stored index of ``lines`` (doc_id, key): one row of arrays per shard."""
-    counts = (lines.groupBy("key").agg(F.count(F.lit(1)).alias("held_by"), F.max("doc_id").alias("holder"))
+    held = lines.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    counts = (held.groupBy("key").agg(F.count("doc_id").alias("held_by"), F.max("doc_id").alias("holder"), F.sum("rows").alias("rows"))
               .withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")))
     return stored(counts.groupBy("shard").applyInArrow(_build_shard, INDEX_DDL), "line-index")
 

@@ -122,7 +122,7 @@ SELECT *, NOT base_failed AND n_removed_words <= n_words * {_RULES.max_removed_s
     "op8_line_dedup": f"""WITH {_LINES},
 keyed AS (SELECT *, {_lower(f"regexp_replace(line, '^{_SPACES}+|{_SPACES}+$', '', 'g')")} AS key FROM lines),
 held AS (SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-judged AS (SELECT k.*, h.key IS NOT NULL AND k.doc_id <> h.holder AS gone FROM keyed k LEFT JOIN held h ON k.key = h.key)
+judged AS (SELECT k.*, h.key IS NOT NULL AND k.doc_id IS DISTINCT FROM h.holder AS gone FROM keyed k LEFT JOIN held h ON k.key = h.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM judged GROUP BY doc_id""",
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM judged GROUP BY r, doc_id""",
 }
