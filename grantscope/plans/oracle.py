@@ -519,6 +519,9 @@ ORACLE: dict[str, str] = {
     "stream_last_used_from_log": with_([], f"SELECT employee_id, system_id, strftime(max(ts), {TS_FMT}) AS last_seen, "
                                        "count(*) AS log_events FROM access_log GROUP BY employee_id, system_id",
                                        log=True),
+    "stream_daily_usage": with_([], f"SELECT employee_id, system_id, strftime(date_trunc('day', ts), {TS_FMT}) AS window_start, "
+                                f"strftime(date_trunc('day', ts) + INTERVAL 1 DAY, {TS_FMT}) AS window_end, strftime(max(ts), {TS_FMT}) AS last_seen, "
+                                "count(*) AS events FROM access_log GROUP BY employee_id, system_id, date_trunc('day', ts)", log=True),
     **{name: with_(findings_ctes(rules=["RULE-001", "RULE-003", "RULE-006", "RULE-007"]), "SELECT * FROM findings")
        for name in ("stream_terminated_access", "stream_revocations", "stream_hr_changes")},
 }
