@@ -14,6 +14,7 @@ and NULL ids too. An empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ from grantscope.llm.cutting import cut_stock
 from grantscope.llm.units import UnitCache, distinct_units, gather
 
 CAPACITY = 1024
+#: Text encoded at a time (whole documents).
+ENCODED_BYTES = 4 << 20
 #: How byte-level tokenizers write the space (a fixed value).
 SPACE_CHAR = "\u0120"
 #: Rows that one salt of a length numbers, where all documents have that length.
@@ -45,6 +48,7 @@ def _ids_of(path: str) -> UnitCache:
     Units that start with their only space are encoded many to a text, which is the same by their independence: a token
     that starts with a space is a unit's first one. The others (white space at the end, or no space first) go one by one.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores already
     tokenizer = Tokenizer.from_file(path)
     first = np.zeros(tokenizer.get_vocab_size(), bool)
     first[[i for piece, i in tokenizer.get_vocab().items() if piece[0] == SPACE_CHAR]] = True
@@ -67,7 +71,7 @@ def _ids_of(path: str) -> UnitCache:
 def _cut(path: str, capacity: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = _ids_of(path), np.array([end_id], np.uint32)
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=ENCODED_BYTES):
             offsets, index, words, others = distinct_units(part.column("text"), UNSAFE)
             ids, ends = gather(encode([" " + w for w in words] + others), index)
             at = ends[offsets].tolist()
