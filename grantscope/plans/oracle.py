@@ -272,6 +272,31 @@ def _pivot_sql() -> str:
     return with_(FINDINGS, f"SELECT department, {cols} FROM findings WHERE department IS NOT NULL GROUP BY department")
 
 
+def _two_reviews(select: str) -> str:
+    """``before`` and ``now``: the findings of the earlier review, on the tables as they were then, and of the present one."""
+    day = f"DATE {q(reg.EARLIER[:10])}"
+    then = ["employees_then AS (SELECT employee_id, full_name, email, department, title, "
+            f"CASE WHEN termination_date > {day} THEN 'active' ELSE status END AS status, hire_date, "
+            f"CASE WHEN termination_date > {day} THEN NULL ELSE termination_date END AS termination_date, manager_id, is_manager, mfa_enabled "
+            "FROM employees)", f"access_then AS (SELECT * FROM access_rights WHERE granted_date <= {day})"]
+    old = ", ".join(re.sub(r"\bemployees\b", "employees_then", c) for c in findings_ctes(access="access_then"))
+    old = old.replace(AS_OF_DATE, day).replace(AS_OF_TS, f"TIMESTAMP {q(reg.EARLIER)}")
+    reviews = [f"before AS (WITH {old} SELECT * FROM findings)", f"now AS (WITH {', '.join(FINDINGS)} SELECT * FROM findings)"]
+    return with_(then + reviews, select)
+
+
+def _findings_diff_sql() -> str:
+    compared = [c for c in ("rule_id", "rule_name", "finding_type", "severity", "risk_score", "risk_band", "employee_id", "employee_name",
+                            "department", "system_id", "system_name", "system_criticality", "access_level", "access_id", "status", "frameworks")]
+    differs = " OR ".join(f"b.{c} IS DISTINCT FROM n.{c}" for c in compared)
+    columns = "concat_ws(', ', " + ", ".join(f"CASE WHEN b.{c} IS DISTINCT FROM n.{c} THEN {q(c)} END" for c in compared) + ")"
+    both = ", ".join(f"coalesce(n.{c}, b.{c}) AS {c}" for c in ("finding_id", "rule_id", "severity", "employee_id", "system_name", "access_id"))
+    return _two_reviews(
+        f"SELECT {both}, CASE WHEN b.finding_id IS NULL THEN 'opened' WHEN n.finding_id IS NULL THEN 'closed' ELSE 'changed' END AS change, "
+        f"CASE WHEN b.finding_id IS NOT NULL AND n.finding_id IS NOT NULL THEN {columns} END AS columns, b.risk_score AS risk_before, "
+        f"n.risk_score AS risk_after FROM before b FULL JOIN now n ON b.finding_id = n.finding_id WHERE {differs}")
+
+
 def _meta_cols() -> str:
     return (f"{q(cat.PACKAGE_ID_PREFIX + '20010901_120000')} AS package_id, '2001-09-01T12:00:00' AS generated_at, "
             f"{q(cat.GENERATED_BY)} AS generated_by, {q(cat.CONTROL['id'])} AS control_id, "
@@ -522,6 +547,14 @@ ORACLE: dict[str, str] = {
     "stream_daily_usage": with_([], f"SELECT employee_id, system_id, strftime(date_trunc('day', ts), {TS_FMT}) AS window_start, "
                                 f"strftime(date_trunc('day', ts) + INTERVAL 1 DAY, {TS_FMT}) AS window_end, strftime(max(ts), {TS_FMT}) AS last_seen, "
                                 "count(*) AS events FROM access_log GROUP BY employee_id, system_id, date_trunc('day', ts)", log=True),
+    "snapshot_findings_diff": _findings_diff_sql(),
+    "snapshot_hr_changes": _two_reviews(
+        "SELECT e.employee_id, 'changed' AS change, concat_ws(', ', CASE WHEN t.status IS DISTINCT FROM e.status THEN 'status' END, "
+        "'termination_date') AS columns, t.status AS status_before, e.status AS status_after FROM employees e JOIN employees_then t "
+        "ON e.employee_id = t.employee_id WHERE t.termination_date IS DISTINCT FROM e.termination_date"),
+    "snapshot_trend": _two_reviews(" UNION ALL ".join(
+        f"SELECT {q(at[:10])} AS snapshot_date, {q(at)} AS as_of, severity, count(*) AS findings, max(risk_score) AS max_risk "
+        f"FROM {t} GROUP BY severity" for t, at in (("before", reg.EARLIER), ("now", reg.AS_OF)))),
     **{name: with_(findings_ctes(rules=["RULE-001", "RULE-003", "RULE-006", "RULE-007"]), "SELECT * FROM findings")
        for name in ("stream_terminated_access", "stream_revocations", "stream_hr_changes")},
 }

@@ -24,6 +24,7 @@ from grantscope.operators.findings import build_findings, run_all_rules, to_find
 from grantscope.plans.present import record_format
 from grantscope.session import shared_dir
 from grantscope.sources import derived, sinks
+from grantscope.sources.snapshots import SnapshotStore
 from grantscope import schemas
 from grantscope.streaming import continuous, usage
 from grantscope.streaming.state import GRANT_EVENTS
@@ -31,6 +32,8 @@ from grantscope.streaming.state import GRANT_EVENTS
 # The review time of the test tables.
 AS_OF = "2001-09-01 12:00:00"
 SLA_EVAL_TIME = "2001-09-04 12:00:00"
+# An earlier review of the same tables, as they were then.
+EARLIER = "2001-06-01 12:00:00"
 SEARCH_PATTERN = "finance"
 PAGE = 3
 DEEP_PAGE = 9
@@ -126,6 +129,36 @@ def findings_from_stored(spark, sf):
     return run_all_rules(t["employees"], t["access_rights"], AS_OF)
 
 
+def _reviews(spark, sf):
+    """Snapshots of two reviews: the tables as they were at the earlier one (later grants gone, later leavers still there), and now."""
+    d, store = _tables(spark, sf), SnapshotStore(spark, shared_dir(spark, "snapshots"))
+    then = F.lit(EARLIER[:10]).cast("date")
+    gone = F.coalesce(F.col("termination_date") > then, F.lit(False))
+    emp = d["employees"].withColumns({"status": F.when(gone, F.lit("active")).otherwise(F.col("status")),
+                                      "termination_date": F.when(~gone, F.col("termination_date"))})
+    acc = d["access_rights"].where(F.col("granted_date") <= then)
+    dates = [store.put(at, e, a, build_findings(e, a, at)) for at, e, a in ((EARLIER, emp, acc), (AS_OF, d["employees"], d["access_rights"]))]
+    return store, *dates
+
+
+def snapshot_findings_diff(spark, sf):
+    """Findings opened, closed and changed between two stored reviews."""
+    store, before, after = _reviews(spark, sf)
+    return store.findings_diff(before, after)
+
+
+def snapshot_hr_changes(spark, sf):
+    """Employees that two stored reviews differ in, and in which columns."""
+    store, before, after = _reviews(spark, sf)
+    d = store.diff("employees", before, after)
+    return d.select("employee_id", "change", "columns", F.col("was.status").alias("status_before"), F.col("now.status").alias("status_after"))
+
+
+def snapshot_trend(spark, sf):
+    """Findings per stored review and severity."""
+    return _reviews(spark, sf)[0].trend(EARLIER, AS_OF)
+
+
 def quick_exports_index(spark, sf):
     d = _tables(spark, sf)
     f = build_findings(d["employees"], d["access_rights"], AS_OF)
@@ -423,6 +456,9 @@ RAW: dict[str, Query] = {
     "export_findings_filtered": _view_export("findings_filtered.csv"),
     "export_access_inventory": _view_export("access_inventory.csv"),
     "export_admin_grants": _view_export("admin_grants.csv"),
+    "snapshot_findings_diff": snapshot_findings_diff,
+    "snapshot_hr_changes": snapshot_hr_changes,
+    "snapshot_trend": snapshot_trend,
     "quick_exports_index": quick_exports_index,
     "quick_export_findings": _quick_export("all_findings.csv", E.EXPORT_SCHEMA),
     "quick_export_employees": _quick_export("employees.csv", schemas.EMPLOYEES),
