@@ -297,6 +297,19 @@ def _findings_diff_sql() -> str:
         f"n.risk_score AS risk_after FROM before b FULL JOIN now n ON b.finding_id = n.finding_id WHERE {differs}")
 
 
+def _deadline_events_sql() -> str:
+    t1, t2, t3 = (f"TIMESTAMP {q(t)}" for t in reg.TICKS)
+    timers = ("timers AS (SELECT finding_id, rule_id, severity, 'BREACH' AS kind, CAST(NULL AS VARCHAR) AS recipient, CAST(sla_deadline AS TIMESTAMP) "
+              "AS due_at FROM findings UNION ALL SELECT f.finding_id, f.rule_id, f.severity, 'NOTIFY', n.recipient, "
+              "CAST(f.detected_at AS TIMESTAMP) + n.hours * INTERVAL 1 HOUR FROM findings f JOIN notif n ON lower(f.severity) = n.sev)")
+    passed = lambda t: f"(due_at < {t} OR kind = 'NOTIFY' AND due_at = {t})"
+    told = (f"SELECT *, CASE WHEN {passed(t1)} AND substr(finding_id, 5, 1) < '8' THEN {t1} WHEN {passed(t2)} THEN {t2} "
+            f"WHEN {passed(t3)} AND rule_id <> {q(reg.CLOSED_RULE)} THEN {t3} END AS told_at FROM timers")
+    return with_(FINDINGS + [_notification_values(), timers],
+                 f"SELECT finding_id, severity, kind, recipient, strftime(due_at, {TS_FMT}) AS due_at, strftime(told_at, {TS_FMT}) AS emitted_at "
+                 f"FROM ({told}) WHERE told_at IS NOT NULL")
+
+
 def _meta_cols() -> str:
     return (f"{q(cat.PACKAGE_ID_PREFIX + '20010901_120000')} AS package_id, '2001-09-01T12:00:00' AS generated_at, "
             f"{q(cat.GENERATED_BY)} AS generated_by, {q(cat.CONTROL['id'])} AS control_id, "
@@ -547,6 +560,7 @@ ORACLE: dict[str, str] = {
     "stream_daily_usage": with_([], f"SELECT employee_id, system_id, strftime(date_trunc('day', ts), {TS_FMT}) AS window_start, "
                                 f"strftime(date_trunc('day', ts) + INTERVAL 1 DAY, {TS_FMT}) AS window_end, strftime(max(ts), {TS_FMT}) AS last_seen, "
                                 "count(*) AS events FROM access_log GROUP BY employee_id, system_id, date_trunc('day', ts)", log=True),
+    "stream_deadline_events": _deadline_events_sql(),
     "snapshot_findings_diff": _findings_diff_sql(),
     "snapshot_hr_changes": _two_reviews(
         "SELECT e.employee_id, 'changed' AS change, concat_ws(', ', CASE WHEN t.status IS DISTINCT FROM e.status THEN 'status' END, "

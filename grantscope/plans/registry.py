@@ -27,11 +27,15 @@ from grantscope.sources import derived, sinks
 from grantscope.sources.snapshots import SnapshotStore
 from grantscope import schemas
 from grantscope.streaming import continuous, usage
+from grantscope.streaming.deadlines import DeadlineEvents
 from grantscope.streaming.state import GRANT_EVENTS
 
 # The review time of the test tables.
 AS_OF = "2001-09-01 12:00:00"
 SLA_EVAL_TIME = "2001-09-04 12:00:00"
+# Ticks of the clock; before the last one, the findings of the closed rule are remediated.
+TICKS = ("2001-09-01 16:00:00", "2001-09-04 12:00:00", "2001-09-20 00:00:00")
+CLOSED_RULE = "RULE-006"
 # An earlier review of the same tables, as they were then.
 EARLIER = "2001-06-01 12:00:00"
 SEARCH_PATTERN = "finance"
@@ -197,6 +201,23 @@ def stream_daily_usage(spark, sf):
     return usage.WindowedUsage(stream, shared_dir(spark, "daily-usage"), fold_every=2).run_available_now()
 
 
+def stream_deadline_events(spark, sf):
+    """Breaches and notifications as the clock moves: half of the findings arrive late, the first half a second time with them."""
+    src, events = shared_dir(spark, "finding-files"), DeadlineEvents(spark, shared_dir(spark, "deadlines"))
+    findings = _findings(spark, sf)
+    early = F.col("finding_id").substr(5, 1) < "8"
+    findings.where(early).write.parquet(src)
+    stream = usage.log_stream(spark, src, findings.schema)
+    events.follow(stream)
+    events.advance(TICKS[0])
+    findings.write.mode("append").parquet(src)
+    events.follow(stream)
+    events.advance(TICKS[1])
+    events.advance(TICKS[1])  # a repeated tick
+    events.advance(TICKS[2], spark.read.schema(findings.schema).parquet(src).where(F.col("rule_id") != CLOSED_RULE))
+    return events.emitted().drop("event_id")
+
+
 def stream_terminated_access(spark, sf):
     return continuous.run_available_now(continuous.derived_stream(spark, sf), derived.employees(spark, sf),
                                         derived.systems(spark, sf), shared_dir(spark, "stream"), AS_OF)
@@ -547,6 +568,7 @@ RAW: dict[str, Query] = {
     "stream_hr_changes": stream_hr_changes,
     "stream_last_used_from_log": stream_last_used_from_log,
     "stream_daily_usage": stream_daily_usage,
+    "stream_deadline_events": stream_deadline_events,
     "risk_gauge": _on_findings(S.risk_gauge),
 }
 
