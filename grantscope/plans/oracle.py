@@ -399,6 +399,13 @@ ORACLE: dict[str, str] = {
                                "AS distinct_ids FROM findings GROUP BY rule_id"),
     "summary_kpis": with_(FINDINGS, KPI_SQL),
     "review_kpis": with_(FINDINGS, KPI_SQL),
+    "kpis_from_states": with_(FINDINGS, KPI_SQL),
+    "departments_from_states": with_(FINDINGS, f"SELECT department, count(*) AS n_rows, {mean_sql()} AS mean_score, max(risk_score) AS max_score, "
+                                     "count(DISTINCT employee_id) AS distinct_employee_id, count(DISTINCT system_name) AS distinct_system_name "
+                                     "FROM findings WHERE severity <> 'LOW' GROUP BY department"),
+    "inventory_stats_from_states": with_(INVENTORY, "SELECT count(*) AS access_records, count(DISTINCT employee_id) AS unique_employees, "
+                                         "count(DISTINCT system_id) AS systems, count(*) FILTER (WHERE access_level = 'admin') AS admin_grants "
+                                         "FROM inv WHERE system_criticality = 'critical'"),
     "summary_by_severity": with_(FINDINGS, _vc("severity")),
     "summary_by_type": with_(FINDINGS, _vc("finding_type")),
     "summary_by_department": with_(FINDINGS, _vc("department")),

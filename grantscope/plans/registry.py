@@ -18,6 +18,7 @@ from grantscope.operators import evidence as E
 from grantscope.operators import extensions as X
 from grantscope.operators import joins as J
 from grantscope.operators import rules as R
+from grantscope.operators import states as ST
 from grantscope.operators import summary as S
 from grantscope.operators import views as V
 from grantscope.operators.findings import build_findings, run_all_rules, to_findings
@@ -89,6 +90,34 @@ def summary_kpis(spark, sf):
     return S.kpis(f, d["employees"], d["access_rights"])
 
 
+def _in_batches(states, df, key, batches=3):
+    """``df`` added batch by batch, as tables that grow would be."""
+    src, spark = shared_dir(states.spark, "batches"), states.spark
+    df.withColumn("_batch", F.pmod(F.xxhash64(key), F.lit(batches))).write.partitionBy("_batch").parquet(src)
+    for n in range(batches):
+        states.add(spark.read.schema(df.schema).parquet(f"{src}/_batch={n}"), n)
+    return states
+
+
+def kpis_from_states(spark, sf):
+    """The KPI row from the states of three batches of findings."""
+    d = _tables(spark, sf)
+    states = ST.finding_states(spark, shared_dir(spark, "finding-states"))
+    return ST.kpis(_in_batches(states, _findings(spark, sf), "finding_id"), d["employees"], d["access_rights"])
+
+
+def departments_from_states(spark, sf):
+    """Findings, scores, owners and systems per department, without LOW findings, from the same states."""
+    states = _in_batches(ST.finding_states(spark, shared_dir(spark, "finding-states")), _findings(spark, sf), "finding_id")
+    return states.summary(("department",), F.col("severity") != "LOW")
+
+
+def inventory_stats_from_states(spark, sf):
+    """A14 of the critical systems' grants, from the states of three batches of the inventory."""
+    states = _in_batches(ST.inventory_states(spark, shared_dir(spark, "inventory-states")), _inventory(spark, sf), "access_id")
+    return ST.inventory_stats(states, F.col("system_criticality") == "critical")
+
+
 def exec_header(spark, sf):
     d = _tables(spark, sf)
     f = build_findings(d["employees"], d["access_rights"], AS_OF)
@@ -503,6 +532,9 @@ RAW: dict[str, Query] = {
     # summaries
     "summary_kpis": summary_kpis,
     "review_kpis": review_kpis,
+    "kpis_from_states": kpis_from_states,
+    "departments_from_states": departments_from_states,
+    "inventory_stats_from_states": inventory_stats_from_states,
     "summary_by_severity": _on_findings(lambda f: S.value_counts(f, "severity")),
     "summary_by_type": _on_findings(lambda f: S.value_counts(f, "finding_type")),
     "summary_by_department": _on_findings(lambda f: S.value_counts(f, "department")),
