@@ -5,9 +5,10 @@ terms, whatever the lines and comment marks: a header or notice template is laid
 of the text, and the terms that it covers are one candidate, be the notice wrapped or inside a long line. Distinct candidates
 are scored once: their terms, weighted by how often they stand there and how few templates have them, meet the
 templates' terms in a join, and the products add up to cosines. A file's own licence is its best match of at least
-``least`` (ties: the first identifier). A directory's licence is the best among its licence files. A file without an
+``least`` (ties: the first identifier). What denies a licence ("is not licensed under", "no license is granted") is left out before, with the rest of its sentence up to 80
+characters, but where a whole text is compared. A directory's licence is the best among its licence files. A file without an
 own licence inherits from the nearest directory on its path that has one: paths of directories are exploded into their
-ancestors, joined to the licensed directories, and the deepest match is kept.
+ancestors, joined to the licensed directories, and the deepest match is kept. Documents without paths don't inherit.
 
 Defined cases. NULL text is empty; a NULL path stands in the top directory. Every row is a file; rows equal in id, path and
 text get the same result. An empty table gives an empty result. Extra columns are not read.
@@ -55,6 +56,9 @@ CUE = r"(?i)licen[sc]e|copyright|spdx|permission|public domain|redistribut|creat
 # possessive: Java matches these loops without recursion, so a term may be of any length
 TERM = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([._-]|$)"
+DENIED = (r"(?i)\b(?:not|never|nor|neither|isn't|aren't|wasn't),?\s++(?:\S++\s++){0,2}"
+          r"(?:licen[sc]ed|released|distributed|available|governed|dedicated|published|provided|offered|under)\b|\bno\s++(?:\S++\s++){0,2}licen[sc]e\b")
+REST_OF_SENTENCE = "[^.]{0,80}"
 LEAST = 0.7
 #: Terms that a template is laid on by, and the longest template laid so (whole texts of more terms are matched as files).
 ANCHOR = r"licen[sc]e|spdx|permission|public|redistribut|creative"
@@ -133,23 +137,27 @@ def _best(scored: DataFrame, by: list[str]) -> DataFrame:
     return scored.groupBy(*by).agg(best).select(*by, F.col("best.license").alias("license"), (-F.col("best.less")).alias("score"))
 
 
-def scan_files(files: DataFrame, least: float = LEAST) -> DataFrame:
+def scan_files(files: DataFrame, least: float = LEAST, edges: bool = False) -> DataFrame:
     """Per file of ``files`` (file_id, path, text): its own licence and score, its licence, and where that comes from.
 
-    ``origin``: "own", "inherited" (``from_dir`` tells the directory) or "none".
+    ``origin``: "own", "inherited" (``from_dir`` tells the directory) or "none". With ``edges``, texts longer than any window whose
+    first or last line has a cue word are compared as a whole too, whatever their name.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     path = F.coalesce(F.col("path"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(CUE))
+    told = F.regexp_replace(text, f"(?:{DENIED}){REST_OF_SENTENCE}", " ")
+    lines = F.filter(F.split(told, "\n"), lambda x: x.rlike(CUE))
     name = F.substring_index(path, "/", -1)
     is_licence = name.rlike(LICENCE_FILE)
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    whole = F.when(text.rlike(CUE), F.concat(lines, F.when(is_licence, F.array(text)).otherwise(F.array())))
+    lower = F.translate(told, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    at_edge = F.lit(edges) & (F.substring_index(text, "\n", 1).rlike(CUE) | F.substring_index(text, "\n", -1).rlike(CUE))
     files = files.select(
         F.col("file_id").cast("long").alias("file_id"), path.alias("path"), F.xxhash64(text).alias("text_hash"), is_licence.alias("is_licence"),
-        F.regexp_replace(path, "/?[^/]*$", "").alias("own_dir"), whole.alias("whole"),
+        F.regexp_replace(path, "/?[^/]*$", "").alias("own_dir"), F.when(text.rlike(CUE), lines).alias("lines"),
+        F.when(text.rlike(CUE) & (is_licence | at_edge), text).alias("whole"),
         F.when(text.rlike(CUE), F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))).alias("terms"))
-    notices = F.array_distinct(F.concat("whole", windows(F.col("terms"))))
+    whole = F.when(F.col("whole").isNotNull() & (F.col("is_licence") | (F.size("terms") > WINDOW_TERMS)), F.array("whole")).otherwise(F.array())
+    notices = F.array_distinct(F.concat("lines", whole, windows(F.col("terms"))))
     files = stored(files.select("file_id", "path", "text_hash", "is_licence", "own_dir",
                                 F.coalesce(notices, F.array().cast("array<string>")).alias("notices")), "license-notices")
     key = ["file_id", "path", "text_hash"]
@@ -173,16 +181,8 @@ def scan_files(files: DataFrame, least: float = LEAST) -> DataFrame:
                       origin.alias("origin"), F.when(origin == "inherited", F.col("near.up")).alias("from_dir"))
 
 
-def scan_documents(docs: DataFrame) -> DataFrame:
-    """The scan over ``documents``, which have no paths: source, language and the number's leading digits stand for directories.
-
-    A document whose first or last line has a cue word stands for the licence file of its directory.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    edges = F.substring_index(text, "\n", 1).rlike(CUE) | F.substring_index(text, "\n", -1).rlike(CUE)
-    name = F.concat(F.when(edges, "LICENSE-").otherwise("text-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
-    number = F.coalesce(F.col("doc_id"), F.lit(0))
-    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
-                       F.floor(number / 1000).cast("string"), F.floor(number / 100).cast("string"), name)
-    found = scan_files(docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text"))
+def scan_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """The scan over ``documents``; ``path`` names the column of their paths, if there is one. Without, each has its own licence or none."""
+    where = F.col(path).cast("string") if path else F.lit(None).cast("string")
+    found = scan_files(docs.select(F.col("doc_id").alias("file_id"), where.alias("path"), "text"), edges=True)
     return found.withColumnRenamed("file_id", "doc_id")
