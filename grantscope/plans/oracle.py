@@ -241,6 +241,14 @@ def _search_sql() -> str:
     return with_(FINDINGS, f"SELECT * FROM findings WHERE {cond}")
 
 
+def _search_owner_sql() -> str:
+    """The id may stand in any column of a finding, not only in its owner's."""
+    cols = ["finding_id", "rule_id", "rule_name", "finding_type", "severity", "risk_band", "employee_id", "employee_name", "department",
+            "system_id", "system_name", "system_criticality", "access_level", "access_id", "detail", "status", "frameworks"]
+    cond = " OR ".join(f"contains(lower(f.{c}), lower(o.id))" for c in cols)
+    return with_(FINDINGS, f"SELECT f.* FROM findings f, (SELECT min(employee_id) AS id FROM findings) o WHERE {cond}")
+
+
 def _domain_sql() -> str:
     def outside(table, col, allowed, nullable=False):
         vals = ", ".join(q(v) for v in allowed)
@@ -568,6 +576,7 @@ ORACLE: dict[str, str] = {
                                 f"strftime(date_trunc('day', ts) + INTERVAL 1 DAY, {TS_FMT}) AS window_end, strftime(max(ts), {TS_FMT}) AS last_seen, "
                                 "count(*) AS events FROM access_log GROUP BY employee_id, system_id, date_trunc('day', ts)", log=True),
     "stream_deadline_events": _deadline_events_sql(),
+    "findings_search_indexed": _search_owner_sql(),
     "snapshot_findings_diff": _findings_diff_sql(),
     "snapshot_hr_changes": _two_reviews(
         "SELECT e.employee_id, 'changed' AS change, concat_ws(', ', CASE WHEN t.status IS DISTINCT FROM e.status THEN 'status' END, "

@@ -22,6 +22,7 @@ from grantscope.operators import states as ST
 from grantscope.operators import summary as S
 from grantscope.operators import views as V
 from grantscope.operators.findings import build_findings, run_all_rules, to_findings
+from grantscope.operators.search_index import SearchIndex
 from grantscope.plans.present import record_format
 from grantscope.session import shared_dir
 from grantscope.sources import derived, sinks
@@ -409,6 +410,14 @@ def finding_id_unique(spark, sf):
                                     F.count_distinct("finding_id").alias("distinct_ids"))
 
 
+def findings_search_indexed(spark, sf):
+    """F9 through the trigram index: the findings that name one owner (the one of the first finding), the others' blocks unread."""
+    f = _findings(spark, sf)
+    index = SearchIndex(spark, shared_dir(spark, "search-index"), f.schema)
+    index.build(f)
+    return index.search(index.rows().agg(F.min("employee_id")).first()[0], literal=True)
+
+
 def finding_detail(spark, sf):
     """F11 + F16: the detail card of the highest-risk finding (one top-1 pass, no second scan)."""
     return V.detail_card(V.top_findings(_findings(spark, sf), 1))
@@ -559,6 +568,7 @@ RAW: dict[str, Query] = {
         _findings(spark, sf, _rules_of(severity="CRITICAL")), severity="CRITICAL", department="Finance"),
     "findings_search": lambda spark, sf: V.search_findings(
         record_format(_findings(spark, sf)), SEARCH_PATTERN),
+    "findings_search_indexed": findings_search_indexed,
     "findings_table_view": _on_findings(V.findings_table_view),
     "findings_page": lambda spark, sf: V.ranked_page(V.store_ranked(_findings(spark, sf), shared_dir(spark, "ranked")), PAGE),
     "findings_page_deep": lambda spark, sf: V.ranked_page(V.store_ranked(_findings(spark, sf), shared_dir(spark, "ranked")), DEEP_PAGE, 100),
