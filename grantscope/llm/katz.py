@@ -402,11 +402,16 @@ def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- jobs -----------------------------------------------------------------------------------------------------------
 
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """``df`` as a table in the shared folder, bucketed by ``key``, so that it is not dealt out again for each order."""
+    """``df`` as a table in the shared folder, bucketed by ``key``, so that it is not dealt out again for each order.
+
+    The catalogue knows the table only until its plan is made: the files are the folder's, and the plan keeps their buckets.
+    """
     spark, name = df.sparkSession, f"katz_chunks_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).option("path", shared_dir(spark, "llm", name)).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"drop table `{name}`")
+    return table
 
 
 def _level(answers: DataFrame, shards: int) -> Level:
