@@ -5,12 +5,19 @@ holds which blocks have a trigram in any column. A search for a text reads the p
 have all of them, where the search itself runs; so its rows are those of ``views.search_findings``. Texts are folded for the index
 coarser than the search compares them (any letters that the search takes as equal are equal here), so no hit is left out.
 A regular expression with operators, and a text of fewer than three characters, have no trigrams that must occur: they scan all blocks.
+
+Trigrams are taken per column, of the distinct values that a block has there, so a value that all its rows share is taken once. No step
+puts a whole zone in one task: the ranked rows are written where they lie, and any number of tasks share a zone or a block.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +38,7 @@ def folded(text: Column) -> Column:
 
     The step between the two keeps them apart: lower case of upper case alone is planned as lower case.
     """
-    return F.translate(F.lower(F.translate(F.upper(text), "\u0130", "I")), "\u03c2", "\u03c3")
+    return F.replace(F.lower(F.replace(F.upper(text), F.lit("\u0130"), F.lit("I"))), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
 def trigrams(text: Column) -> Column:
@@ -41,6 +48,32 @@ def trigrams(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
+def grams_in(values: pa.Array) -> np.ndarray:
+    """Distinct trigrams of the distinct values, each as one number: 21 bits a code point."""
+    values = pc.unique(values).drop_null()
+    points = np.frombuffer("".join(values.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    ends = np.cumsum(pc.utf8_length(values).to_numpy(zero_copy_only=False))
+    whole = np.ones(max(len(points) - 2, 0), bool)
+    for back in (1, 2):  # those that go on into the next value
+        over = ends - back
+        whole[over[(over >= 0) & (over < len(whole))]] = False
+    return np.unique((points[:-2] << 42 | points[1:-1] << 21 | points[2:])[whole])
+
+
+def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_block, gram) of rows whose columns but ``_block`` are folded texts; a block's trigrams once a batch."""
+    for batch in batches:
+        blocks = batch.column("_block").to_numpy()
+        texts = [c for name, c in zip(batch.schema.names, batch.columns) if name != "_block"]
+        for block in np.unique(blocks).tolist():
+            mine = pa.array(blocks == block)
+            grams = np.unique(np.concatenate([grams_in(t.filter(mine)) for t in texts]))
+            points = np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF], axis=1).astype(np.uint32)
+            text = points.tobytes().decode("utf-32-le", "surrogatepass")
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(grams), pa.int64()),
+                                              pa.array([text[i:i + 3] for i in range(0, len(text), 3)], pa.string())], ["_block", "gram"])
+
+
 def _part(gram: str) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(PARTS)).cast("int")
 
@@ -60,11 +93,10 @@ class SearchIndex:
         rows = ranked(findings.select(*self.columns), order, shared_dir(self.spark, "blocks"), "_rank")
         block = F.floor((F.col("_rank") - 1) / self.block_rows).cast("long")
         rows = rows.withColumn("_block", block).withColumn("_zone", F.floor(F.col("_block") / self.zone_blocks).cast("long")).drop("_rank")
-        rows.repartition("_zone").sortWithinPartitions("_zone", "_block").write.mode("overwrite").partitionBy("_zone").parquet(
-            f"{self.location}/rows")
-        text = F.concat_ws("\n", *[folded(F.col(f"`{c}`").cast("string")) for c in self.columns])
-        grams = self.rows().select("_block", text.alias("text")).select("_block", F.explode(trigrams(F.col("text"))).alias("gram")).distinct()
-        grams = grams.withColumn("part", _part("gram"))
+        # a task of the ranked rows holds whole ranges of the order, so a block is in one or two files without another exchange
+        rows.sortWithinPartitions("_zone", "_block").write.mode("overwrite").partitionBy("_zone").parquet(f"{self.location}/rows")
+        texts = self.rows().select("_block", *[folded(F.col(f"`{c}`").cast("string")).alias(f"_{i}") for i, c in enumerate(self.columns)])
+        grams = texts.mapInArrow(_block_grams, "_block long, gram string").distinct().withColumn("part", _part("gram"))
         grams.hint("rebalance", "part").sortWithinPartitions("part", "gram").write.mode("overwrite").partitionBy("part").parquet(
             f"{self.location}/postings")
 
@@ -80,7 +112,7 @@ class SearchIndex:
 
     def candidates(self, grams: list[str]) -> DataFrame:
         """Blocks that have all ``grams``, from the postings' folders of those trigrams."""
-        wanted = self.spark.createDataFrame([(g,) for g in grams], "gram string").select(_part("gram")).distinct()
+        wanted = self.spark.range(1).select(F.explode(F.array(*map(F.lit, grams))).alias("gram")).select(_part("gram")).distinct()
         parts = [r[0] for r in wanted.collect()]  # at most PARTS
         postings = self.spark.read.schema("_block long, gram string, part int").parquet(f"{self.location}/postings")
         held = postings.where(F.col("part").isin(parts) & F.col("gram").isin(grams))
