@@ -13,27 +13,32 @@ anew otherwise. One writer at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantscope.operators.extensions import notification_queue
 from grantscope.session import exists
 
 BREACH, NOTIFY = "BREACH", "NOTIFY"
-TIMERS = "event_id string, finding_id string, severity string, kind string, recipient string, due_at timestamp_ntz"
+#: An event is told by these; its id is derived from them, so no file and no shuffle carries it.
+KEY = ("finding_id", "kind", "recipient", "due_at")
+TIMERS = "finding_id string, severity string, kind string, recipient string, due_at timestamp_ntz"
 DUE = f"{TIMERS}, part long, due_day date"
 EMITTED = f"{TIMERS}, emitted_at timestamp_ntz, tick long, due_day date"
 TICKS = "tick long, at timestamp_ntz, upto long"
 
 
+def _event_id() -> Column:
+    return F.md5(F.to_json(F.struct("finding_id", "kind", "recipient", F.col("due_at").cast("string").alias("due_at")))).alias("event_id")
+
+
 def timers(findings: DataFrame) -> DataFrame:
     """The timers of findings: a breach (no recipient) at the deadline, a notification per recipient. NULL ids and times have none."""
     breach = findings.select("finding_id", "severity", F.lit(BREACH).alias("kind"), F.lit(None).cast("string").alias("recipient"),
                              F.col("sla_deadline").alias("due_at"))
     notify = notification_queue(findings).select("finding_id", "severity", F.lit(NOTIFY).alias("kind"), "recipient", F.col("notify_by").alias("due_at"))
     both = breach.unionByName(notify).where("finding_id is not null and due_at is not null")
-    event = F.md5(F.to_json(F.struct("finding_id", "kind", "recipient", F.col("due_at").cast("string").alias("due_at"))))
-    return both.select(event.alias("event_id"), *both.columns)
+    return both.select(_event_id(), *both.columns)
 
 
 class DeadlineEvents:
@@ -46,7 +51,7 @@ class DeadlineEvents:
 
     def schedule(self, findings: DataFrame, batch: int) -> None:
         """Store the timers of a micro-batch of findings; batches are numbered from 0, and a retried one replaces itself."""
-        rows = timers(findings).withColumn("due_day", F.to_date("due_at"))
+        rows = timers(findings).drop("event_id").withColumn("due_day", F.to_date("due_at"))
         rows.hint("rebalance", "due_day").write.mode("overwrite").partitionBy("due_day").parquet(f"{self.location}/due/part={batch}")
 
     def follow(self, findings: DataFrame) -> None:
@@ -90,17 +95,24 @@ class DeadlineEvents:
             due = due.where(fresh | (F.col("due_day") >= F.to_date(before))).where(fresh | ~passed(before))
         if open_findings is not None:
             due = due.join(open_findings.select("finding_id"), "finding_id", "left_semi")
+        columns = [c.split()[0] for c in TIMERS.split(", ")]
+        due = due.select(*columns, "due_day", F.lit(False).alias("told"))
         if tick:
             covered = [r[0] for r in due.select("due_day").distinct().collect()]  # a row a day
-            told = self._read("emitted", EMITTED).where((F.col("tick") < tick) & F.col("due_day").isin(covered)).select("event_id")
-            due = due.join(told, "event_id", "left_anti")
-        columns = [c.split()[0] for c in TIMERS.split(", ")]
-        events = due.dropDuplicates(["event_id"]).select(*columns, now.alias("emitted_at"), "due_day")
+            told = self._read("emitted", EMITTED).where((F.col("tick") < tick) & F.col("due_day").isin(covered))
+            due = due.unionByName(told.select(*columns, "due_day", F.lit(True).alias("told")))
+        # one shuffle leaves out both what came twice and what is told already
+        events = due.groupBy(*KEY, "due_day").agg(F.max("severity").alias("severity"), F.max("told").alias("told")).where("not told")
+        events = events.select(*columns, now.alias("emitted_at"), "due_day")
         events.write.mode("overwrite").partitionBy("due_day").parquet(f"{self.location}/emitted/tick={tick}")
         mark = self.spark.range(1).select(F.lit(tick).cast("long").alias("tick"), now.alias("at"), F.lit(upto).cast("long").alias("upto"))
         mark.write.mode("overwrite").parquet(f"{self.location}/ticks/{tick}")
-        return self._read("emitted", EMITTED).where(F.col("tick") == tick).drop("tick", "due_day")
+        return self._events(F.col("tick") == tick)
+
+    def _events(self, ticks: Column) -> DataFrame:
+        told = self._read("emitted", EMITTED).where(ticks).drop("tick", "due_day")
+        return told.select(_event_id(), *told.columns)
 
     def emitted(self) -> DataFrame:
         """Every event of the finished ticks."""
-        return self._read("emitted", EMITTED).where(F.col("tick") <= self.last_tick()[0]).drop("tick", "due_day")
+        return self._events(F.col("tick") <= self.last_tick()[0])
