@@ -52,9 +52,8 @@ class SnapshotStore:
             raise SnapshotExists(f"the snapshot of {date} is finished")
         for table, df in (("employees", employees), ("access_rights", access), ("findings", findings)):
             rows = schemas.validate(df, TABLES[table][0], table).withColumn("state", _state(table))
-            # few states, one of which may hold nearly all rows: AQE splits it into files of the advised size
-            rows.hint("rebalance", "state").write.mode("overwrite").partitionBy("state").parquet(
-                f"{self.location}/{table}/snapshot_date={date}")
+            # few states: every task writes its own rows of each, so no shuffle moves the whole table and one state can't fill one task
+            rows.write.mode("overwrite").partitionBy("state").parquet(f"{self.location}/{table}/snapshot_date={date}")
         row = self.spark.range(1).select(F.lit(date).cast("date").alias("snapshot_date"), F.lit(as_of).cast("timestamp_ntz").alias("as_of"))
         row.coalesce(1).write.mode("overwrite").parquet(mark)
         return date
@@ -80,17 +79,18 @@ class SnapshotStore:
         period = self.snapshots().where(F.col("as_of").between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
         return self._stored(table).drop("state").join(period, "snapshot_date")
 
-    def diff(self, table: str, before: str, after: str) -> DataFrame:
+    def diff(self, table: str, before: str, after: str, whole: bool = True) -> DataFrame:
         """Per key that differs: ``change`` (opened, closed, changed), the columns that changed, and the row (``was``, ``now``).
 
         One shuffle by the key, reduced before it. Repeated rows of a key (NULL included, a key like any other) are compared as
-        a multiset, and the row shown is one of them; ``columns`` compares the rows shown.
+        a multiset, and the row shown is one of them; ``columns`` compares the rows shown. With ``whole=False`` the rows are without
+        the columns that no change is told of, which then needn't be read or shuffled.
         """
         schema, key, _, moving = TABLES[table]
         compared = [c for c in schema.names if c not in moving]
         content = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in compared])
         side = lambda date, late: self.read(table, date).select(
-            F.col(key).alias("key"), F.lit(late).alias("late"), content.alias("content"), F.struct(*schema.names).alias("row"))
+            F.col(key).alias("key"), F.lit(late).alias("late"), content.alias("content"), F.struct(*(schema.names if whole else compared)).alias("row"))
         both = side(before, False).unionByName(side(after, True))
         of = lambda late, x: F.when(F.col("late") == late, x)
         total = lambda late: F.sum(of(late, F.col("content").cast("decimal(20,0)")))  # noqa: E731  order of rows doesn't matter
@@ -107,7 +107,7 @@ class SnapshotStore:
 
     def findings_diff(self, before: str, after: str) -> DataFrame:
         """Findings opened, closed and changed between two reviews, with both scores."""
-        d = self.diff("findings", before, after)
+        d = self.diff("findings", before, after, whole=False)
         at = lambda c: F.coalesce(F.col(f"now.{c}"), F.col(f"was.{c}")).alias(c)
         return d.select("finding_id", "change", "columns", at("rule_id"), at("severity"), at("employee_id"), at("system_name"), at("access_id"),
                         F.col("was.risk_score").alias("risk_before"), F.col("now.risk_score").alias("risk_after"))
