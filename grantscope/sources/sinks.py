@@ -27,6 +27,9 @@ CSV_OPTIONS = {
 #: What other tools read (RFC 4180): line breaks inside quotes, NULL an empty field, an empty text a quoted one.
 STANDARD_OPTIONS = {**CSV_OPTIONS, "nullValue": "", "multiLine": "true"}
 
+#: Rows of a file in that dialect: one task reads a file whole, so a table's files must not grow with the table.
+STANDARD_FILE_ROWS = 100_000
+
 #: What the reader of that dialect puts for a quoted empty text.
 EMPTY = "\u0000empty\u0000"
 
@@ -54,9 +57,9 @@ def _flat(df: DataFrame, escaped: bool = True) -> list[Column]:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", dialect: str = "own") -> str:
-    """``dialect="standard"`` writes plain CSV for other tools; only the own dialect stays splittable."""
+    """``dialect="standard"`` writes plain CSV for other tools; only the own dialect stays splittable, so its files are kept small."""
     if dialect == "standard":
-        df.select(*_flat(df, False)).write.mode(mode).options(**STANDARD_OPTIONS, emptyValue='""').csv(path)
+        df.select(*_flat(df, False)).write.mode(mode).options(**STANDARD_OPTIONS, emptyValue='""', maxRecordsPerFile=STANDARD_FILE_ROWS).csv(path)
     else:
         df.select(*_flat(df)).write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
