@@ -57,13 +57,18 @@ def _ids_of(path: str) -> UnitCache:
         return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(units: list[str]) -> list[bytes]:
-        alone = [i for i, u in enumerate(units) if u[:1] != " " or u[-1].isspace() or " " in u[1:]]
-        out = dict(zip(alone, ids_of([units[i] for i in alone])))
-        joined = [i for i in range(len(units)) if i not in out]
-        ids = np.concatenate([np.zeros(0, np.uint32), *ids_of(["".join([units[i] for i in joined[a:a + 512]]) for a in range(0, len(joined), 512)])])
-        ends = np.append(np.flatnonzero(first[ids]), len(ids)).tolist()
-        out |= {i: ids[a:b] for i, a, b in zip(joined, ends[:-1], ends[1:], strict=True)}
-        return [out[i].tobytes() for i in range(len(units))]
+        alone = [i for i, u in enumerate(units) if u.rfind(" ") != 0 or u[-1].isspace()]
+        apart = set(alone)
+        joined = [u for i, u in enumerate(units) if i not in apart] if alone else units
+        ids = np.concatenate([np.zeros(0, np.uint32), *ids_of(["".join(joined[a:a + 512]) for a in range(0, len(joined), 512)])])
+        ends = (4 * np.append(np.flatnonzero(first[ids]), len(ids))).tolist()
+        flat = ids.tobytes()
+        parts = [flat[a:b] for a, b in zip(ends, ends[1:])]
+        if len(parts) != len(joined):
+            raise ValueError("a unit's first token isn't its only one with a space")
+        for i, own in zip(alone, ids_of([units[i] for i in alone])):  # rising, so each stands where it will stay
+            parts.insert(i, own.tobytes())
+        return parts
 
     return UnitCache(encode)
 
