@@ -2,8 +2,9 @@
 
 The package is written under a shared folder: findings are first written as
 Parquet (the lineage cut every later file is derived from), then CSV/JSON
-exports, snapshots and the metadata row. The returned index reads every file
-back and counts its rows, so it checks what was actually written.
+exports, snapshots and the metadata row. Both exports of findings are written
+from one sort. The returned index reads every file back and counts its rows,
+so it checks what was actually written.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import uuid
 from datetime import datetime
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ from grantscope import schemas
 from grantscope.functions import sqltext as sql
 from grantscope.operators import summary as S
 from grantscope.operators.findings import export_view, sort_by_risk, sorted_findings
-from grantscope.session import exists
+from grantscope.session import exists, sql_setting
 from grantscope.sources import sinks
 
 EMPLOYEE_SNAPSHOT_COLUMNS = cat.EMPLOYEE_SNAPSHOT_COLUMNS
@@ -108,11 +110,20 @@ def write_evidence_package(spark: SparkSession, findings: DataFrame, employees:
     if exists(spark, f"{pkg}/_COMPLETE/_SUCCESS"):
         raise FileExistsError(f"{pkg} is complete")
     ow = "overwrite"
-    stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet", ow)
-    ranked = export_view(sort_by_risk(stored))  # the stored table is cheap to sample: no further exchange
-    files = {
-        cat.PACKAGE_FILES[0]: sinks.write_csv(ranked, f"{pkg}/{cat.PACKAGE_FILES[0]}", ow),
-        cat.PACKAGE_FILES[1]: sinks.write_json(ranked, f"{pkg}/{cat.PACKAGE_FILES[1]}", ow),
+    stored = sinks.write_parquet(findings, f"{pkg}/_findings.parquet", ow, "zstd")
+    # the stored table is cheap to sample: no further exchange. Both exports read one sort's shuffle files; partitions
+    # that memory doesn't hold are sorted again from them, so nothing cached goes to disk. Small partitions are joined
+    # as in a plan that isn't cached, so that few rows make one file
+    with sql_setting(spark, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true"):
+        ranked = export_view(sort_by_risk(stored)).persist(StorageLevel.MEMORY_ONLY)
+    try:
+        files = {
+            cat.PACKAGE_FILES[0]: sinks.write_csv(ranked, f"{pkg}/{cat.PACKAGE_FILES[0]}", ow),
+            cat.PACKAGE_FILES[1]: sinks.write_json(ranked, f"{pkg}/{cat.PACKAGE_FILES[1]}", ow),
+        }
+    finally:
+        ranked.unpersist()
+    files |= {
         cat.PACKAGE_FILES[2]: sinks.write_csv(access_snapshot(access), f"{pkg}/{cat.PACKAGE_FILES[2]}", ow),
         cat.PACKAGE_FILES[3]: sinks.write_csv(employee_snapshot(employees), f"{pkg}/{cat.PACKAGE_FILES[3]}", ow),
         cat.PACKAGE_FILES[4]: sinks.write_json(summary_meta(stored, employees, access, as_of, with_maps=True),

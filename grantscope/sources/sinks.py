@@ -87,7 +87,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").json(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
-    """Write and read back: a lineage cut that survives executor loss (no local checkpoint)."""
-    df.write.mode(mode).parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> DataFrame:
+    """Write and read back: a lineage cut that survives executor loss (no local checkpoint). The session's codec by default."""
+    df.write.mode(mode).parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
